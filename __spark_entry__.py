@@ -20,6 +20,13 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from linetally.functions.buckets import parse_double, percentage_bucket  # noqa: E402
 from linetally.functions.text import DISALLOWED_RUN, clean_text  # noqa: E402
 from linetally.operators import profile as prof  # noqa: E402
+from linetally.operators.clients import client_report  # noqa: E402
+from linetally.operators.extract import filter_rows  # noqa: E402
+from linetally.operators.idlists import text_id_chunks  # noqa: E402
+from linetally.operators.pareto import pareto  # noqa: E402
+from linetally.schema import DEFAULT_ID_SPAN, PARETO_SHARE, PROFILE_COLUMNS  # noqa: E402
+from linetally.session import scratch_path  # noqa: E402
+from linetally.sources import sinks  # noqa: E402
 from linetally.schema import UNDEFINED_CATEGORY  # noqa: E402
 from linetally.sources import fixtures  # noqa: E402
 from linetally.sources.fixtures import STATEMENT_LINES_SQL  # noqa: E402
@@ -115,6 +122,87 @@ def _profile(compat: bool):
     return run
 
 
+def q_text_ids(spark, sf_dir):
+    return text_id_chunks(_lines(spark, sf_dir), span=DEFAULT_ID_SPAN)
+
+
+def q_document_text_counts(spark, sf_dir):
+    return prof.text_counts(fixtures.document_lines(spark, sf_dir))
+
+
+def _extract(kind: str):
+    column, values = EXTRACTS[kind]
+
+    def run(spark, sf_dir):
+        return filter_rows(_lines(spark, sf_dir), column, kind, values)
+
+    return run
+
+
+EXTRACTS = {
+    "in": ("category", ["INDEFINIDO", "click"]),
+    "greater": ("amount", ["400"]),
+    "between": ("category_pct", ["25", "50"]),
+}
+
+
+def _pareto_report(spark, sf_dir, compat=True):
+    return pareto(prof.grouped(_lines(spark, sf_dir)), PARETO_SHARE, compat)
+
+
+def q_pareto_amount(spark, sf_dir):
+    return _pareto_report(spark, sf_dir).selection("amount")
+
+
+def q_pareto_count(spark, sf_dir):
+    return _pareto_report(spark, sf_dir).selection("count")
+
+
+def q_pareto_flags(spark, sf_dir):
+    return _pareto_report(spark, sf_dir).flags()
+
+
+def q_pareto_summary(spark, sf_dir):
+    return _pareto_report(spark, sf_dir).summary()
+
+
+def q_client_profile(spark, sf_dir):
+    return client_report(_lines(spark, sf_dir))[0]
+
+
+def q_client_lists(spark, sf_dir):
+    return client_report(_lines(spark, sf_dir))[1]
+
+
+def q_cleaned_export(spark, sf_dir):
+    path = scratch_path(spark, "cleaned-export")
+    sinks.export_cleaned_texts(fixtures.documents(spark, sf_dir), "doc_id", "text", path)
+    return spark.read.parquet(path)
+
+
+def q_append_roundtrip(spark, sf_dir):
+    rows = _extract("between")(spark, sf_dir)
+    path = scratch_path(spark, "append")
+    sinks.append(rows, path)
+    sinks.append(rows, path)
+    return spark.read.parquet(path)
+
+
+def q_upsert_roundtrip(spark, sf_dir):
+    groups = prof.grouped(_lines(spark, sf_dir))
+    base = scratch_path(spark, "upsert-base")
+    prof.profile_from_groups(groups, compat=True).write.parquet(base)
+    selected = pareto(groups).selection("amount").select("text", F.lit(1).alias("pareto_amount"))
+    return sinks.upsert(spark, base, selected, ["text"], scratch_path(spark, "upsert-out"))
+
+
+def q_delimited_roundtrip(spark, sf_dir):
+    profile = prof.text_profile(_lines(spark, sf_dir), compat=False)
+    path = scratch_path(spark, "delimited")
+    sinks.export_delimited(profile, path)
+    return sinks.read_delimited(spark, path, profile.schema)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "row_count": q_row_count,
@@ -129,6 +217,21 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "text_shares": q_text_shares,
         "text_profile_compat": _profile(True),
         "text_profile_fixed": _profile(False),
+        "text_ids": q_text_ids,
+        "document_text_counts": q_document_text_counts,
+        "extract_in": _extract("in"),
+        "extract_greater": _extract("greater"),
+        "extract_between": _extract("between"),
+        "pareto_amount": q_pareto_amount,
+        "pareto_count": q_pareto_count,
+        "pareto_flags": q_pareto_flags,
+        "pareto_summary": q_pareto_summary,
+        "client_profile": q_client_profile,
+        "client_lists": q_client_lists,
+        "cleaned_export": q_cleaned_export,
+        "append_roundtrip": q_append_roundtrip,
+        "upsert_roundtrip": q_upsert_roundtrip,
+        "delimited_roundtrip": q_delimited_roundtrip,
     }
 
 
@@ -171,11 +274,11 @@ _GROUPS = f"""groups AS (
 _WITH_GROUPS = f"WITH {_LINES},\n{_PREPARED},\n{_GROUPS}\n"
 
 
-def _profile_sql(compat: bool) -> str:
+def _profile_select(compat: bool, keep_empty: bool = False) -> str:
     noite = "n_noite_compat" if compat else "n_noite_fixed"
     madr = "n_dia" if compat else "n_madrugada"
-    return _WITH_GROUPS + f"""
-SELECT g.text, CAST(g.cnt AS BIGINT) AS "count", CAST(g.amount AS DOUBLE) AS amount, g.category,
+    where = "" if keep_empty else "WHERE g.text <> ''"
+    return f"""SELECT g.text, CAST(g.cnt AS BIGINT) AS "count", CAST(g.amount AS DOUBLE) AS amount, g.category,
        CAST(g.cnt AS DOUBLE) / CAST(t.tot_cnt AS DOUBLE) AS percentual_count,
        CAST(g.amount AS DOUBLE) / CAST(t.tot_amount AS DOUBLE) AS percentual_amount,
        g.quartil AS category_percentual_quartil,
@@ -186,7 +289,50 @@ SELECT g.text, CAST(g.cnt AS BIGINT) AS "count", CAST(g.amount AS DOUBLE) AS amo
        CAST(g.{noite} AS DOUBLE) / CAST(g.cnt AS DOUBLE) AS percentual_noite,
        CAST(g.{madr} AS DOUBLE) / CAST(g.cnt AS DOUBLE) AS percentual_madrugada
 FROM groups g CROSS JOIN (SELECT sum(cnt) AS tot_cnt, sum(amount) AS tot_amount FROM groups) t
-WHERE g.text <> ''"""
+{where}"""
+
+
+def _profile_sql(compat: bool) -> str:
+    return _WITH_GROUPS + _profile_select(compat)
+
+
+_PROFILE_COLS = ", ".join(f'"{c}"' if c == "count" else c for c in PROFILE_COLUMNS)
+
+_RANKED = (
+    _WITH_GROUPS
+    + f""",
+prof AS ({_profile_select(True)}),
+sel AS (SELECT CAST(ceil(count(*) * CAST({PARETO_SHARE} AS DOUBLE)) AS BIGINT) AS n FROM groups),
+ranked AS (
+  SELECT p.*,
+         row_number() OVER (ORDER BY percentual_amount DESC NULLS LAST, text) AS rank_amount,
+         row_number() OVER (ORDER BY percentual_count DESC NULLS LAST, text) AS rank_count
+  FROM prof p)
+"""
+)
+
+
+def _pareto_selection_sql(by: str) -> str:
+    return _RANKED + f"SELECT {_PROFILE_COLS}, rank_{by} AS rank FROM ranked, sel WHERE rank_{by} <= sel.n"
+
+
+def _chunk_sql(c: str, span: int) -> str:
+    return f"({c} - (({c} % {span}) + {span}) % {span}) // {span}"
+
+
+_CLIENT_LINES = f"""cl AS (
+  SELECT {_clean_sql('text')} AS text, institution, user_id, category, row_id, CAST(amount AS DECIMAL(18,2)) AS amount
+  FROM lines
+  WHERE row_id IS NOT NULL AND amount IS NOT NULL AND text IS NOT NULL AND category IS NOT NULL
+    AND user_id IS NOT NULL)"""
+
+_EXTRACT_SQL = {
+    "in": "category IN ('INDEFINIDO', 'click')",
+    "greater": "amount > 400.0",
+    "between": "category_pct BETWEEN 25.0 AND 50.0",
+}
+
+_LINE_COLS = "row_id, text, amount, category, category_pct, ts, user_id, institution"
 
 
 def _day_part_sql(compat: bool) -> str:
@@ -226,4 +372,51 @@ GROUP BY 1""",
        percentual_noite, percentual_madrugada FROM ({shares})""",
         "text_profile_compat": _profile_sql(True),
         "text_profile_fixed": _profile_sql(False),
+        "text_ids": f"""WITH {_LINES},
+{_PREPARED}
+SELECT text, {_chunk_sql('row_id', DEFAULT_ID_SPAN)} AS chunk, min(row_id) AS first_id, max(row_id) AS last_id,
+       count(*) AS n_ids, string_agg(CAST(row_id AS VARCHAR), '|' ORDER BY row_id) AS row_ids
+FROM prepared WHERE text <> '' GROUP BY 1, 2""",
+        "document_text_counts": f"""SELECT {_clean_sql('text')} AS text, count(*) AS "count",
+       CAST(sum(CAST(CAST(n_chars AS DOUBLE) AS DECIMAL(18,2))) AS DOUBLE) AS amount
+FROM documents
+WHERE doc_id IS NOT NULL AND n_chars IS NOT NULL AND text IS NOT NULL AND lang IS NOT NULL
+GROUP BY 1""",
+        **{f"extract_{k}": f"WITH {_LINES} SELECT {_LINE_COLS} FROM lines WHERE {v}" for k, v in _EXTRACT_SQL.items()},
+        "pareto_amount": _pareto_selection_sql("amount"),
+        "pareto_count": _pareto_selection_sql("count"),
+        "pareto_flags": _RANKED + f"""SELECT {_PROFILE_COLS},
+       CASE WHEN rank_amount <= sel.n THEN 1 END AS pareto_amount,
+       CASE WHEN rank_count <= sel.n THEN 1 END AS pareto_count
+FROM ranked, sel""",
+        "pareto_summary": _RANKED + f"""SELECT r.ranking,
+       coalesce(CAST(sum(CAST(p.amount AS DECIMAL(28,2))) AS DOUBLE), 0.0) AS amount,
+       count(p.text) FILTER (WHERE p.category <> '{UNDEFINED_CATEGORY}') AS categorised_groups,
+       count(p.text) FILTER (WHERE p.category = '{UNDEFINED_CATEGORY}') AS undefined_groups
+FROM (VALUES ('amount'), ('count')) r(ranking)
+CROSS JOIN sel
+LEFT JOIN ranked p ON (CASE WHEN r.ranking = 'amount' THEN p.rank_amount ELSE p.rank_count END) <= sel.n
+GROUP BY r.ranking""",
+        "client_profile": f"""WITH {_LINES},
+{_CLIENT_LINES}
+SELECT text, institution, count(*) AS "count", CAST(sum(amount) AS DOUBLE) AS value,
+       arg_min(category, row_id) AS category, count(DISTINCT user_id) AS count_clients
+FROM cl WHERE text <> '' GROUP BY 1, 2""",
+        "client_lists": f"""WITH {_LINES},
+{_CLIENT_LINES}
+SELECT text, institution, {_chunk_sql('user_id', DEFAULT_ID_SPAN)} AS chunk, min(user_id) AS first_id,
+       max(user_id) AS last_id, count(*) AS n_ids,
+       string_agg(CAST(user_id AS VARCHAR), '|' ORDER BY user_id) AS clients
+FROM (SELECT DISTINCT text, institution, user_id FROM cl WHERE text <> '') GROUP BY 1, 2, 3""",
+        "cleaned_export": f"""SELECT doc_id AS id, max(clean) AS text
+FROM (SELECT doc_id, {_clean_sql('text')} AS clean FROM documents WHERE text IS NOT NULL)
+WHERE clean <> '' GROUP BY doc_id""",
+        "append_roundtrip": f"""WITH {_LINES}
+SELECT {_LINE_COLS} FROM lines WHERE {_EXTRACT_SQL['between']}
+UNION ALL
+SELECT {_LINE_COLS} FROM lines WHERE {_EXTRACT_SQL['between']}""",
+        "upsert_roundtrip": _RANKED + f"""SELECT {_PROFILE_COLS},
+       CASE WHEN rank_amount <= sel.n THEN 1 END AS pareto_amount
+FROM ranked, sel""",
+        "delimited_roundtrip": _profile_sql(False),
     }

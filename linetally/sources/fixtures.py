@@ -65,3 +65,21 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ``documents`` table: long multilingual texts with a unique
     ``doc_id``; the high-cardinality key for cleaning and grouping."""
     return table(spark, sf_dir, "documents")
+
+
+def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``documents`` seen as statement lines: the document id, its full
+    text, its length as the amount and its language as the category. Used
+    where a high-cardinality text key is wanted (about one distinct cleaned
+    text per document)."""
+    docs = documents(spark, sf_dir)
+    return docs.select(
+        F.col("doc_id").alias(LINE_COLUMNS.row_id),
+        F.col("text").alias(LINE_COLUMNS.text),
+        F.col("n_chars").cast(T.DoubleType()).alias(LINE_COLUMNS.amount),
+        F.col("lang").alias(LINE_COLUMNS.category),
+        F.lit(None).cast(T.DoubleType()).alias(LINE_COLUMNS.category_pct),
+        F.lit(None).cast(T.TimestampNTZType()).alias(LINE_COLUMNS.ts),
+        F.lit(None).cast(T.LongType()).alias(LINE_COLUMNS.user_id),
+        F.col("source").alias(LINE_COLUMNS.institution),
+    )

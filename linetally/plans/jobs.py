@@ -76,7 +76,7 @@ def profile_job(
 
 
 def export_job(spark: SparkSession, source: Source, id_col: str, text_col: str, output: str, fmt: str = "parquet",
-               one_per_id: bool = True) -> None:
+               one_per_id: bool | None = None) -> None:
     """Cleaned-text export (S5) to ``output`` on shared storage."""
     sinks.export_cleaned_texts(source.load(spark), id_col, text_col, output, fmt, one_per_id)
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import UNDEFINED_CATEGORY, LineColumns
+from .tables import spread
 
 LINE_COLUMNS = LineColumns()
 
@@ -30,8 +31,14 @@ JOIN part p ON e.event_id % (SELECT count(*) FROM part) = p.p_partkey
 """
 
 
+# Key used to spread a small table over the cores (see tables.spread).
+_SPREAD_KEYS = {"events": ["event_id"], "documents": ["doc_id"]}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    keys = _SPREAD_KEYS.get(name)
+    return spread(df, keys) if keys else df
 
 
 def statement_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

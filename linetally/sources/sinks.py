@@ -84,16 +84,25 @@ def upsert(spark: SparkSession, existing_path: str, updates: DataFrame, keys: Se
     return spark.read.format(fmt).load(out_path)
 
 
-def cleaned_texts(df: DataFrame, id_col: str, text_col: str, one_per_id: bool = True) -> DataFrame:
+def ids_unique(df: DataFrame, id_col: str) -> bool:
+    """Whether no id occurs twice. An action that reads only the id column
+    and shuffles only ids (partially aggregated first), so it is much
+    cheaper than a shuffle of the rows themselves."""
+    dup = df.groupBy(id_col).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
+    return dup.isEmpty()
+
+
+def cleaned_texts(df: DataFrame, id_col: str, text_col: str, one_per_id: bool | None = None) -> DataFrame:
     """What the cleaned-text export writes (S5): ``id`` and cleaned ``text``
     for rows whose cleaned text is not empty; null texts are skipped.
 
     A null id fails the job (the original failed on it too), before any
     output is committed. The original wrote one file per id, so rows sharing
-    an id overwrote each other in whatever order they ran; with
-    ``one_per_id`` the greatest cleaned text per id is kept, which is
-    repeatable. Pass ``one_per_id=False`` when ids are known to be unique to
-    skip that aggregation's shuffle.
+    an id overwrote each other in whatever order they ran; here the greatest
+    cleaned text per id is kept, which is repeatable. That needs a shuffle of
+    all cleaned texts by id, so ``one_per_id=None`` (the default) first
+    checks with :func:`ids_unique` and skips the shuffle when ids are
+    already unique; ``True`` / ``False`` force the choice without the check.
     """
     ident = F.col(id_col)
     checked = F.when(ident.isNull(), F.raise_error(F.lit(f"null value in id column {id_col}"))).otherwise(ident)
@@ -102,13 +111,15 @@ def cleaned_texts(df: DataFrame, id_col: str, text_col: str, one_per_id: bool =
         .select(checked.alias("id"), clean_text(F.col(text_col).cast(T.StringType())).alias("text"))
         .where(F.col("text") != F.lit(""))
     )
+    if one_per_id is None:
+        one_per_id = not ids_unique(df, id_col)
     if one_per_id:
         rows = rows.groupBy("id").agg(F.max("text").alias("text"))
     return rows
 
 
 def export_cleaned_texts(df: DataFrame, id_col: str, text_col: str, path: str, fmt: str = "parquet",
-                         one_per_id: bool = True, mode: str = "errorifexists") -> None:
+                         one_per_id: bool | None = None, mode: str = "errorifexists") -> None:
     """Write :func:`cleaned_texts` to ``path`` on shared storage. ``fmt`` may
     be parquet, json, orc or csv."""
     cleaned_texts(df, id_col, text_col, one_per_id).write.mode(mode).format(fmt).save(path)

@@ -66,6 +66,39 @@ def scan(
     return df
 
 
+def _size_estimate(df: DataFrame) -> int | None:
+    try:
+        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except Exception:  # noqa: BLE001 - an estimate is optional
+        return None
+
+
+def _bytes(value: str) -> int:
+    v = value.strip().lower().rstrip("b")
+    mult = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}.get(v[-1:], 1)
+    return int(float(v[:-1] if mult > 1 else v) * mult)
+
+
+def spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Hash-partition a *tiny* source over all cores.
+
+    An input no larger than one file split (``maxPartitionBytes``) is read
+    by a single task, so per-row work on it (text cleaning, JSON parsing)
+    would run on one core. When Catalyst's size estimate of ``df`` is within
+    one split, the rows are hash-partitioned by ``keys`` into
+    ``defaultParallelism`` partitions; the shuffle moves at most one split's
+    worth of data. Anything larger is returned unchanged: it already has
+    several splits, and on a large input this exchange never appears.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    split = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
+    size = _size_estimate(df)
+    if size is None or cores <= 1 or size > split:
+        return df
+    return df.repartition(cores, *keys)
+
+
 def row_count(df: DataFrame) -> DataFrame:
     """Number of rows of a query (A1), as a one-row DataFrame."""
     return df.agg(F.count(F.lit(1)).alias("row_count"))

@@ -53,3 +53,11 @@ def test_scan_fields_where_limit(spark, scratch):
     assert df.columns == ["row_id", "amount"]
     # ascending order puts the null id first
     assert [r["row_id"] for r in df.collect()] == [None, 1]
+
+
+def test_cleaned_export_skips_dedupe_for_unique_ids(spark):
+    df = spark.createDataFrame([(1, "Olá"), (2, "x1")], "id long, t string")
+    plan = sinks.cleaned_texts(df, "id", "t")._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan
+    dup = spark.createDataFrame([(1, "a"), (1, "b")], "id long, t string")
+    assert [tuple(r) for r in sinks.cleaned_texts(dup, "id", "t").collect()] == [(1, "b")]

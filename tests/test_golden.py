@@ -88,3 +88,9 @@ def test_all_texts_empty(spark):
 def test_nan_amount_is_not_dropped_by_gate(spark):
     df = spark.createDataFrame([(1, "a", float("nan"), "X", 10.0, None, 1, "I")], lines(spark).schema)
     assert prof.gate(df).count() == 1
+
+
+def test_round_to_two_places(spark):
+    rows = {r["text"]: r for r in prof.text_profile(lines(spark), round_to=2).collect()}
+    assert rows["pagto cartão"]["percentual_amount"] == 0.67
+    assert rows["posto_x"]["percentual_amount"] == 0.22

@@ -61,3 +61,14 @@ def test_cleaned_export_skips_dedupe_for_unique_ids(spark):
     assert "Aggregate" not in plan
     dup = spark.createDataFrame([(1, "a"), (1, "b")], "id long, t string")
     assert [tuple(r) for r in sinks.cleaned_texts(dup, "id", "t").collect()] == [(1, "b")]
+
+
+def test_namespace_append_and_read(spark):
+    from linetally.sources.tables import read_table
+
+    spark.sql("CREATE DATABASE IF NOT EXISTS lt_ns")
+    df = lines(spark).where(F.col("row_id").isNotNull())
+    assert sinks.append(df, "lines_out", namespace="lt_ns")
+    back = read_table(spark, "lines_out", namespace="lt_ns")
+    assert back.count() == df.count()
+    assert scan(spark, "lt_ns.lines_out", fields="row_id", where="row_id > 4").count() == 4

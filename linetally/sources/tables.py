@@ -68,7 +68,7 @@ def scan(
 
 def _size_estimate(df: DataFrame) -> int | None:
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except Exception:  # noqa: BLE001 - an estimate is optional
         return None
 

@@ -10,9 +10,10 @@ taken to be distinct user ids, and like the row id list it is a relation of
 bounded chunks (:func:`client_lists`), not one cell per group.
 
 Plan: one hash aggregate by (text, institution, user, category) with
-numeric buffers does the heavy reduction; the merge by (text, institution)
-and the distinct-client count run on that reduced frame. A frequent text is
-spread over tasks by user in the first stage.
+numeric buffers does the heavy reduction; everything after it runs on that
+reduced frame, again as hash aggregates (see
+:func:`profile_from_client_lines`). A frequent text is spread over tasks by
+user in the first stage.
 """
 
 from __future__ import annotations
@@ -50,15 +51,27 @@ def client_lines(lines: DataFrame, cols: LineColumns = DEFAULT_COLUMNS) -> DataF
 
 def profile_from_client_lines(reduced: DataFrame, keep_empty: bool = False) -> DataFrame:
     """Columns ``text``, ``institution``, ``count``, ``value``,
-    ``category`` (of the line with the least row id) and ``count_clients``."""
+    ``category`` (of the line with the least row id) and ``count_clients``.
+
+    Two hash-aggregated branches over the reduced frame, joined on their
+    common key: the measures and representative (first by category, with
+    numeric buffers only, then a merge of one row per category) and the
+    distinct clients (a distinct on (text, institution, user), then a
+    count). Both sides arrive hash-partitioned by (text, institution), so
+    the join adds no exchange of its own.
+    """
     r = reduced if keep_empty else reduced.where(F.col("text") != F.lit(""))
-    out = r.groupBy("text", "institution").agg(
+    keys = ["text", "institution"]
+    per_category = r.groupBy(*keys, "category").agg(
+        F.sum("cnt").alias("cnt"), F.sum("amount").alias("amount"), F.min("first_id").alias("first_id")
+    )
+    measures = per_category.groupBy(*keys).agg(
         F.sum("cnt").alias("count"),
         F.sum("amount").alias("value"),
         F.min(F.struct("first_id", "category")).alias("rep"),
-        F.count_distinct("user_id").alias("count_clients"),
     )
-    return out.select(
+    clients = r.select(*keys, "user_id").distinct().groupBy(*keys).agg(F.count(F.lit(1)).alias("count_clients"))
+    return measures.join(clients, keys, "inner").select(
         "text",
         "institution",
         F.col("count").cast(T.LongType()).alias("count"),

@@ -94,3 +94,16 @@ def test_round_to_two_places(spark):
     rows = {r["text"]: r for r in prof.text_profile(lines(spark), round_to=2).collect()}
     assert rows["pagto cartão"]["percentual_amount"] == 0.67
     assert rows["posto_x"]["percentual_amount"] == 0.22
+
+
+def test_client_profile(spark):
+    from linetally.operators.clients import client_report
+
+    prof_df, lists = client_report(lines(spark), span=100)
+    got = {(r["text"], r["institution"]): (r["count"], r["value"], r["category"], r["count_clients"]) for r in prof_df.collect()}
+    assert got == {
+        ("pagto cartão", "BANK_A"): (2, 30.0, "ALIM", 2),
+        ("posto_x", "BANK_B"): (2, 10.0, "TRANSP", 2),
+    }
+    got = {(r["text"], r["institution"]): r["clients"] for r in lists.collect()}
+    assert got == {("pagto cartão", "BANK_A"): "100|101", ("posto_x", "BANK_B"): "100|102"}

@@ -95,9 +95,16 @@ def is_undefined(category: Column | str, sentinel: str = UNDEFINED_CATEGORY) ->
 
 def money(amount: Column | str) -> Column:
     """Amount as ``decimal(18,2)``: sums over it are exact and do not depend
-    on merge order. Under ANSI mode a NaN, infinite or too large amount
-    fails the job instead of being dropped silently."""
-    return _col(amount).cast(MONEY)
+    on merge order.
+
+    A NaN or infinite amount fails the job, as it did in the original (a
+    plain cast would turn it into null even under ANSI mode, silently
+    leaving it out of the sums while the row is still counted). A finite
+    amount too large for the type fails under ANSI mode."""
+    a = _col(amount)
+    as_double = a.cast(T.DoubleType())
+    non_finite = F.isnan(as_double) | (F.abs(as_double) == F.lit(float("inf")))
+    return F.when(non_finite, F.raise_error(F.lit("non-finite amount"))).otherwise(a).cast(MONEY)
 
 
 def to_double(c: Column | str) -> Column:

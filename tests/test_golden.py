@@ -107,3 +107,21 @@ def test_client_profile(spark):
     }
     got = {(r["text"], r["institution"]): r["clients"] for r in lists.collect()}
     assert got == {("pagto cartão", "BANK_A"): "100|101", ("posto_x", "BANK_B"): "100|102"}
+
+
+@pytest.mark.parametrize("bad", [float("nan"), float("inf")])
+def test_non_finite_amount_fails_under_ansi(spark, bad):
+    df = spark.createDataFrame([(1, "a", bad, "X", 10.0, None, 1, "I")], lines(spark).schema)
+    assert spark.conf.get("spark.sql.ansi.enabled") == "true"
+    with pytest.raises(Exception):
+        prof.text_profile(df, materialize=False).collect()
+
+
+def test_malformed_percentage_strict_and_lenient(spark):
+    from pyspark.sql import functions as F
+
+    df = lines(spark).where(F.col("row_id") == 4).withColumn("category_pct", F.lit("n/a"))
+    with pytest.raises(Exception):
+        prof.text_profile(df, strict=True, materialize=False).collect()
+    r = prof.text_profile(df, strict=False, materialize=False).collect()[0]
+    assert r["category_percentual_quartil"] == 0

@@ -24,12 +24,11 @@ from linetally.operators.clients import client_report  # noqa: E402
 from linetally.operators.extract import filter_rows  # noqa: E402
 from linetally.operators.idlists import text_id_chunks  # noqa: E402
 from linetally.operators.pareto import pareto  # noqa: E402
-from linetally.schema import DEFAULT_ID_SPAN, PARETO_SHARE, PROFILE_COLUMNS  # noqa: E402
+from linetally.schema import DEFAULT_ID_SPAN, PARETO_SHARE, PROFILE_COLUMNS, UNDEFINED_CATEGORY  # noqa: E402
 from linetally.session import scratch_path  # noqa: E402
-from linetally.sources import sinks  # noqa: E402
-from linetally.schema import UNDEFINED_CATEGORY  # noqa: E402
-from linetally.sources import fixtures  # noqa: E402
-from linetally.sources.fixtures import STATEMENT_LINES_SQL  # noqa: E402
+from linetally.sources import fixtures, sinks  # noqa: E402
+from linetally.sources.fixtures import DOCUMENT_LINES_SQL, STATEMENT_LINES_SQL  # noqa: E402
+from linetally.streaming.profile_stream import start_text_groups_stream  # noqa: E402
 from linetally.sources.tables import row_count, scan  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -203,6 +202,27 @@ def q_delimited_roundtrip(spark, sf_dir):
     return sinks.read_delimited(spark, path, profile.schema)
 
 
+def q_document_pareto_count(spark, sf_dir):
+    groups = prof.grouped(fixtures.document_lines(spark, sf_dir))
+    return pareto(groups, PARETO_SHARE, compat=True).selection("count")
+
+
+_GROUP_COLUMNS = ("text", "cnt", "amount", "undefined_count", "undefined_amount", "first_id", "category",
+                  "quartil", "n_madrugada", "n_dia", "n_tarde", "n_noite_compat", "n_noite_fixed")
+
+
+def q_stream_text_groups(spark, sf_dir):
+    snapshot = scratch_path(spark, "stream-snapshot")
+    query = start_text_groups_stream(fixtures.statement_lines_stream(spark, sf_dir), snapshot_path=snapshot,
+                                     available_now=True)
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+    groups = spark.read.parquet(snapshot)
+    return groups.select(*[F.col(c).cast("double").alias(c) if c in ("amount", "undefined_amount") else c
+                           for c in _GROUP_COLUMNS])
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "row_count": q_row_count,
@@ -232,6 +252,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "append_roundtrip": q_append_roundtrip,
         "upsert_roundtrip": q_upsert_roundtrip,
         "delimited_roundtrip": q_delimited_roundtrip,
+        "document_pareto_count": q_document_pareto_count,
+        "stream_text_groups": q_stream_text_groups,
     }
 
 
@@ -252,6 +274,7 @@ _BUCKET = """CASE WHEN {p} > 0 AND {p} <= 25 THEN 1
      WHEN {p} > 75 AND {p} <= 100 THEN 4 ELSE 0 END"""
 
 _LINES = f"lines AS ({STATEMENT_LINES_SQL})"
+_DOC_LINES = f"lines AS ({DOCUMENT_LINES_SQL})"
 
 _PREPARED = f"""prepared AS (
   SELECT {_clean_sql('text')} AS text, row_id, CAST(amount AS DECIMAL(18,2)) AS amount, category,
@@ -260,7 +283,7 @@ _PREPARED = f"""prepared AS (
   WHERE row_id IS NOT NULL AND amount IS NOT NULL AND text IS NOT NULL AND category IS NOT NULL)"""
 
 _GROUPS = f"""groups AS (
-  SELECT text, count(*) AS cnt, sum(amount) AS amount,
+  SELECT text, count(*) AS cnt, sum(amount) AS amount, min(row_id) AS first_id,
          count(*) FILTER (WHERE category = '{UNDEFINED_CATEGORY}') AS undefined_count,
          coalesce(sum(amount) FILTER (WHERE category = '{UNDEFINED_CATEGORY}'), 0) AS undefined_amount,
          arg_min(category, row_id) AS category, arg_min(quartil, row_id) AS quartil,
@@ -272,6 +295,7 @@ _GROUPS = f"""groups AS (
   FROM prepared GROUP BY text)"""
 
 _WITH_GROUPS = f"WITH {_LINES},\n{_PREPARED},\n{_GROUPS}\n"
+_WITH_DOC_GROUPS = f"WITH {_DOC_LINES},\n{_PREPARED},\n{_GROUPS}\n"
 
 
 def _profile_select(compat: bool, keep_empty: bool = False) -> str:
@@ -298,9 +322,8 @@ def _profile_sql(compat: bool) -> str:
 
 _PROFILE_COLS = ", ".join(f'"{c}"' if c == "count" else c for c in PROFILE_COLUMNS)
 
-_RANKED = (
-    _WITH_GROUPS
-    + f""",
+def _ranked(with_groups: str) -> str:
+    return with_groups + f""",
 prof AS ({_profile_select(True)}),
 sel AS (SELECT CAST(ceil(count(*) * CAST({PARETO_SHARE} AS DOUBLE)) AS BIGINT) AS n FROM groups),
 ranked AS (
@@ -309,11 +332,13 @@ ranked AS (
          row_number() OVER (ORDER BY percentual_count DESC NULLS LAST, text) AS rank_count
   FROM prof p)
 """
-)
 
 
-def _pareto_selection_sql(by: str) -> str:
-    return _RANKED + f"SELECT {_PROFILE_COLS}, rank_{by} AS rank FROM ranked, sel WHERE rank_{by} <= sel.n"
+_RANKED = _ranked(_WITH_GROUPS)
+
+
+def _pareto_selection_sql(by: str, with_groups: str = _WITH_GROUPS) -> str:
+    return _ranked(with_groups) + f"SELECT {_PROFILE_COLS}, rank_{by} AS rank FROM ranked, sel WHERE rank_{by} <= sel.n"
 
 
 def _chunk_sql(c: str, span: int) -> str:
@@ -419,4 +444,12 @@ SELECT {_LINE_COLS} FROM lines WHERE {_EXTRACT_SQL['between']}""",
        CASE WHEN rank_amount <= sel.n THEN 1 END AS pareto_amount
 FROM ranked, sel""",
         "delimited_roundtrip": _profile_sql(False),
+        "document_pareto_count": _pareto_selection_sql("count", _WITH_DOC_GROUPS),
+        "stream_text_groups": _WITH_GROUPS + """
+SELECT text, CAST(cnt AS BIGINT) AS cnt, CAST(amount AS DOUBLE) AS amount,
+       CAST(undefined_count AS BIGINT) AS undefined_count, CAST(undefined_amount AS DOUBLE) AS undefined_amount,
+       first_id, category, quartil, CAST(n_madrugada AS BIGINT) AS n_madrugada, CAST(n_dia AS BIGINT) AS n_dia,
+       CAST(n_tarde AS BIGINT) AS n_tarde, CAST(n_noite_compat AS BIGINT) AS n_noite_compat,
+       CAST(n_noite_fixed AS BIGINT) AS n_noite_fixed
+FROM groups""",
     }

@@ -1,4 +1,4 @@
-"""Statement lines derived from the benchmark tables.
+"""Statement lines derived from the test tables.
 
 The test data has no table of categorised statement lines, so one is
 derived from ``events`` and ``part``: every event becomes a line whose text
@@ -41,16 +41,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spread(df, keys) if keys else df
 
 
-def statement_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines with the columns of :class:`LineColumns` from ``events`` x ``part``.
-
-    The join key is ``event_id % count(part)``; the count is a scalar
-    subquery that Spark evaluates once. The join strategy is left to the
-    optimizer: ``part`` is broadcast only while its measured size is under
-    the broadcast threshold, otherwise the join is a shuffle join on the key.
-    """
-    events = table(spark, sf_dir, "events")
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_brand")
+def lines_from(events: DataFrame, part: DataFrame) -> DataFrame:
+    """Statement lines from an ``events`` frame (batch or streaming) and the
+    ``part`` table; see :func:`statement_lines`."""
+    part = part.select("p_partkey", "p_name", "p_type", "p_brand")
     n_parts = part.select(F.count(F.lit(1))).scalar()
     keyed = events.withColumn("_part_key", F.col("event_id") % n_parts)
     joined = keyed.join(part, keyed["_part_key"] == part["p_partkey"], "inner")
@@ -68,6 +62,27 @@ def statement_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def statement_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with the columns of :class:`LineColumns` from ``events`` x ``part``.
+
+    The join key is ``event_id % count(part)``; the count is a scalar
+    subquery that Spark evaluates once. The join strategy is left to the
+    optimizer: ``part`` is broadcast only while its measured size is under
+    the broadcast threshold, otherwise the join is a shuffle join on the key.
+    """
+    return lines_from(table(spark, sf_dir, "events"), table(spark, sf_dir, "part"))
+
+
+def statement_lines_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same lines with ``events`` read as a file stream (every Parquet
+    file of the events table is a new input file); ``part`` stays static,
+    so the join is a stream-static join."""
+    base = sf_dir.rstrip("/")
+    schema = spark.read.parquet(f"{base}/events.parquet").schema
+    events = spark.readStream.schema(schema).parquet(f"{base}/events*.parquet")
+    return lines_from(events, table(spark, sf_dir, "part"))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ``documents`` table: long multilingual texts with a unique
     ``doc_id``; the high-cardinality key for cleaning and grouping."""
@@ -90,3 +105,11 @@ def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast(T.LongType()).alias(LINE_COLUMNS.user_id),
         F.col("source").alias(LINE_COLUMNS.institution),
     )
+
+
+DOCUMENT_LINES_SQL = """
+SELECT doc_id AS row_id, text, CAST(n_chars AS DOUBLE) AS amount, lang AS category,
+       CAST(NULL AS DOUBLE) AS category_pct, CAST(NULL AS TIMESTAMP) AS ts,
+       CAST(NULL AS BIGINT) AS user_id, source AS institution
+FROM documents
+"""

@@ -71,15 +71,18 @@ def start_text_groups_stream(
     checkpoint_location: str | None = None,
     query_name: str | None = None,
     foreach_batch: Callable[[DataFrame, int], None] | None = None,
+    snapshot_path: str | None = None,
     output_mode: str = "complete",
     available_now: bool = False,
     processing_time: str | None = None,
 ) -> StreamingQuery:
     """Start the streaming aggregation.
 
-    With ``foreach_batch`` each micro-batch's result is handed to that
-    function (e.g. to write a snapshot table); otherwise the result goes to
-    an in-memory table named ``query_name`` (for tests and notebooks). The
+    With ``snapshot_path`` (complete mode) each micro-batch's result replaces
+    a Parquet snapshot at that path, written by the executors; with
+    ``foreach_batch`` the result is handed to that function; otherwise it
+    goes to an in-memory table named ``query_name`` (small results only:
+    the memory sink keeps them on the driver). The
     checkpoint defaults to a fresh folder below the shared folder, so the
     query's state survives executor and driver restarts.
     """
@@ -88,7 +91,15 @@ def start_text_groups_stream(
     writer = groups.writeStream.outputMode(output_mode).option(
         "checkpointLocation", checkpoint_location or scratch_path(spark, "stream-checkpoint")
     )
-    if foreach_batch is not None:
+    if snapshot_path is not None:
+        if output_mode != "complete":
+            raise ValueError("a snapshot needs output_mode='complete'")
+
+        def write_snapshot(batch: DataFrame, epoch: int) -> None:
+            batch.write.mode("overwrite").parquet(snapshot_path)
+
+        writer = writer.foreachBatch(write_snapshot)
+    elif foreach_batch is not None:
         writer = writer.foreachBatch(foreach_batch)
     else:
         writer = writer.format("memory").queryName(query_name or "text_groups")

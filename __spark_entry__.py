@@ -24,6 +24,7 @@ from linetally.operators.clients import client_report  # noqa: E402
 from linetally.operators.extract import filter_rows  # noqa: E402
 from linetally.operators.idlists import text_id_chunks  # noqa: E402
 from linetally.operators.pareto import pareto  # noqa: E402
+from linetally.operators.report import text_report  # noqa: E402
 from linetally.schema import DEFAULT_ID_SPAN, PARETO_SHARE, PROFILE_COLUMNS, UNDEFINED_CATEGORY  # noqa: E402
 from linetally.session import scratch_path  # noqa: E402
 from linetally.sources import fixtures, sinks  # noqa: E402
@@ -223,6 +224,14 @@ def q_stream_text_groups(spark, sf_dir):
                            for c in _GROUP_COLUMNS])
 
 
+def q_report_profile(spark, sf_dir):
+    return text_report(_lines(spark, sf_dir)).profile(compat=True)
+
+
+def q_report_ids(spark, sf_dir):
+    return text_report(_lines(spark, sf_dir)).id_chunks()
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "row_count": q_row_count,
@@ -254,6 +263,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "delimited_roundtrip": q_delimited_roundtrip,
         "document_pareto_count": q_document_pareto_count,
         "stream_text_groups": q_stream_text_groups,
+        "report_profile": q_report_profile,
+        "report_ids": q_report_ids,
     }
 
 
@@ -445,6 +456,12 @@ SELECT {_LINE_COLS} FROM lines WHERE {_EXTRACT_SQL['between']}""",
 FROM ranked, sel""",
         "delimited_roundtrip": _profile_sql(False),
         "document_pareto_count": _pareto_selection_sql("count", _WITH_DOC_GROUPS),
+        "report_profile": _profile_sql(True),
+        "report_ids": f"""WITH {_LINES},
+{_PREPARED}
+SELECT text, {_chunk_sql('row_id', DEFAULT_ID_SPAN)} AS chunk, min(row_id) AS first_id, max(row_id) AS last_id,
+       count(*) AS n_ids, string_agg(CAST(row_id AS VARCHAR), '|' ORDER BY row_id) AS row_ids
+FROM prepared WHERE text <> '' GROUP BY 1, 2""",
         "stream_text_groups": _WITH_GROUPS + """
 SELECT text, CAST(cnt AS BIGINT) AS cnt, CAST(amount AS DOUBLE) AS amount,
        CAST(undefined_count AS BIGINT) AS undefined_count, CAST(undefined_amount AS DOUBLE) AS undefined_amount,

@@ -94,8 +94,18 @@ def text_groups(
     ``n_noite_compat``, ``n_noite_fixed``.
     """
     p = prepared_lines(lines, cols, strict)
+    return merge_categories(p.groupBy("text", "category").agg(*line_measures()), sentinel)
+
+
+DAY_PART_COUNTS = ("n_madrugada", "n_dia", "n_tarde", "n_noite_compat", "n_noite_fixed")
+
+
+def line_measures() -> list[Column]:
+    """Aggregates over prepared lines, all with numeric buffers (so a hash
+    aggregate with partial aggregation computes them): ``cnt``, ``amount``,
+    ``first_id``, ``first_quartil`` and the day-part counts."""
     h = F.col("hour")
-    per_category = p.groupBy("text", "category").agg(
+    return [
         F.count(F.lit(1)).alias("cnt"),
         F.sum("amount").alias("amount"),
         F.min("row_id").alias("first_id"),
@@ -105,7 +115,26 @@ def text_groups(
         F.count_if(is_tarde(h)).alias("n_tarde"),
         F.count_if(is_noite(h, compat=True)).alias("n_noite_compat"),
         F.count_if(is_noite(h, compat=False)).alias("n_noite_fixed"),
-    )
+    ]
+
+
+def merged_measures() -> list[Column]:
+    """The same measures re-aggregated from rows of :func:`line_measures`
+    (for a coarser key)."""
+    return [
+        F.sum("cnt").alias("cnt"),
+        F.sum("amount").alias("amount"),
+        F.min("first_id").alias("first_id"),
+        F.min_by("first_quartil", "first_id").alias("first_quartil"),
+        *[F.sum(c).alias(c) for c in DAY_PART_COUNTS],
+    ]
+
+
+def merge_categories(per_category: DataFrame, sentinel: str = UNDEFINED_CATEGORY) -> DataFrame:
+    """From one row per (text, category) of :func:`line_measures` to one row
+    per text, choosing the representative row (least id; among rows sharing
+    it, the least category). The only step with a string in an aggregation
+    buffer, on the reduced frame."""
     undefined = F.col("category") == F.lit(sentinel)
     merged = per_category.groupBy("text").agg(
         F.sum("cnt").alias("cnt"),
@@ -113,7 +142,7 @@ def text_groups(
         F.sum(F.when(undefined, F.col("cnt")).otherwise(F.lit(0))).alias("undefined_count"),
         F.sum(F.when(undefined, F.col("amount"))).alias("undefined_amount"),
         F.min(F.struct("first_id", "category", "first_quartil")).alias("rep"),
-        *[F.sum(c).alias(c) for c in ("n_madrugada", "n_dia", "n_tarde", "n_noite_compat", "n_noite_fixed")],
+        *[F.sum(c).alias(c) for c in DAY_PART_COUNTS],
     )
     return merged.select(
         "text",
@@ -124,11 +153,7 @@ def text_groups(
         F.col("rep.first_id").alias("first_id"),
         F.col("rep.category").alias("category"),
         F.col("rep.first_quartil").alias("quartil"),
-        "n_madrugada",
-        "n_dia",
-        "n_tarde",
-        "n_noite_compat",
-        "n_noite_fixed",
+        *DAY_PART_COUNTS,
     )
 
 

@@ -40,7 +40,13 @@ def shared_folder(spark: SparkSession) -> str:
     missing setting is an error, since a machine-local folder would not be
     visible to the other executors.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session has no context
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder:
+            raise RuntimeError("spark.checkpoint.dir is not set; point it at shared storage")
+        return folder.rstrip("/")
     folder = sc.getCheckpointDir()
     if not folder:
         folder = sc.getConf().get("spark.checkpoint.dir", None)

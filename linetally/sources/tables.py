@@ -91,7 +91,10 @@ def spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     several splits, and on a large input this exchange never appears.
     """
     spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
+    try:
+        cores = spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - no context (Spark Connect): leave the input as it is
+        return df
     split = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
     size = _size_estimate(df)
     if size is None or cores <= 1 or size > split:

@@ -125,3 +125,10 @@ def test_malformed_percentage_strict_and_lenient(spark):
         prof.text_profile(df, strict=True, materialize=False).collect()
     r = prof.text_profile(df, strict=False, materialize=False).collect()[0]
     assert r["category_percentual_quartil"] == 0
+
+
+def test_pareto_on_empty_input(spark):
+    p = pareto(prof.grouped(lines(spark).limit(0)))
+    assert (p.n, p.unique_texts) == (0, 0)
+    assert p.flags().count() == 0 and p.selection("amount").count() == 0
+    assert sorted(tuple(r) for r in p.summary().collect()) == [("amount", 0.0, 0, 0), ("count", 0.0, 0, 0)]

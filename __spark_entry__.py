@@ -356,6 +356,17 @@ def _chunk_sql(c: str, span: int) -> str:
     return f"({c} - (({c} % {span}) + {span}) % {span}) // {span}"
 
 
+def _id_chunks_sql(source: str, keys: str, ident: str, out: str, span: int = DEFAULT_ID_SPAN) -> str:
+    """Id chunks by brute force: position of each id in its group's id range
+    (row_number), cut into parts of `span` positions."""
+    return f"""SELECT {keys}, chunk, part, min({ident}) AS first_id, max({ident}) AS last_id, count(*) AS n_ids,
+       string_agg(CAST({ident} AS VARCHAR), '|' ORDER BY {ident}) AS {out}
+FROM (SELECT {keys}, {ident}, chunk,
+             (row_number() OVER (PARTITION BY {keys}, chunk ORDER BY {ident}) - 1) // {span} AS part
+      FROM (SELECT {keys}, {ident}, {_chunk_sql(ident, span)} AS chunk FROM {source}))
+GROUP BY ALL"""
+
+
 _CLIENT_LINES = f"""cl AS (
   SELECT {_clean_sql('text')} AS text, institution, user_id, category, row_id, CAST(amount AS DECIMAL(18,2)) AS amount
   FROM lines
@@ -410,9 +421,7 @@ GROUP BY 1""",
         "text_profile_fixed": _profile_sql(False),
         "text_ids": f"""WITH {_LINES},
 {_PREPARED}
-SELECT text, {_chunk_sql('row_id', DEFAULT_ID_SPAN)} AS chunk, min(row_id) AS first_id, max(row_id) AS last_id,
-       count(*) AS n_ids, string_agg(CAST(row_id AS VARCHAR), '|' ORDER BY row_id) AS row_ids
-FROM prepared WHERE text <> '' GROUP BY 1, 2""",
+{_id_chunks_sql("prepared WHERE text <> ''", "text", "row_id", "row_ids")}""",
         "document_text_counts": f"""SELECT {_clean_sql('text')} AS text, count(*) AS "count",
        CAST(sum(CAST(CAST(n_chars AS DOUBLE) AS DECIMAL(18,2))) AS DOUBLE) AS amount
 FROM documents
@@ -440,10 +449,7 @@ SELECT text, institution, count(*) AS "count", CAST(sum(amount) AS DOUBLE) AS va
 FROM cl WHERE text <> '' GROUP BY 1, 2""",
         "client_lists": f"""WITH {_LINES},
 {_CLIENT_LINES}
-SELECT text, institution, {_chunk_sql('user_id', DEFAULT_ID_SPAN)} AS chunk, min(user_id) AS first_id,
-       max(user_id) AS last_id, count(*) AS n_ids,
-       string_agg(CAST(user_id AS VARCHAR), '|' ORDER BY user_id) AS clients
-FROM (SELECT DISTINCT text, institution, user_id FROM cl WHERE text <> '') GROUP BY 1, 2, 3""",
+{_id_chunks_sql("(SELECT DISTINCT text, institution, user_id FROM cl WHERE text <> '')", "text, institution", "user_id", "clients")}""",
         "cleaned_export": f"""SELECT doc_id AS id, max(clean) AS text
 FROM (SELECT doc_id, {_clean_sql('text')} AS clean FROM documents WHERE text IS NOT NULL)
 WHERE clean <> '' GROUP BY doc_id""",
@@ -459,9 +465,7 @@ FROM ranked, sel""",
         "report_profile": _profile_sql(True),
         "report_ids": f"""WITH {_LINES},
 {_PREPARED}
-SELECT text, {_chunk_sql('row_id', DEFAULT_ID_SPAN)} AS chunk, min(row_id) AS first_id, max(row_id) AS last_id,
-       count(*) AS n_ids, string_agg(CAST(row_id AS VARCHAR), '|' ORDER BY row_id) AS row_ids
-FROM prepared WHERE text <> '' GROUP BY 1, 2""",
+{_id_chunks_sql("prepared WHERE text <> ''", "text", "row_id", "row_ids")}""",
         "stream_text_groups": _WITH_GROUPS + """
 SELECT text, CAST(cnt AS BIGINT) AS cnt, CAST(amount AS DOUBLE) AS amount,
        CAST(undefined_count AS BIGINT) AS undefined_count, CAST(undefined_amount AS DOUBLE) AS undefined_amount,

@@ -4,18 +4,18 @@ relation of bounded chunks.
 The original kept, for each text, all its row ids joined by ``|`` in one
 string. For a frequent text that is one unbounded cell, built in one task.
 Here the list is cut by id value: chunk ``c`` of a group holds the ids in
-``[c * span, (c + 1) * span)``, ascending, joined by ``|``. Concatenating a
-group's chunks in ``chunk`` order (with ``|`` between them) gives the
-original string exactly. A chunk holds at most ``span`` distinct ids, so no
-cell and no aggregation buffer grows with the data, and a frequent text is
-spread over many tasks (one per id range) instead of one.
+``[c * span, (c + 1) * span)``, ascending, joined by ``|``, in parts of at
+most ``span`` entries. Concatenating a group's cells in (chunk, part) order
+(with ``|`` between them) gives the original string exactly. No cell and no
+aggregation buffer grows with the data, and a frequent text is spread over
+many tasks (one per id range) instead of one.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,24 +39,49 @@ def id_chunks(
     out_col: str = "row_ids",
     distinct: bool = False,
 ) -> DataFrame:
-    """Group ``df`` by ``keys`` and id range; one row per (group, chunk).
+    """Group ``df`` by ``keys`` and id range; one row per (group, chunk, part).
 
-    Columns: ``*keys``, ``chunk``, ``first_id``, ``last_id``, ``n_ids``
-    (ids in the chunk, repeats included) and ``out_col`` (the ids ascending,
-    joined by ``|``). ``distinct=True`` lists each id once.
+    Columns: ``*keys``, ``chunk`` (id range), ``part`` (piece of that range),
+    ``first_id``, ``last_id``, ``n_ids`` (entries in the cell, repeats
+    included) and ``out_col`` (the ids ascending, joined by ``|``; an id that
+    occurs m times appears m times). ``distinct=True`` lists each id once.
+
+    Every cell holds at most ``span`` entries, even when one id repeats in a
+    large share of the rows: occurrences are first counted per (group, id),
+    a window over (group, id range), which never holds more than ``span``
+    distinct ids, gives each id its start position in the range, and the
+    range is cut into parts of ``span`` positions (a heavily repeated id
+    spans several parts). Concatenating a group's cells in (chunk, part)
+    order gives the full list.
     """
     if span < 1:
         raise ValueError("span must be >= 1")
     ident = F.col(id_col).cast(T.LongType())
     base = df.select(*keys, ident.alias("_id")).where(F.col("_id").isNotNull())
+    occ = base.groupBy(*keys, "_id").agg(F.count(F.lit(1)).alias("_m"))
     if distinct:
-        base = base.distinct()
-    collected = F.array_sort(F.collect_list("_id"))
-    return base.groupBy(*keys, chunk_of(F.col("_id"), span).alias("chunk")).agg(
+        occ = occ.withColumn("_m", F.lit(1).cast(T.LongType()))
+    occ = occ.withColumn("chunk", chunk_of(F.col("_id"), span))
+    in_range = Window.partitionBy(*keys, "chunk").orderBy("_id").rowsBetween(Window.unboundedPreceding, -1)
+    s = F.lit(int(span)).cast(T.LongType())
+    start = F.coalesce(F.sum("_m").over(in_range), F.lit(0).cast(T.LongType()))
+    placed = occ.withColumn("_start", start).withColumn(
+        "part",
+        F.explode(F.sequence(F.call_function("div", F.col("_start"), s),
+                             F.call_function("div", F.col("_start") + F.col("_m") - 1, s))),
+    )
+    reps = F.least(F.col("_start") + F.col("_m"), (F.col("part") + 1) * s) - F.greatest(F.col("_start"), F.col("part") * s)
+    cells = placed.withColumn("_reps", reps).groupBy(*keys, "chunk", "part").agg(
         F.min("_id").alias("first_id"),
         F.max("_id").alias("last_id"),
-        F.count(F.lit(1)).alias("n_ids"),
-        F.array_join(F.transform(collected, lambda x: x.cast(T.StringType())), ID_SEPARATOR).alias(out_col),
+        F.sum("_reps").alias("n_ids"),
+        F.array_sort(F.collect_list(F.struct("_id", "_reps"))).alias("_runs"),
+    )
+    listed = F.flatten(F.transform("_runs", lambda r: F.array_repeat(r["_id"].cast(T.StringType()), r["_reps"].cast(T.IntegerType()))))
+    return cells.select(
+        *keys, "chunk", "part", "first_id", "last_id",
+        F.col("n_ids").cast(T.LongType()).alias("n_ids"),
+        F.array_join(listed, ID_SEPARATOR).alias(out_col),
     )
 
 

@@ -3,16 +3,18 @@
 The original built the id list inside the same aggregation as the profile.
 :func:`text_report` does the same in one pass over the source: it
 aggregates by (text, category, id range), keeping the profile's measures and
-the ids of that range. That frame (bounded id lists, no larger than the id
-column itself) is written once to the shared folder; the profile, the
-totals and the id chunks are then all derived from it, so the source is
-scanned once. Use :func:`linetally.operators.profile.text_profile` when the
+the distinct ids of that range. That frame (at most ``span`` ids per cell,
+no larger than the id column itself) is written once to the shared folder;
+the profile, the totals and the id chunks are then all derived from it, so
+the source is scanned once (when row ids are unique within each text; see
+:meth:`TextReport.id_chunks`). Use :func:`linetally.operators.profile.text_profile` when the
 ids are not needed: without the id lists its first aggregate is a plain hash
 aggregate and much cheaper.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -21,7 +23,7 @@ from pyspark.sql import types as T
 
 from ..schema import DEFAULT_ID_SPAN, ID_SEPARATOR, UNDEFINED_CATEGORY, LineColumns
 from ..session import materialize as _materialize
-from .idlists import chunk_of
+from .idlists import chunk_of, text_id_chunks
 from .profile import (
     DEFAULT_COLUMNS,
     line_measures,
@@ -35,7 +37,9 @@ from .profile import (
 
 @dataclass
 class TextReport:
-    fine: DataFrame  # one row per (text, category, chunk): measures + ids
+    fine: DataFrame  # one row per (text, category, chunk): measures + distinct ids
+    span: int
+    exact_ids: Callable[[bool], DataFrame]  # the id chunks by a second scan (fallback), given keep_empty
     sentinel: str = UNDEFINED_CATEGORY
 
     def groups(self) -> DataFrame:
@@ -50,14 +54,27 @@ class TextReport:
         return totals_from_groups(self.groups())
 
     def id_chunks(self, keep_empty: bool = False) -> DataFrame:
-        """As :func:`.idlists.text_id_chunks`: ``text``, ``chunk``,
-        ``first_id``, ``last_id``, ``n_ids``, ``row_ids``."""
+        """As :func:`.idlists.text_id_chunks`: ``text``, ``chunk``, ``part``,
+        ``first_id``, ``last_id``, ``n_ids``, ``row_ids``.
+
+        From the report's frame when row ids are unique within each text
+        (then every id range of a text holds at most ``span`` ids and
+        ``part`` is 0). That is checked with one small aggregate over the
+        report's frame (an action); if some id repeats within a text, the
+        chunks come from :func:`.idlists.text_id_chunks` instead (a second
+        scan), which keeps every repeat and every cell bounded.
+        """
         f = self.fine if keep_empty else self.fine.where(F.col("text") != F.lit(""))
+        per_range = f.groupBy("text", "chunk").agg(F.sum("cnt").alias("_n"), F.sum(F.size("ids")).alias("_k"))
+        repeats = per_range.where((F.col("_n") != F.col("_k")) | (F.col("_k") > F.lit(self.span)))
+        if not repeats.isEmpty():
+            return self.exact_ids(keep_empty)
         ids = F.array_sort(F.flatten(F.collect_list("ids")))
         chunks = f.groupBy("text", "chunk").agg(ids.alias("_ids"))
         return chunks.select(
             "text",
             "chunk",
+            F.lit(0).cast(T.LongType()).alias("part"),
             F.element_at("_ids", 1).alias("first_id"),
             F.element_at("_ids", -1).alias("last_id"),
             F.size("_ids").cast(T.LongType()).alias("n_ids"),
@@ -76,9 +93,13 @@ def text_report(
     """Aggregate ``lines`` once by (text, category, id range) and, when
     ``materialize`` (an action), write that frame to the shared folder."""
     p = prepared_lines(lines, cols, strict)
+    # collect_set: at most `span` ids per cell, whatever the data.
     fine = p.groupBy("text", "category", chunk_of(F.col("row_id"), span).alias("chunk")).agg(
-        *line_measures(), F.collect_list("row_id").alias("ids")
+        *line_measures(), F.collect_set("row_id").alias("ids")
     )
     if materialize:
         fine = _materialize(fine, "text-report")
-    return TextReport(fine, sentinel)
+    def exact_ids(keep_empty: bool) -> DataFrame:
+        return text_id_chunks(lines, cols, span, keep_empty=keep_empty, strict=strict)
+
+    return TextReport(fine, span, exact_ids, sentinel)

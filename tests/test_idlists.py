@@ -4,10 +4,15 @@ from linetally.operators.idlists import id_chunks
 
 
 def _brute(rows, span):
-    out = {}
+    ranges = {}
     for k, i in rows:
-        out.setdefault((k, i // span), []).append(i)
-    return {key: "|".join(str(x) for x in sorted(v)) for key, v in out.items()}
+        ranges.setdefault((k, i // span), []).append(i)
+    out = {}
+    for (k, c), ids in ranges.items():
+        ids.sort()
+        for pos in range(0, len(ids), span):
+            out[(k, c, pos // span)] = "|".join(str(x) for x in ids[pos:pos + span])
+    return out
 
 
 def test_chunks_match_brute_force(spark):
@@ -15,14 +20,14 @@ def test_chunks_match_brute_force(spark):
     rows = [(rnd.choice("abc"), rnd.randint(-50, 200)) for _ in range(2000)]
     rows += [("hot", i) for i in range(500)]  # one dominant key
     df = spark.createDataFrame(rows, "k string, id long").repartition(8)
-    got = {(r["k"], r["chunk"]): r["row_ids"] for r in id_chunks(df, ["k"], "id", span=16).collect()}
+    got = {(r["k"], r["chunk"], r["part"]): r["row_ids"] for r in id_chunks(df, ["k"], "id", span=16).collect()}
     assert got == _brute(rows, 16)
 
 
 def test_concatenated_chunks_give_whole_list(spark):
     rows = [("x", i) for i in (5, 1, 99, 3, 42, 42, 7)]
     df = spark.createDataFrame(rows, "k string, id long")
-    chunks = sorted(id_chunks(df, ["k"], "id", span=4).collect(), key=lambda r: r["chunk"])
+    chunks = sorted(id_chunks(df, ["k"], "id", span=4).collect(), key=lambda r: (r["chunk"], r["part"]))
     assert "|".join(r["row_ids"] for r in chunks) == "1|3|5|7|42|42|99"
     assert sum(r["n_ids"] for r in chunks) == len(rows)
     assert all(r["last_id"] - r["first_id"] < 4 for r in chunks)
@@ -32,3 +37,17 @@ def test_distinct_lists(spark):
     df = spark.createDataFrame([("x", 1), ("x", 1), ("x", 2)], "k string, id long")
     r = id_chunks(df, ["k"], "id", span=100, out_col="clients", distinct=True).collect()
     assert [x["clients"] for x in r] == ["1|2"]
+
+
+def test_repeated_id_is_split_into_bounded_cells(spark):
+    # one id in a third of the rows of one key: cells stay within `span`
+    rows = [("hot", 7)] * 1000 + [("hot", i) for i in range(2000)]
+    df = spark.createDataFrame(rows, "k string, id long").repartition(8)
+    cells = id_chunks(df, ["k"], "id", span=50).orderBy("chunk", "part").collect()
+    assert max(r["n_ids"] for r in cells) <= 50
+    assert sum(r["n_ids"] for r in cells) == len(rows)
+    whole = "|".join(r["row_ids"] for r in cells).split("|")
+    assert whole == [str(x) for x in sorted(i for _, i in rows)]
+    assert {(r["chunk"], r["part"]): r["row_ids"] for r in cells} == {
+        (c, p): v for (_, c, p), v in _brute(rows, 50).items()
+    }

@@ -65,7 +65,7 @@ def test_id_chunks_cover_all_rows(report, spark):
     assert agg[0] == report["totals"]["total_count"]
     assert agg[1] < 64
     joined = {}
-    for r in chunks.orderBy("text", "chunk").collect():
+    for r in chunks.orderBy("text", "chunk", "part").collect():
         joined.setdefault(r["text"], []).append(r["row_ids"])
     counts = {r["text"]: r["count"] for r in report["compat"]}
     assert {t: len("|".join(v).split("|")) for t, v in joined.items()} == counts

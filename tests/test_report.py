@@ -16,7 +16,7 @@ def test_report_matches_separate_operators_on_golden(spark):
     assert _rows(rep.profile(compat=True)) == _rows(prof.text_profile(lines(spark), compat=True))
     assert _rows(rep.totals()) == _rows(prof.text_totals(lines(spark)))
     joined = {}
-    for r in rep.id_chunks().orderBy("text", "chunk").collect():
+    for r in rep.id_chunks().orderBy("text", "chunk", "part").collect():
         joined.setdefault(r["text"], []).append(r["row_ids"])
     assert {t: "|".join(v) for t, v in joined.items()} == {"pagto cartão": "1|2", "posto_x": "4|8"}
 
@@ -33,3 +33,12 @@ def test_report_scans_source_once(spark, scratch):
     rep = text_report(spark.read.parquet(f"{scratch}/lines"))
     for df in (rep.profile(), rep.totals(), rep.id_chunks()):
         assert f"{scratch}/lines" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_report_ids_fall_back_when_ids_repeat(spark):
+    df = lines(spark)
+    dup = df.unionByName(df.where("row_id = 1"))  # row 1 twice under the same text
+    rep = text_report(dup, span=4)
+    assert _rows(rep.id_chunks()) == _rows(text_id_chunks(dup, span=4))
+    joined = "|".join(r["row_ids"] for r in rep.id_chunks().where("text = 'pagto cartão'").orderBy("chunk", "part").collect())
+    assert joined == "1|1|2"

@@ -14,7 +14,6 @@ is ranked last so that it counts towards ``U`` but is never selected.
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,21 +32,51 @@ def selection_size(unique_texts: int, share: float = PARETO_SHARE) -> int:
     return int(math.ceil(unique_texts * float(share)))
 
 
-@dataclass
 class Pareto:
-    """Ranked profile plus the selection size; the frames below are lazy
-    reads of a materialised, ranked copy."""
-
-    ranked: DataFrame  # non-empty texts, profile columns + rank_amount, rank_count
-    n: int  # texts selected by each ranking
-    unique_texts: int
-    sentinel: str = UNDEFINED_CATEGORY
+    """The profile of a grouped frame, ranked by amount share and by count
+    share. Each ranking is an exact distributed rank
+    (:func:`.ranking.rank_rows`: a range sort written to the shared folder)
+    and is computed only when a result needs it: a selection by amount
+    ranks once, flags and summary rank twice."""
+
+    def __init__(self, groups: DataFrame, share: float = PARETO_SHARE, compat: bool = True,
+                 sentinel: str = UNDEFINED_CATEGORY, round_to: int | None = None):
+        # The empty text is ranked last: it counts towards U, never selected.
+        self._profile = profile_from_groups(groups, compat, round_to, keep_empty=True)
+        self.sentinel = sentinel
+        self.unique_texts = groups.count()  # one small action on the grouped frame
+        self.n = selection_size(self.unique_texts, share)
+        self._ranked: dict[str, DataFrame] = {}
+
+    @staticmethod
+    def _order(by: str) -> list:
+        share_col = "percentual_amount" if by == "amount" else "percentual_count"
+        return [(F.col("text") == F.lit("")).asc(), F.col(share_col).desc_nulls_last(), F.col("text").asc()]
+
+    def _by(self, by: str) -> DataFrame:
+        """Profile rows with ``rank_<by>`` (and the other rank if computed)."""
+        _rank_col(by)
+        if "both" in self._ranked:
+            return self._ranked["both"]
+        if by not in self._ranked:
+            self._ranked[by] = rank_rows(self._profile, self._order(by), f"rank_{by}", f"pareto-{by}").frame
+        return self._ranked[by]
+
+    def _both(self) -> DataFrame:
+        if "both" not in self._ranked:
+            first = self._by("amount")
+            self._ranked["both"] = rank_rows(first, self._order("count"), "rank_count", "pareto-both").frame
+        return self._ranked["both"]
+
+    def _nonempty(self, frame: DataFrame) -> DataFrame:
+        return frame.where(F.col("text") != F.lit(""))
 
     def selection(self, by: str = "amount") -> DataFrame:
         """The selected profile rows for ``by`` in ``{"amount", "count"}``,
         with their ``rank`` (A13, A14)."""
         rank = _rank_col(by)
-        return self.ranked.where(F.col(rank) <= F.lit(self.n)).select(*PROFILE_COLUMNS, F.col(rank).alias("rank"))
+        return self._nonempty(self._by(by)).where(F.col(rank) <= F.lit(self.n)).select(
+            *PROFILE_COLUMNS, F.col(rank).alias("rank"))
 
     def flags(self) -> DataFrame:
         """All profile rows with ``pareto_amount`` and ``pareto_count``: 1 if
@@ -55,7 +84,7 @@ class Pareto:
         def flag(rank: str):
             return F.when(F.col(rank) <= F.lit(self.n), F.lit(1)).cast(T.IntegerType())
 
-        return self.ranked.select(
+        return self._nonempty(self._both()).select(
             *PROFILE_COLUMNS, flag("rank_amount").alias("pareto_amount"), flag("rank_count").alias("pareto_count")
         )
 
@@ -63,9 +92,10 @@ class Pareto:
         """Two rows, ``ranking`` = amount / count: the selection's amount and
         the numbers of its texts with a real or the undefined category (A16)."""
         undefined = F.col("category") == F.lit(self.sentinel)
+        ranked = self._nonempty(self._both())
         parts = []
         for by in ("amount", "count"):
-            sel = self.ranked.where(F.col(_rank_col(by)) <= F.lit(self.n))
+            sel = ranked.where(F.col(_rank_col(by)) <= F.lit(self.n))
             parts.append(
                 sel.agg(
                     F.sum(F.col("amount").cast(T.DecimalType(28, 2))).alias("_amount"),
@@ -94,16 +124,7 @@ def pareto(
     sentinel: str = UNDEFINED_CATEGORY,
     round_to: int | None = None,
 ) -> Pareto:
-    """Rank the profile of ``groups`` (see :func:`.profile.text_groups`) by
-    amount share and by count share. Actions: two ranked copies are written
-    to the shared folder; the selection size comes from their row count."""
-    prof = profile_from_groups(groups, compat, round_to, keep_empty=True)
-    empty_last = (F.col("text") == F.lit("")).asc()
-    text_asc = F.col("text").asc()
-    by_amount = rank_rows(prof, [empty_last, F.col("percentual_amount").desc_nulls_last(), text_asc],
-                          "rank_amount", "pareto-amount")
-    by_count = rank_rows(by_amount.frame, [empty_last, F.col("percentual_count").desc_nulls_last(), text_asc],
-                         "rank_count", "pareto-count")
-    n = selection_size(by_amount.total, share)
-    ranked = by_count.frame.where(F.col("text") != F.lit(""))
-    return Pareto(ranked, n, by_amount.total, sentinel)
+    """Pareto report over ``groups`` (see :func:`.profile.text_groups`;
+    pass a materialised copy, e.g. :func:`.profile.grouped`). Counting the
+    distinct texts is an action; each ranking is computed on first use."""
+    return Pareto(groups, share, compat, sentinel, round_to)

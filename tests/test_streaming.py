@@ -1,4 +1,3 @@
-import time
 
 from golden import lines
 from linetally.operators import profile as prof

@@ -26,11 +26,35 @@ def read_table(spark: SparkSession, source: str, namespace: str | None = None, f
     return spark.table(name)
 
 
+def split_fields(text: str) -> list[str]:
+    """Split a SQL select list on its top-level commas (not those inside
+    parentheses, brackets or quotes): ``"a, concat(b, c) AS d"`` gives
+    ``["a", "concat(b, c) AS d"]``."""
+    parts, depth, quote, cur = [], 0, None, []
+    for ch in text:
+        if quote:
+            if ch == quote:
+                quote = None
+        elif ch in "'\"`":
+            quote = ch
+        elif ch in "([":
+            depth += 1
+        elif ch in ")]":
+            depth -= 1
+        elif ch == "," and depth == 0:
+            parts.append("".join(cur))
+            cur = []
+            continue
+        cur.append(ch)
+    parts.append("".join(cur))
+    return [p.strip() for p in parts if p.strip()]
+
+
 def _fields(fields: str | Sequence[str] | None) -> list[str]:
     if fields is None:
         return []
     if isinstance(fields, str):
-        fields = fields.split(",")
+        return split_fields(fields)
     return [f.strip() for f in fields if f.strip()]
 
 
@@ -45,8 +69,9 @@ def scan(
 ) -> DataFrame:
     """``SELECT fields FROM source [WHERE where] [ORDER BY order_by] [LIMIT limit]``.
 
-    ``fields`` is a list or a comma-separated string of SQL expressions; empty
-    means all columns. ``limit`` without ``order_by`` returns *some* n rows,
+    ``fields`` is a list or a comma-separated string of SQL expressions
+    (commas inside function calls and quotes are kept); empty means all
+    columns. ``limit`` without ``order_by`` returns *some* n rows,
     as in the original; give ``order_by`` for a repeatable result (the plan
     is then a top-k, not a global sort).
     """

@@ -72,3 +72,13 @@ def test_namespace_append_and_read(spark):
     back = read_table(spark, "lines_out", namespace="lt_ns")
     assert back.count() == df.count()
     assert scan(spark, "lt_ns.lines_out", fields="row_id", where="row_id > 4").count() == 4
+
+
+def test_scan_fields_with_expressions(spark, scratch):
+    from linetally.sources.tables import split_fields
+
+    assert split_fields("a, concat(b, ',', c) AS d,  e ") == ["a", "concat(b, ',', c) AS d", "e"]
+    lines(spark).write.parquet(f"{scratch}/t")
+    df = scan(spark, f"{scratch}/t", fields="row_id, concat_ws('-', category, institution) AS tag",
+              where="row_id = 4")
+    assert [tuple(r) for r in df.collect()] == [(4, "TRANSP-BANK_B")]

@@ -1,4 +1,3 @@
-
 from golden import lines
 from linetally.operators import profile as prof
 from linetally.streaming.profile_stream import start_text_groups_stream

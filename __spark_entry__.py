@@ -215,7 +215,8 @@ _GROUP_COLUMNS = ("text", "cnt", "amount", "undefined_count", "undefined_amount"
 def q_stream_text_groups(spark, sf_dir):
     snapshot = scratch_path(spark, "stream-snapshot")
     query = start_text_groups_stream(fixtures.statement_lines_stream(spark, sf_dir), snapshot_path=snapshot,
-                                     available_now=True)
+                                     available_now=True,
+                                     state_partitions=spark.sparkContext.defaultParallelism)
     query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))

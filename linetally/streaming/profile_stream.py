@@ -75,6 +75,7 @@ def start_text_groups_stream(
     output_mode: str = "complete",
     available_now: bool = False,
     processing_time: str | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Start the streaming aggregation.
 
@@ -85,6 +86,12 @@ def start_text_groups_stream(
     the memory sink keeps them on the driver). The
     checkpoint defaults to a fresh folder below the shared folder, so the
     query's state survives executor and driver restarts.
+
+    ``state_partitions`` fixes the number of state-store partitions of a
+    new query (it is kept in the checkpoint afterwards; AQE does not
+    coalesce stateful stages). The session's ``spark.sql.shuffle.partitions``
+    is used when it is not given; the query takes its own copy of the
+    session settings at start, so the caller's setting is restored at once.
     """
     groups = streaming_text_groups(lines, cols)
     spark = lines.sparkSession
@@ -107,4 +114,12 @@ def start_text_groups_stream(
         writer = writer.trigger(availableNow=True)
     elif processing_time:
         writer = writer.trigger(processingTime=processing_time)
-    return writer.start()
+    if state_partitions is None:
+        return writer.start()
+    key = "spark.sql.shuffle.partitions"
+    previous = spark.conf.get(key)
+    spark.conf.set(key, str(int(state_partitions)))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(key, previous)

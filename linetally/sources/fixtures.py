@@ -55,7 +55,8 @@ def lines_from(events: DataFrame, part: DataFrame) -> DataFrame:
         F.when(F.col("event_type") == "error", F.lit(UNDEFINED_CATEGORY))
         .otherwise(F.col("event_type"))
         .alias(LINE_COLUMNS.category),
-        F.get_json_object("props", "$.k").cast(T.DoubleType()).alias(LINE_COLUMNS.category_pct),
+        # the "k" field of the JSON props, as text, then as a number
+        F.from_json("props", "k STRING")["k"].cast(T.DoubleType()).alias(LINE_COLUMNS.category_pct),
         F.col("ts").alias(LINE_COLUMNS.ts),
         F.col("user_id").alias(LINE_COLUMNS.user_id),
         F.col("p_type").alias(LINE_COLUMNS.institution),

@@ -82,3 +82,11 @@ def test_scan_fields_with_expressions(spark, scratch):
     df = scan(spark, f"{scratch}/t", fields="row_id, concat_ws('-', category, institution) AS tag",
               where="row_id = 4")
     assert [tuple(r) for r in df.collect()] == [(4, "TRANSP-BANK_B")]
+
+
+def test_upsert_composite_and_null_keys(spark):
+    old = spark.createDataFrame([("a", 1, 10), ("a", None, 20), ("b", 2, 30)], "k1 string, k2 int, v int")
+    new = spark.createDataFrame([("a", None, 21), ("c", 3, 40)], "k1 string, k2 int, v int")
+    got = {tuple(r) for r in sinks.upserted(old, new, ["k1", "k2"]).collect()}
+    # a null key part matches a null key part: ("a", None) is updated, not duplicated
+    assert got == {("a", 1, 10), ("a", None, 21), ("b", 2, 30), ("c", 3, 40)}

@@ -32,6 +32,14 @@ from linetally.sources.fixtures import DOCUMENT_LINES_SQL, STATEMENT_LINES_SQL
 from linetally.streaming.profile_stream import start_text_groups_stream  # noqa: E402
 from linetally.sources.tables import row_count, scan  # noqa: E402
 
+try:  # the training-data operators are an optional subpackage
+    import corpus_pipeline  # noqa: E402
+    from linetally.llm import queries as llm_queries  # noqa: E402
+except ImportError as missing:
+    if missing.name not in ("corpus_pipeline", "linetally.llm"):
+        raise
+    corpus_pipeline = llm_queries = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 
@@ -234,7 +242,7 @@ def q_report_ids(spark, sf_dir):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    own = {
         "row_count": q_row_count,
         "scan_where_limit": q_scan_where_limit,
         "clean_documents": q_clean_documents,
@@ -267,6 +275,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "report_profile": q_report_profile,
         "report_ids": q_report_ids,
     }
+    if llm_queries is not None:
+        own |= llm_queries.queries()
+        own["pipeline"] = corpus_pipeline.run
+    return own
 
 
 # ---------------------------------------------------------------------------
@@ -393,7 +405,7 @@ FROM groups"""
 
 def oracle_sql() -> dict[str, str]:
     shares = _profile_sql(False)
-    return {
+    own = {
         "row_count": "SELECT count(*) AS row_count FROM events WHERE event_type <> 'error'",
         "scan_where_limit": """SELECT event_id, user_id, value FROM events
 WHERE value > 100 AND event_type IN ('click', 'view')
@@ -475,3 +487,8 @@ SELECT text, CAST(cnt AS BIGINT) AS cnt, CAST(amount AS DOUBLE) AS amount,
        CAST(n_noite_fixed AS BIGINT) AS n_noite_fixed
 FROM groups""",
     }
+    if llm_queries is not None:
+        own |= llm_queries.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL is not None:
+            own["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return own

@@ -12,16 +12,17 @@
    bands is chosen so that a pair at the threshold shares no bucket
    with a probability of at most :data:`MISS`.
 4. In each bucket the members are paired with one hub, not with each other,
-   so pairs grow with the members. (Buckets of different bands take hubs by
-   different orders, as one unlucky hub would link to few.) Each pair is
-   confirmed on the full sets, computed anew from the whole texts of the pair.
+   so pairs grow with the members. The hub is the member that meets most others over
+   all its buckets: of a group of near copies that is the text they were made
+   from, or one close to it, which links to more of them than any copy does.
+   Pairs whose full signatures agree in far fewer bins than a link's would (by
+   :data:`SIGMAS` standard deviations) are dropped; the others are confirmed on the full
+   sets, computed anew from the whole texts.
 5. Links make components (alternating large-star and small-star steps, each
    written to the shared folder). What stars alone would miss are links in
-   buckets that still hold several components: in small ones every pair
-   across components is confirmed too; larger ones are cut into blocks, and
-   the blocks' full signatures are compared, which emits only pairs that agree in
-   nearly as many bins as a link would (less by :data:`SIGMAS` standard
-   deviations), to be confirmed like the others.
+   buckets that still hold several components: there every pair across
+   components is compared by signature, and confirmed if it may be a link.
+   Larger buckets are cut into blocks for that and emit only such pairs.
 
 Results for odd input: null and empty texts (and those without words) have an
 empty set and are linked with nothing; a text with fewer words than a shingle
@@ -42,6 +43,7 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -49,13 +51,11 @@ from .common import byte_words
 
 #: Probability that a pair at the threshold shares no bucket.
 MISS = 1e-6
-SIGMAS = 7
-#: Members up to which a bucket's pairs across components are confirmed one by
-#: one; a larger bucket is compared by signatures, in blocks of about BLOCK.
+SIGMAS = 5
+#: Members up to which a bucket's pairs across components are joined one by
+#: one; a larger bucket is compared in blocks of about BLOCK.
 SMALL_BUCKET = 16
 BLOCK = 512
-#: Orders in which hubs are chosen: ids compared after XOR with these.
-HUB_ORDERS = (0, 0x2D35_9A6B_C35A_69E3, 0x5A93_65CE_A6C5_3A1C)
 
 
 @dataclass(frozen=True)
@@ -210,14 +210,23 @@ def components(links: DataFrame) -> DataFrame:
         before = now
 
 
+def _plausible(pairs: DataFrame, sigs: DataFrame, method: Method) -> DataFrame:
+    """The pairs whose signatures agree in as many bins as a link's may."""
+    both = pairs.join(sigs.select(F.col("rep").alias("a"), F.col("sig").alias("sa")), "a").join(
+        sigs.select(F.col("rep").alias("b"), F.col("sig").alias("sb")), "b").select("a", "b", "sa", "sb")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sa, sb = (np.frombuffer(b"".join(batch.column(i).to_pylist()), "<u2").reshape(-1, method.bins) for i in (2, 3))
+            near = pa.array((sa == sb).sum(axis=1) >= method.least_agreement)
+            yield batch.select([0, 1]).filter(near)
+
+    return both.mapInArrow(run, "a long, b long").distinct()
+
+
 def _star_pairs(buckets: DataFrame) -> DataFrame:
     """Pairs (``a`` < ``b``) of each bucket's hub with its other members."""
-    family = F.lit(0).cast("long")
-    for i, c in enumerate(HUB_ORDERS):
-        family = F.when(F.col("band") % len(HUB_ORDERS) == i, F.lit(c)).otherwise(family)
-    hubs = buckets.groupBy("key", "band").agg(
-        F.min(F.col("rep").bitwiseXOR(family)).alias("_h"), F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
-    hubs = hubs.select("key", F.col("_h").bitwiseXOR(family).alias("hub"))
+    hubs = buckets.groupBy("key").agg(F.max_by("rep", "met").alias("hub"))
     pairs = buckets.select("key", "rep").join(hubs, "key").where(F.col("rep") != F.col("hub"))
     return pairs.select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()
 
@@ -255,7 +264,7 @@ def _open_pairs(buckets: DataFrame, labels: DataFrame, sigs: DataFrame, method:
         return pd.DataFrame({"a": np.array(out_a, np.int64), "b": np.array(out_b, np.int64)})
 
     plausible = cells.groupBy("key", "i", "j").applyInPandas(compare, "a long, b long")
-    return pairs.select("a", "b").unionByName(plausible).distinct()
+    return _plausible(pairs.select("a", "b").distinct(), sigs, method).unionByName(plausible).distinct()
 
 
 def near_duplicates(docs: DataFrame, method: Method = Method(), id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -269,14 +278,16 @@ def near_duplicates(docs: DataFrame, method: Method = Method(), id_col: str = "d
     nodes = materialize(filled.select("id", *identity).join(classes, identity).select("id", "rep", *identity), "classes")
     reps = filled.join(classes.withColumnRenamed("rep", "id"), ["id", *identity], "left_semi").select(
         F.col("id").alias("rep"), "bands", "sig")
-    buckets = reps.select("rep", F.posexplode("bands").alias("band", "key"))
-    shared = buckets.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi"))
-    shared = shared.where(F.col("lo") != F.col("hi")).select("key")
-    buckets = materialize(buckets.join(shared, "key", "left_semi"), "buckets")
-    stars = materialize(_star_pairs(buckets), "star-pairs")
+    buckets = reps.select("rep", F.explode("bands").alias("key"))
+    shared = buckets.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi"), F.count(F.lit(1)).alias("n"))
+    buckets = buckets.join(shared.where(F.col("lo") != F.col("hi")).select("key", "n"), "key")
+    met = F.sum("n").over(W.partitionBy("rep"))  # a rep has one row for each band
+    buckets = materialize(buckets.select("key", "rep", met.alias("met")), "buckets")
+    sigs = reps.select("rep", "sig")
+    stars = materialize(_plausible(_star_pairs(buckets), sigs, method), "star-pairs")
     links = materialize(confirm(stars, docs, method, id_col, text), "star-links")
     labels = components(links)
-    rest = _open_pairs(buckets, labels, reps.select("rep", "sig"), method).join(stars, ["a", "b"], "left_anti")
+    rest = _open_pairs(buckets, labels, sigs, method).join(stars, ["a", "b"], "left_anti")
     more = materialize(confirm(materialize(rest, "open-pairs"), docs, method, id_col, text), "open-links")
     if not more.isEmpty():
         labels = components(links.unionByName(more))

@@ -22,7 +22,10 @@
    written to the shared folder). What stars alone would miss are links in
    buckets that still hold several components: there every pair across
    components is compared by signature, and confirmed if it may be a link.
-   Larger buckets are cut into blocks for that and emit only such pairs.
+   Larger buckets are cut into blocks for that. As members of a large group
+   mostly link to many others, a first round takes from each pair of blocks only the
+   pair of each member with its nearest partner in another component; what is
+   still in several components after that gives all its pairs in a second round.
 
 Results for odd input: null and empty texts (and those without words) have an
 empty set and are linked with nothing; a text with fewer words than a shingle
@@ -231,8 +234,9 @@ def _star_pairs(buckets: DataFrame) -> DataFrame:
     return pairs.select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()
 
 
-def _open_pairs(buckets: DataFrame, labels: DataFrame, sigs: DataFrame, method: Method) -> DataFrame:
-    """Pairs across components in buckets that hold more than one."""
+def _open_pairs(buckets: DataFrame, labels: DataFrame, sigs: DataFrame, method: Method, nearest_only: bool) -> DataFrame:
+    """Pairs across components in buckets that hold more than one; of large
+    buckets only each member's nearest in a pair of blocks, if asked."""
     label = F.coalesce("root", "rep").alias("comp")
     named = buckets.join(labels, F.col("rep") == F.col("node"), "left").select("key", "rep", label)
     open_keys = named.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("size"))
@@ -251,17 +255,25 @@ def _open_pairs(buckets: DataFrame, labels: DataFrame, sigs: DataFrame, method:
         """Plausible pairs between the blocks i and j of one bucket."""
         i, j = int(g["i"].iloc[0]), int(g["j"].iloc[0])
         left, right = g[g["blk"] == i], g[g["blk"] == j]
-        out_a, out_b = [], []
+        found = [np.empty((0, 2), np.int64)]
         if len(left) and len(right) and g["comp"].nunique() > 1:
             grid = lambda x: np.frombuffer(b"".join(x["sig"]), "<u2").reshape(len(x), -1)
             sig_l, sig_r, comp_r, rep_r = grid(left), grid(right), right["comp"].to_numpy(), right["rep"].to_numpy()
+            most, partner = np.full(len(right), method.least_agreement - 1), np.zeros(len(right), np.int64)
             for s, comp, rep in zip(sig_l, left["comp"].to_numpy(), left["rep"].to_numpy()):
-                ok = (comp_r != comp) & ((rep_r > rep) if i == j else True)
-                if ok.any():
-                    near = rep_r[ok][(sig_r[ok] == s).sum(axis=1) >= method.least_agreement]
-                    out_a += np.minimum(near, rep).tolist()
-                    out_b += np.maximum(near, rep).tolist()
-        return pd.DataFrame({"a": np.array(out_a, np.int64), "b": np.array(out_b, np.int64)})
+                ok = np.flatnonzero((comp_r != comp) & ((rep_r > rep) if i == j else True))
+                same = (sig_r[ok] == s).sum(axis=1)
+                near = same >= method.least_agreement
+                if nearest_only and near.any():
+                    gain = same > most[ok]
+                    most[ok[gain]], partner[ok[gain]] = same[gain], rep
+                    near = [same.argmax()]
+                found.append(np.stack(np.broadcast_arrays(rep_r[ok[near]], rep), axis=1))
+            if nearest_only:
+                met = most >= method.least_agreement
+                found.append(np.stack([rep_r[met], partner[met]], axis=1))
+        both = np.sort(np.unique(np.concatenate(found), axis=0), axis=1)
+        return pd.DataFrame({"a": both[:, 0], "b": both[:, 1]})
 
     plausible = cells.groupBy("key", "i", "j").applyInPandas(compare, "a long, b long")
     return _plausible(pairs.select("a", "b").distinct(), sigs, method).unionByName(plausible).distinct()
@@ -287,10 +299,15 @@ def near_duplicates(docs: DataFrame, method: Method = Method(), id_col: str = "d
     stars = materialize(_plausible(_star_pairs(buckets), sigs, method), "star-pairs")
     links = materialize(confirm(stars, docs, method, id_col, text), "star-links")
     labels = components(links)
-    rest = _open_pairs(buckets, labels, sigs, method).join(stars, ["a", "b"], "left_anti")
-    more = materialize(confirm(materialize(rest, "open-pairs"), docs, method, id_col, text), "open-links")
-    if not more.isEmpty():
-        labels = components(links.unionByName(more))
+    tried = stars
+    for nearest_only in (True, False):
+        rest = _open_pairs(buckets, labels, sigs, method, nearest_only).join(tried, ["a", "b"], "left_anti")
+        rest = materialize(rest, "open-pairs")
+        more = materialize(confirm(rest, docs, method, id_col, text), "open-links")
+        tried = tried.unionByName(rest)
+        if not more.isEmpty():
+            links = links.unionByName(more)
+            labels = components(links)
     named = nodes.join(labels, F.col("rep") == F.col("node"), "left").select(
         "id", "n_shingles", F.coalesce("root", "rep").alias("component_id"))
     alone = sketches.where(~((F.col("n_shingles") > 0) & F.col("id").isNotNull())).select(

@@ -25,7 +25,7 @@ from linetally.operators.extract import filter_rows  # noqa: E402
 from linetally.operators.idlists import text_id_chunks  # noqa: E402
 from linetally.operators.pareto import pareto  # noqa: E402
 from linetally.operators.report import text_report  # noqa: E402
-from linetally.schema import DEFAULT_ID_SPAN, PARETO_SHARE, PROFILE_COLUMNS, UNDEFINED_CATEGORY  # noqa: E402
+from linetally.schema import DEFAULT_ID_SPAN, PARETO_SHARE, PROFILE_COLUMNS, UNDEFINED_CATEGORY, LineColumns  # noqa: E402
 from linetally.session import scratch_path  # noqa: E402
 from linetally.sources import fixtures, sinks  # noqa: E402
 from linetally.sources.fixtures import DOCUMENT_LINES_SQL, STATEMENT_LINES_SQL  # noqa: E402
@@ -45,7 +45,7 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: the text profile (compatible mode) of the statement lines."""
-    return prof.text_profile(fixtures.statement_lines(spark, SMOKE_DIR), compat=True)
+    return prof.text_profile(fixtures.statement_lines(spark, SMOKE_DIR), CENTS, compat=True)
 
 
 # ---------------------------------------------------------------------------
@@ -53,6 +53,15 @@ def entry(spark: SparkSession) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 
+# Amounts of the test tables are whole cents; as an exact type their sums do
+# not depend on the order of partitions, so both engines agree to the last bit.
+class CentColumns(LineColumns):
+    amount_type = "decimal(18,2)"
+
+
+CENTS = CentColumns()
+
+
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixtures.statement_lines(spark, sf_dir)
 
@@ -91,7 +100,7 @@ def q_percentage_bucket(spark, sf_dir):
 
 def _day_parts(compat: bool):
     def run(spark, sf_dir):
-        g = prof.text_groups(_lines(spark, sf_dir))
+        g = prof.text_groups(_lines(spark, sf_dir), CENTS)
         noite = "n_noite_compat" if compat else "n_noite_fixed"
         return g.select(
             "text",
@@ -105,37 +114,37 @@ def _day_parts(compat: bool):
 
 
 def q_totals(spark, sf_dir):
-    return prof.text_totals(_lines(spark, sf_dir))
+    return prof.text_totals(_lines(spark, sf_dir), CENTS)
 
 
 def q_text_counts(spark, sf_dir):
-    return prof.text_counts(_lines(spark, sf_dir))
+    return prof.text_counts(_lines(spark, sf_dir), CENTS)
 
 
 def q_text_representative(spark, sf_dir):
-    g = prof.text_groups(_lines(spark, sf_dir))
+    g = prof.text_groups(_lines(spark, sf_dir), CENTS)
     return g.select("text", "category", F.col("quartil").alias("category_percentual_quartil"))
 
 
 def q_text_shares(spark, sf_dir):
-    p = prof.text_profile(_lines(spark, sf_dir), compat=False)
+    p = prof.text_profile(_lines(spark, sf_dir), CENTS, compat=False)
     return p.select("text", "percentual_count", "percentual_amount", "percentual_dia",
                     "percentual_tarde", "percentual_noite", "percentual_madrugada")
 
 
 def _profile(compat: bool):
     def run(spark, sf_dir):
-        return prof.text_profile(_lines(spark, sf_dir), compat=compat)
+        return prof.text_profile(_lines(spark, sf_dir), CENTS, compat=compat)
 
     return run
 
 
 def q_text_ids(spark, sf_dir):
-    return text_id_chunks(_lines(spark, sf_dir), span=DEFAULT_ID_SPAN)
+    return text_id_chunks(_lines(spark, sf_dir), CENTS, span=DEFAULT_ID_SPAN)
 
 
 def q_document_text_counts(spark, sf_dir):
-    return prof.text_counts(fixtures.document_lines(spark, sf_dir))
+    return prof.text_counts(fixtures.document_lines(spark, sf_dir), CENTS)
 
 
 def _extract(kind: str):
@@ -155,7 +164,7 @@ EXTRACTS = {
 
 
 def _pareto_report(spark, sf_dir, compat=True):
-    return pareto(prof.grouped(_lines(spark, sf_dir)), PARETO_SHARE, compat)
+    return pareto(prof.grouped(_lines(spark, sf_dir), CENTS), PARETO_SHARE, compat)
 
 
 def q_pareto_amount(spark, sf_dir):
@@ -175,11 +184,11 @@ def q_pareto_summary(spark, sf_dir):
 
 
 def q_client_profile(spark, sf_dir):
-    return client_report(_lines(spark, sf_dir))[0]
+    return client_report(_lines(spark, sf_dir), CENTS)[0]
 
 
 def q_client_lists(spark, sf_dir):
-    return client_report(_lines(spark, sf_dir))[1]
+    return client_report(_lines(spark, sf_dir), CENTS)[1]
 
 
 def q_cleaned_export(spark, sf_dir):
@@ -197,7 +206,7 @@ def q_append_roundtrip(spark, sf_dir):
 
 
 def q_upsert_roundtrip(spark, sf_dir):
-    groups = prof.grouped(_lines(spark, sf_dir))
+    groups = prof.grouped(_lines(spark, sf_dir), CENTS)
     base = scratch_path(spark, "upsert-base")
     prof.profile_from_groups(groups, compat=True).write.parquet(base)
     selected = pareto(groups).selection("amount").select("text", F.lit(1).alias("pareto_amount"))
@@ -205,14 +214,14 @@ def q_upsert_roundtrip(spark, sf_dir):
 
 
 def q_delimited_roundtrip(spark, sf_dir):
-    profile = prof.text_profile(_lines(spark, sf_dir), compat=False)
+    profile = prof.text_profile(_lines(spark, sf_dir), CENTS, compat=False)
     path = scratch_path(spark, "delimited")
     sinks.export_delimited(profile, path)
     return sinks.read_delimited(spark, path, profile.schema)
 
 
 def q_document_pareto_count(spark, sf_dir):
-    groups = prof.grouped(fixtures.document_lines(spark, sf_dir))
+    groups = prof.grouped(fixtures.document_lines(spark, sf_dir), CENTS, strict=False)
     return pareto(groups, PARETO_SHARE, compat=True).selection("count")
 
 
@@ -222,7 +231,7 @@ _GROUP_COLUMNS = ("text", "cnt", "amount", "undefined_count", "undefined_amount"
 
 def q_stream_text_groups(spark, sf_dir):
     snapshot = scratch_path(spark, "stream-snapshot")
-    query = start_text_groups_stream(fixtures.statement_lines_stream(spark, sf_dir), snapshot_path=snapshot,
+    query = start_text_groups_stream(fixtures.statement_lines_stream(spark, sf_dir), CENTS, snapshot_path=snapshot,
                                      available_now=True,
                                      state_partitions=spark.sparkContext.defaultParallelism)
     query.awaitTermination()
@@ -234,11 +243,25 @@ def q_stream_text_groups(spark, sf_dir):
 
 
 def q_report_profile(spark, sf_dir):
-    return text_report(_lines(spark, sf_dir)).profile(compat=True)
+    return text_report(_lines(spark, sf_dir), CENTS).profile(compat=True)
 
 
 def q_report_ids(spark, sf_dir):
-    return text_report(_lines(spark, sf_dir)).id_chunks()
+    return text_report(_lines(spark, sf_dir), CENTS).id_chunks()
+
+
+def q_text_counts_fractions(spark, sf_dir):
+    """Amounts with more than two decimals, summed unrounded; only the finished sum is rounded, to compare."""
+    lines = _lines(spark, sf_dir).withColumn("amount", F.col("amount") / 7)
+    return prof.text_counts(lines).withColumn("amount", F.round("amount", 6))
+
+
+def q_client_profile_nulls(spark, sf_dir):
+    """Lines without institution are a group like any other; user ids are strings."""
+    lines = _lines(spark, sf_dir)
+    some = F.when(F.col("row_id") % 3 != 0, F.col("institution"))
+    lines = lines.withColumns({"institution": some, "user_id": F.concat(F.lit("u"), F.col("user_id").cast("string"))})
+    return client_report(lines, CENTS)[0]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -274,6 +297,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_text_groups": q_stream_text_groups,
         "report_profile": q_report_profile,
         "report_ids": q_report_ids,
+        "text_counts_fractions": q_text_counts_fractions,
+        "client_profile_nulls": q_client_profile_nulls,
     }
     if llm_queries is not None:
         own |= llm_queries.queries()
@@ -459,6 +484,16 @@ GROUP BY r.ranking""",
 {_CLIENT_LINES}
 SELECT text, institution, count(*) AS "count", CAST(sum(amount) AS DOUBLE) AS value,
        arg_min(category, row_id) AS category, count(DISTINCT user_id) AS count_clients
+FROM cl WHERE text <> '' GROUP BY 1, 2""",
+        "text_counts_fractions": f"""WITH {_LINES}
+SELECT {_clean_sql('text')} AS text, count(*) AS "count", round(sum(amount / 7), 6) AS amount
+FROM lines WHERE row_id IS NOT NULL AND amount IS NOT NULL AND text IS NOT NULL AND category IS NOT NULL
+GROUP BY 1""",
+        "client_profile_nulls": f"""WITH {_LINES},
+{_CLIENT_LINES}
+SELECT text, CASE WHEN row_id % 3 <> 0 THEN institution END AS institution, count(*) AS "count",
+       CAST(sum(amount) AS DOUBLE) AS value, arg_min(category, row_id) AS category,
+       count(DISTINCT user_id) AS count_clients
 FROM cl WHERE text <> '' GROUP BY 1, 2""",
         "client_lists": f"""WITH {_LINES},
 {_CLIENT_LINES}

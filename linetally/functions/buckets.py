@@ -1,5 +1,5 @@
 """Scalar helpers: percentage bucket (F2), number parsing (F5), hour and day
-parts (F3, F4), the undefined-category test (F7) and money conversion.
+parts (F3, F4), the null check of strict mode and money conversion.
 
 All of them return plain ``Column`` expressions, so they stay inside
 whole-stage code generation.
@@ -15,10 +15,8 @@ from ..schema import (
     BUCKET_BOUNDS,
     DIA_HOURS,
     MADRUGADA_HOURS,
-    MONEY,
     NOITE_START_HOUR,
     TARDE_HOURS,
-    UNDEFINED_CATEGORY,
 )
 
 
@@ -88,23 +86,29 @@ def is_noite(hour: Column, compat: bool = True) -> Column:
     return hour >= F.lit(NOITE_START_HOUR)
 
 
-def is_undefined(category: Column | str, sentinel: str = UNDEFINED_CATEGORY) -> Column:
-    """Case-sensitive test for the uncategorised marker."""
-    return _col(category) == F.lit(sentinel)
+def money(amount: Column | str, amount_type: str = "double") -> Column:
+    """Amount to be summed.
 
-
-def money(amount: Column | str) -> Column:
-    """Amount as ``decimal(18,2)``: sums over it are exact and do not depend
-    on merge order.
-
-    A NaN or infinite amount fails the job, as it did in the original (a
-    plain cast would turn it into null even under ANSI mode, silently
-    leaving it out of the sums while the row is still counted). A finite
-    amount too large for the type fails under ANSI mode."""
+    ``double`` (the default) sums the values as they are, as the original
+    did. An exact type such as ``decimal(18,2)`` makes sums independent of
+    the order in which partitions are merged; a value that does not fit it
+    exactly fails the job, it is never rounded. A NaN or infinite amount fails
+    the job in either case."""
     a = _col(amount)
     as_double = a.cast(T.DoubleType())
     non_finite = F.isnan(as_double) | (F.abs(as_double) == F.lit(float("inf")))
-    return F.when(non_finite, F.raise_error(F.lit("non-finite amount"))).otherwise(a).cast(MONEY)
+    checked = F.when(non_finite, F.raise_error(F.lit("non-finite amount")))
+    if amount_type == "double":
+        return checked.otherwise(as_double)
+    exact = a.cast(amount_type)
+    inexact = exact.cast(T.DoubleType()) != as_double
+    return checked.when(inexact, F.raise_error(F.lit(f"amount does not fit {amount_type}"))).otherwise(exact)
+
+
+def required(value: Column | str, strict: bool, name: str) -> Column:
+    """``value``; if ``strict``, a null fails the job, as reading it did in the original."""
+    v = _col(value)
+    return F.when(v.isNull(), F.raise_error(F.lit(f"null {name}"))).otherwise(v) if strict else v
 
 
 def to_double(c: Column | str) -> Column:

@@ -32,17 +32,17 @@ from .profile import DEFAULT_COLUMNS, gate
 
 def client_lines(lines: DataFrame, cols: LineColumns = DEFAULT_COLUMNS) -> DataFrame:
     """Per (text, institution, user, category): ``cnt``, ``amount``
-    (decimal) and ``first_id``. Rows pass the profile gate and need a user
+    and ``first_id``. Rows pass the profile gate and need a user
     id (P9)."""
     g = gate(lines, cols).where(F.col(cols.user_id).isNotNull())
     return (
         g.select(
             clean_text(F.col(cols.text).cast(T.StringType())).alias("text"),
             F.col(cols.institution).alias("institution"),
-            F.col(cols.user_id).cast(T.LongType()).alias("user_id"),
+            F.col(cols.user_id).alias("user_id"),
             F.col(cols.category).alias("category"),
             F.col(cols.row_id).cast(T.LongType()).alias("row_id"),
-            money(cols.amount).alias("amount"),
+            money(cols.amount, cols.amount_type).alias("amount"),
         )
         .groupBy("text", "institution", "user_id", "category")
         .agg(F.count(F.lit(1)).alias("cnt"), F.sum("amount").alias("amount"), F.min("row_id").alias("first_id"))
@@ -53,32 +53,21 @@ def profile_from_client_lines(reduced: DataFrame, keep_empty: bool = False) -> D
     """Columns ``text``, ``institution``, ``count``, ``value``,
     ``category`` (of the line with the least row id) and ``count_clients``.
 
-    Two hash-aggregated branches over the reduced frame, joined on their
-    common key: the measures and representative (first by category, with
-    numeric buffers only, then a merge of one row per category) and the
-    distinct clients (a distinct on (text, institution, user), then a
-    count). Both sides arrive hash-partitioned by (text, institution), so
-    the join adds no exchange of its own.
+    One row per (text, institution, user) first, then one per (text,
+    institution), so distinct clients are counted without a join and a null
+    institution is a group like any other.
     """
     r = reduced if keep_empty else reduced.where(F.col("text") != F.lit(""))
     keys = ["text", "institution"]
-    per_category = r.groupBy(*keys, "category").agg(
-        F.sum("cnt").alias("cnt"), F.sum("amount").alias("amount"), F.min("first_id").alias("first_id")
-    )
-    measures = per_category.groupBy(*keys).agg(
-        F.sum("cnt").alias("count"),
-        F.sum("amount").alias("value"),
-        F.min(F.struct("first_id", "category")).alias("rep"),
-    )
-    clients = r.select(*keys, "user_id").distinct().groupBy(*keys).agg(F.count(F.lit(1)).alias("count_clients"))
-    return measures.join(clients, keys, "inner").select(
-        "text",
-        "institution",
-        F.col("count").cast(T.LongType()).alias("count"),
-        to_double("value").alias("value"),
-        F.col("rep.category").alias("category"),
-        F.col("count_clients").cast(T.LongType()).alias("count_clients"),
+    per_user = r.groupBy(*keys, "user_id").agg(
+        F.sum("cnt").alias("cnt"), F.sum("amount").alias("amount"), F.min(F.struct("first_id", "category")).alias("rep")
     )
+    return per_user.groupBy(*keys).agg(
+        F.sum("cnt").cast(T.LongType()).alias("count"),
+        to_double(F.sum("amount")).alias("value"),
+        F.min("rep").alias("rep"),
+        F.count(F.lit(1)).alias("count_clients"),
+    ).select("text", "institution", "count", "value", F.col("rep.category").alias("category"), "count_clients")
 
 
 def client_profile(lines: DataFrame, cols: LineColumns = DEFAULT_COLUMNS, keep_empty: bool = False) -> DataFrame:
@@ -87,7 +76,7 @@ def client_profile(lines: DataFrame, cols: LineColumns = DEFAULT_COLUMNS, keep_e
 
 
 def client_lists(reduced: DataFrame, span: int = DEFAULT_ID_SPAN, keep_empty: bool = False) -> DataFrame:
-    """Distinct user ids per (text, institution) as chunks of at most ``span``
+    """Distinct (integer) user ids per (text, institution) as chunks of at most ``span``
     ids: ``text``, ``institution``, ``chunk``, ``first_id``, ``last_id``,
     ``n_ids``, ``clients``."""
     r = reduced if keep_empty else reduced.where(F.col("text") != F.lit(""))

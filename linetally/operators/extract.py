@@ -53,8 +53,3 @@ def filter_predicate(df: DataFrame, column: str, kind: str = "in", values: Seque
 def filter_rows(df: DataFrame, column: str, kind: str = "in", values: Sequence[str | float] | None = None) -> DataFrame:
     """``df`` restricted by :func:`filter_predicate`."""
     return df.where(filter_predicate(df, column, kind, values))
-
-
-def non_null(df: DataFrame, column: str) -> DataFrame:
-    """Rows whose ``column`` is not null (P9, the user-id gate)."""
-    return df.where(F.col(column).isNotNull())

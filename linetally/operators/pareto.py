@@ -43,6 +43,8 @@ class Pareto:
                  sentinel: str = UNDEFINED_CATEGORY, round_to: int | None = None):
         # The empty text is ranked last: it counts towards U, never selected.
         self._profile = profile_from_groups(groups, compat, round_to, keep_empty=True)
+        kind = groups.schema["amount"].dataType
+        self._amount_type = kind if isinstance(kind, T.DecimalType) else T.DoubleType()
         self.sentinel = sentinel
         self.unique_texts = groups.count()  # one small action on the grouped frame
         self.n = selection_size(self.unique_texts, share)
@@ -98,7 +100,7 @@ class Pareto:
             sel = ranked.where(F.col(_rank_col(by)) <= F.lit(self.n))
             parts.append(
                 sel.agg(
-                    F.sum(F.col("amount").cast(T.DecimalType(28, 2))).alias("_amount"),
+                    F.sum(F.col("amount").cast(self._amount_type)).alias("_amount"),
                     F.count_if(~undefined).alias("categorised_groups"),
                     F.count_if(undefined).alias("undefined_groups"),
                 ).select(

@@ -39,6 +39,7 @@ from ..functions.buckets import (
     money,
     parse_double,
     percentage_bucket,
+    required,
     share,
     to_double,
 )
@@ -64,18 +65,19 @@ def gate(lines: DataFrame, cols: LineColumns = DEFAULT_COLUMNS) -> DataFrame:
 
 def prepared_lines(lines: DataFrame, cols: LineColumns = DEFAULT_COLUMNS, strict: bool = True) -> DataFrame:
     """Gated lines reduced to the columns every measure needs:
-    ``text`` (cleaned), ``row_id`` (bigint), ``amount`` (decimal),
+    ``text`` (cleaned), ``row_id`` (bigint), ``amount`` (of the amount type),
     ``category``, ``quartil`` (bucket of the category percentage) and
-    ``hour``. ``strict`` decides whether a malformed percentage fails the
-    job (as in the original) or counts as bucket 0."""
+    ``hour``. ``strict`` decides whether a malformed or null percentage and a
+    null timestamp fail the job (as in the original), or count as bucket 0
+    and in no day part."""
     g = gate(lines, cols)
     return g.select(
         clean_text(F.col(cols.text).cast(T.StringType())).alias("text"),
         F.col(cols.row_id).cast(T.LongType()).alias("row_id"),
-        money(cols.amount).alias("amount"),
+        money(cols.amount, cols.amount_type).alias("amount"),
         F.col(cols.category).alias("category"),
-        percentage_bucket(parse_double(cols.category_pct, strict)).alias("quartil"),
-        hour_of_day(cols.ts).alias("hour"),
+        percentage_bucket(parse_double(required(cols.category_pct, strict, "percentage"), strict)).alias("quartil"),
+        hour_of_day(required(cols.ts, strict, "timestamp")).alias("hour"),
     )
 
 
@@ -87,10 +89,10 @@ def text_groups(
 ) -> DataFrame:
     """One row per cleaned text, the empty text included (lazy).
 
-    Columns: ``text``, ``cnt``, ``amount`` (decimal), ``undefined_count``,
+    Columns: ``text``, ``cnt``, ``amount``, ``undefined_count``,
     ``undefined_amount``, ``first_id`` (least row id), ``category`` and
     ``quartil`` (of the row with the least id; among rows sharing that id
-    the least category wins), ``n_madrugada``, ``n_dia``, ``n_tarde``,
+    the least category, then the least bucket wins), ``n_madrugada``, ``n_dia``, ``n_tarde``,
     ``n_noite_compat``, ``n_noite_fixed``.
     """
     p = prepared_lines(lines, cols, strict)
@@ -140,7 +142,7 @@ def merge_categories(per_category: DataFrame, sentinel: str = UNDEFINED_CATEGORY
         F.sum("cnt").alias("cnt"),
         F.sum("amount").alias("amount"),
         F.sum(F.when(undefined, F.col("cnt")).otherwise(F.lit(0))).alias("undefined_count"),
-        F.sum(F.when(undefined, F.col("amount"))).alias("undefined_amount"),
+        F.sum(F.when(undefined, F.col("amount")).otherwise(F.lit(0))).alias("undefined_amount"),
         F.min(F.struct("first_id", "category", "first_quartil")).alias("rep"),
         *[F.sum(c).alias(c) for c in DAY_PART_COUNTS],
     )
@@ -149,7 +151,7 @@ def merge_categories(per_category: DataFrame, sentinel: str = UNDEFINED_CATEGORY
         "cnt",
         "amount",
         "undefined_count",
-        F.coalesce("undefined_amount", F.lit(0).cast(T.DecimalType(28, 2))).alias("undefined_amount"),
+        "undefined_amount",
         F.col("rep.first_id").alias("first_id"),
         F.col("rep.category").alias("category"),
         F.col("rep.first_quartil").alias("quartil"),
@@ -164,7 +166,7 @@ def text_counts(lines: DataFrame, cols: LineColumns = DEFAULT_COLUMNS) -> DataFr
     exchange on the text."""
     g = gate(lines, cols)
     return (
-        g.select(clean_text(F.col(cols.text).cast(T.StringType())).alias("text"), money(cols.amount).alias("amount"))
+        g.select(clean_text(F.col(cols.text).cast(T.StringType())).alias("text"), money(cols.amount, cols.amount_type).alias("amount"))
         .groupBy("text")
         .agg(F.count(F.lit(1)).alias("count"), F.sum("amount").alias("amount"))
         .select("text", "count", to_double("amount").alias("amount"))
@@ -183,7 +185,7 @@ def totals_from_groups(groups: DataFrame) -> DataFrame:
         F.sum("undefined_amount").alias("undefined_amount"),
         F.count(F.lit(1)).alias("unique_texts"),
     )
-    zero = F.lit(0).cast(T.DecimalType(38, 2))
+    zero = F.lit(0)
     return t.select(
         F.col("total_count").cast(T.LongType()).alias("total_count"),
         to_double(F.coalesce("total_amount", zero)).alias("total_amount"),

@@ -8,8 +8,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import types as T
-
 # ---------------------------------------------------------------------------
 # Fixed values. These must stay equal to the behaviour being reproduced:
 #   - the characters kept by the text cleaner, in this order:
@@ -31,10 +29,6 @@ DIA_HOURS = (6, 12)
 TARDE_HOURS = (12, 18)
 NOITE_START_HOUR = 18
 
-# Money is summed as an exact decimal so that sums do not depend on the
-# order in which partitions are merged; it leaves the library as double.
-MONEY = T.DecimalType(18, 2)
-
 # Width (in id units) of one chunk of an id list; see operators.idlists.
 DEFAULT_ID_SPAN = 4096
 
@@ -56,6 +50,9 @@ class LineColumns:
     ts: str = "ts"
     user_id: str = "user_id"
     institution: str = "institution"
+    #: How amounts are summed: ``double``, or, in a subclass, an exact type
+    #: that every amount has to fit (functions.buckets.money).
+    amount_type = "double"
 
 
 PROFILE_COLUMNS = (

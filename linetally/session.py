@@ -5,6 +5,7 @@ result into that folder.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -54,7 +55,7 @@ def shared_folder(spark: SparkSession) -> str:
             sc.setCheckpointDir(folder)
             folder = sc.getCheckpointDir() or folder
     if not folder:
-        if not sc.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):  # local-cluster has several executors
             raise RuntimeError(
                 "spark.checkpoint.dir is not set; point it at shared storage "
                 "(HDFS, S3, ...) so intermediate tables survive executor loss"

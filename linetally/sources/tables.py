@@ -72,8 +72,8 @@ def scan(
     ``fields`` is a list or a comma-separated string of SQL expressions
     (commas inside function calls and quotes are kept); empty means all
     columns. ``limit`` without ``order_by`` returns *some* n rows,
-    as in the original; give ``order_by`` for a repeatable result (the plan
-    is then a top-k, not a global sort).
+    as in the original; with ``order_by`` they are the first n (a top-k, not
+    a global sort). ``order_by`` alone sorts the result.
     """
     df = source if isinstance(source, DataFrame) else read_table(spark, source, namespace)
     if where is not None and (not isinstance(where, str) or where.strip()):
@@ -81,52 +81,16 @@ def scan(
     cols = _fields(fields)
     if cols:
         df = df.selectExpr(*cols)
+    if order_by is not None:
+        keys = [order_by] if isinstance(order_by, (str, Column)) else list(order_by)
+        df = df.orderBy(*keys)
     if limit is not None:
         if int(limit) < 0:
             raise ValueError("limit must be >= 0")
-        if order_by is not None:
-            keys = [order_by] if isinstance(order_by, (str, Column)) else list(order_by)
-            df = df.orderBy(*keys)
         df = df.limit(int(limit))
     return df
 
 
-def _size_estimate(df: DataFrame) -> int | None:
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - an estimate is optional
-        return None
-
-
-def _bytes(value: str) -> int:
-    v = value.strip().lower().rstrip("b")
-    mult = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}.get(v[-1:], 1)
-    return int(float(v[:-1] if mult > 1 else v) * mult)
-
-
-def spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Hash-partition a *tiny* source over all cores.
-
-    An input no larger than one file split (``maxPartitionBytes``) is read
-    by a single task, so per-row work on it (text cleaning, JSON parsing)
-    would run on one core. When Catalyst's size estimate of ``df`` is within
-    one split, the rows are hash-partitioned by ``keys`` into
-    ``defaultParallelism`` partitions; the shuffle moves at most one split's
-    worth of data. Anything larger is returned unchanged: it already has
-    several splits, and on a large input this exchange never appears.
-    """
-    spark = df.sparkSession
-    try:
-        cores = spark.sparkContext.defaultParallelism
-    except Exception:  # noqa: BLE001 - no context (Spark Connect): leave the input as it is
-        return df
-    split = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
-    size = _size_estimate(df)
-    if size is None or cores <= 1 or size > split:
-        return df
-    return df.repartition(cores, *keys)
-
-
 def row_count(df: DataFrame) -> DataFrame:
     """Number of rows of a query (A1), as a one-row DataFrame."""
     return df.agg(F.count(F.lit(1)).alias("row_count"))

@@ -51,9 +51,9 @@ def streaming_text_groups(
     return agg.select(
         "text",
         "cnt",
-        F.col("amount").cast(T.DecimalType(28, 2)).alias("amount"),
+        "amount",
         "undefined_count",
-        F.coalesce("undefined_amount", F.lit(0)).cast(T.DecimalType(28, 2)).alias("undefined_amount"),
+        F.coalesce("undefined_amount", F.lit(0)).alias("undefined_amount"),
         F.col("rep.row_id").alias("first_id"),
         F.col("rep.category").alias("category"),
         F.col("rep.quartil").alias("quartil"),
@@ -71,6 +71,8 @@ def start_text_groups_stream(
     checkpoint_location: str | None = None,
     query_name: str | None = None,
     foreach_batch: Callable[[DataFrame, int], None] | None = None,
+    strict: bool = True,
+    sentinel: str = UNDEFINED_CATEGORY,
     snapshot_path: str | None = None,
     output_mode: str = "complete",
     available_now: bool = False,
@@ -81,10 +83,8 @@ def start_text_groups_stream(
 
     With ``snapshot_path`` (complete mode) each micro-batch's result replaces
     a Parquet snapshot at that path, written by the executors; with
-    ``foreach_batch`` the result is handed to that function; otherwise it
-    goes to an in-memory table named ``query_name`` (small results only:
-    the memory sink keeps them on the driver). The
-    checkpoint defaults to a fresh folder below the shared folder, so the
+    ``foreach_batch`` the result is handed to that function; one of them
+    has to be given. The checkpoint defaults to a fresh folder below the shared folder, so the
     query's state survives executor and driver restarts.
 
     ``state_partitions`` fixes the number of state-store partitions of a
@@ -93,7 +93,9 @@ def start_text_groups_stream(
     is used when it is not given; the query takes its own copy of the
     session settings at start, so the caller's setting is restored at once.
     """
-    groups = streaming_text_groups(lines, cols)
+    if snapshot_path is None and foreach_batch is None:
+        raise ValueError("give a sink: snapshot_path or foreach_batch")
+    groups = streaming_text_groups(lines, cols, strict, sentinel)
     spark = lines.sparkSession
     writer = groups.writeStream.outputMode(output_mode).option(
         "checkpointLocation", checkpoint_location or scratch_path(spark, "stream-checkpoint")
@@ -106,10 +108,10 @@ def start_text_groups_stream(
             batch.write.mode("overwrite").parquet(snapshot_path)
 
         writer = writer.foreachBatch(write_snapshot)
-    elif foreach_batch is not None:
-        writer = writer.foreachBatch(foreach_batch)
     else:
-        writer = writer.format("memory").queryName(query_name or "text_groups")
+        writer = writer.foreachBatch(foreach_batch)
+    if query_name:
+        writer = writer.queryName(query_name)
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif processing_time:

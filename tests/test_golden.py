@@ -4,6 +4,8 @@ from golden import lines
 from linetally.operators import profile as prof
 from linetally.operators.idlists import text_id_chunks
 from linetally.operators.pareto import pareto
+from linetally.schema import LineColumns
+from pyspark.sql import functions as F
 
 approx = pytest.approx
 
@@ -74,15 +76,15 @@ def test_zero_total_amount_gives_null_share(spark):
         [(1, "a", 5.0, "X", 10.0, None, 1, "I"), (2, "b", -5.0, "X", 10.0, None, 1, "I")],
         lines(spark).schema,
     )
-    rows = prof.text_profile(df).collect()
+    rows = prof.text_profile(df, strict=False).collect()
     assert all(r["percentual_amount"] is None for r in rows)
     assert sorted(r["percentual_count"] for r in rows) == [0.5, 0.5]
 
 
 def test_all_texts_empty(spark):
     df = spark.createDataFrame([(1, "123", 5.0, "X", 10.0, None, 1, "I")], lines(spark).schema)
-    assert prof.text_profile(df).count() == 0
-    assert prof.text_totals(df).collect()[0]["unique_texts"] == 1
+    assert prof.text_profile(df, strict=False).count() == 0
+    assert prof.text_totals(df, strict=False).collect()[0]["unique_texts"] == 1
 
 
 def test_nan_amount_is_not_dropped_by_gate(spark):
@@ -132,3 +134,35 @@ def test_pareto_on_empty_input(spark):
     assert (p.n, p.unique_texts) == (0, 0)
     assert p.flags().count() == 0 and p.selection("amount").count() == 0
     assert sorted(tuple(r) for r in p.summary().collect()) == [("amount", 0.0, 0, 0), ("count", 0.0, 0, 0)]
+
+
+def test_null_percentage_or_timestamp_fails_in_strict_mode(spark):
+    row = lines(spark).where("row_id = 1")
+    for column in ("category_pct", "ts"):
+        df = row.withColumn(column, F.lit(None).cast(row.schema[column].dataType))
+        with pytest.raises(Exception, match="null"):
+            prof.text_profile(df, materialize=False).collect()
+        r = prof.text_profile(df, strict=False, materialize=False).collect()[0]
+        assert r["count"] == 1
+    assert r["count_dia"] + r["count_tarde"] + r["count_noite"] + r["count_madrugada"] == 0
+
+
+def test_amounts_are_never_rounded(spark):
+    one = lines(spark).where("row_id = 1")
+    small = one.withColumn("amount", F.lit(0.004)).withColumn("row_id", F.explode(F.sequence(F.lit(1), F.lit(1000))))
+    assert abs(prof.text_totals(small).collect()[0]["total_amount"] - 4.0) < 1e-9
+    large = one.withColumn("amount", F.lit(2e16))
+    assert prof.text_totals(large).collect()[0]["total_amount"] == 2e16
+
+    class Cents(LineColumns):
+        amount_type = "decimal(18,2)"
+
+    with pytest.raises(Exception, match="does not fit"):
+        prof.text_totals(small, Cents()).collect()
+
+
+def test_null_institution_is_a_client_group(spark):
+    df = lines(spark).where("row_id in (1, 2, 4)").withColumn(
+        "institution", F.when(F.col("row_id") == 4, F.lit("B"))).withColumn("user_id", F.concat(F.lit("u"), "user_id"))
+    got = {(r["text"], r["institution"]): (r["count"], r["count_clients"]) for r in client_report(df)[0].collect()}
+    assert got == {("pagto cartão", None): (2, 2), ("posto_x", "B"): (1, 1)}

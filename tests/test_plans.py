@@ -34,7 +34,10 @@ def test_profile_reads_only_materialized_groups(spark, scratch):
     plan = _plan(p)
     assert f"{scratch}/lines" not in plan
     assert "/linetally/" in plan
-    assert "SinglePartition" not in plan or "BroadcastExchange" in plan  # totals: one row, broadcast
+    # one task only merges partial sums: what it reads was aggregated before
+    for above, below in zip(plan.splitlines(), plan.splitlines()[1:]):
+        if "SinglePartition" in above:
+            assert "HashAggregate" in below and "partial_" in below, below
 
 
 def test_statement_lines_join_falls_back_without_broadcast(spark):
@@ -48,17 +51,3 @@ def test_statement_lines_join_falls_back_without_broadcast(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     plan = _plan(fixtures.statement_lines(spark, SF))
     assert "BroadcastHashJoin" in plan  # part is small here: the optimizer's size check picks broadcast
-
-
-def test_spread_only_for_inputs_within_one_split(spark):
-    from linetally.sources.tables import spread
-
-    raw = spark.read.parquet(f"{SF}/events.parquet")
-    spread_plan = _plan(spread(raw, ["event_id"]))
-    assert "REPARTITION_BY_NUM" in spread_plan  # tiny file: spread over the cores
-    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    try:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")  # now the input spans many splits
-        assert "Exchange" not in _plan(spread(raw, ["event_id"]))
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", old)

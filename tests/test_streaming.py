@@ -8,9 +8,9 @@ def test_stream_matches_batch(spark, scratch):
     df.limit(4).write.parquet(f"{scratch}/in/a")
     df.write.mode("append").parquet(f"{scratch}/in/a")
     stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(f"{scratch}/in/a")
-    q = start_text_groups_stream(stream, query_name="golden_groups", available_now=True,
+    q = start_text_groups_stream(stream, snapshot_path=f"{scratch}/out", available_now=True,
                                  checkpoint_location=f"{scratch}/ckpt")
     q.awaitTermination(120)
-    got = {r["text"]: r.asDict() for r in spark.sql("SELECT * FROM golden_groups").collect()}
+    got = {r["text"]: r.asDict() for r in spark.read.parquet(f"{scratch}/out").collect()}
     want = {r["text"]: r.asDict() for r in prof.text_groups(spark.read.parquet(f"{scratch}/in/a")).collect()}
     assert got == want

@@ -57,7 +57,7 @@ def test_line_rules(spark):
 
 def test_licenses(spark):
     t = licenses.TEMPLATES[2].text
-    rows = [(1, "some other words here\nReleased under the MIT license!\nand more of them"), (2, None), (3, ""), (4, "MIT"), (5, t[:120] + "\n" + t[120:]),
+    rows = [(1, "some other words here\nReleased under the MIT license!\nand more of them"), (2, None), (3, ""), (4, "MIT"), (5, t[:100] + "\n" + t[100:220] + "\n" + t[220:]),
             (6, "The license of this text is not known.")]
     df = spark.createDataFrame([(i, x, "c") for i, x in rows], "doc_id long, text string, kind string")
     got = sorted((r["doc_id"], r["kind"], r["segment"], r["license"]) for r in licenses.scan_licenses(df).collect())

@@ -20,12 +20,12 @@
    sets, computed anew from the whole texts.
 5. Links make components (alternating large-star and small-star steps, each
    written to the shared folder). What stars alone would miss are links in
-   buckets that still hold several components: there every pair across
-   components is compared by signature, and confirmed if it may be a link.
-   Larger buckets are cut into blocks for that. As members of a large group
-   mostly link to many others, a first round takes from each pair of blocks only the
-   pair of each member with its nearest partner in another component; what is
-   still in several components after that gives all its pairs in a second round.
+   buckets that still hold several components. The members of such buckets are
+   put together by hub (a text comes once, however many buckets of that hub it is
+   in). Small groups give all their pairs across components, confirmed as above;
+   larger ones are cut into blocks, and each pair of blocks counts the shared
+   shingles of all its pairs at once, exactly, by a product of its 0/1 matrices. Of the links
+   found, a pair of blocks returns only as many as join its components.
 
 Results for odd input: null and empty texts (and those without words) have an
 empty set and are linked with nothing; a text with fewer words than a shingle
@@ -55,10 +55,14 @@ from .common import byte_words
 #: Probability that a pair at the threshold shares no bucket.
 MISS = 1e-6
 SIGMAS = 5
-#: Members up to which a bucket's pairs across components are joined one by
-#: one; a larger bucket is compared in blocks of about BLOCK.
-SMALL_BUCKET = 16
-BLOCK = 512
+#: Members up to which a group's pairs across components are joined one by
+#: one; a larger group is compared in blocks of about BLOCK texts, fewer where
+#: they hold more than BLOCK_SHINGLES shingles.
+SMALL_GROUP = 16
+BLOCK = 1024
+BLOCK_SHINGLES = 1 << 20
+#: Shingles for which a pair of blocks builds its matrices at a time.
+COLUMNS = 4096
 
 
 @dataclass(frozen=True)
@@ -164,11 +168,15 @@ def sketch(docs: DataFrame, method: Method, id_col: str, text: str) -> DataFrame
     return source.mapInArrow(run, "id long, n_shingles long, s1 long, s2 long, bands array<long>, sig binary")
 
 
+def _texts(docs: DataFrame, wanted: DataFrame, id_col: str, text: str) -> DataFrame:
+    """``id``, ``t`` (UTF-8) of the ids in ``wanted``, one row each."""
+    texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text}`").cast("string").cast("binary").alias("t"))
+    return texts.join(wanted, "id", "left_semi").groupBy("id").agg(F.max("t").alias("t"))
+
+
 def confirm(pairs: DataFrame, docs: DataFrame, method: Method, id_col: str, text: str) -> DataFrame:
     """The pairs (``a``, ``b``) whose full sets reach the threshold."""
-    texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text}`").cast("string").cast("binary").alias("t"))
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = texts.join(wanted, "id", "left_semi").groupBy("id").agg(F.max("t").alias("t"))
+    texts = _texts(docs, pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), id_col, text)
     both = pairs.join(texts.select(F.col("id").alias("a"), F.col("t").alias("ta")), "a").join(
         texts.select(F.col("id").alias("b"), F.col("t").alias("tb")), "b").select("a", "b", "ta", "tb")
 
@@ -227,56 +235,109 @@ def _plausible(pairs: DataFrame, sigs: DataFrame, method: Method) -> DataFrame:
     return both.mapInArrow(run, "a long, b long").distinct()
 
 
+def _hubs(buckets: DataFrame) -> DataFrame:
+    """``key``, ``hub``: of each bucket the member that meets most others, the greatest of equals."""
+    return buckets.groupBy("key").agg(F.max(F.struct("met", "rep"))["rep"].alias("hub"))
+
+
 def _star_pairs(buckets: DataFrame) -> DataFrame:
     """Pairs (``a`` < ``b``) of each bucket's hub with its other members."""
-    hubs = buckets.groupBy("key").agg(F.max_by("rep", "met").alias("hub"))
-    pairs = buckets.select("key", "rep").join(hubs, "key").where(F.col("rep") != F.col("hub"))
+    pairs = buckets.select("key", "rep").join(_hubs(buckets), "key").where(F.col("rep") != F.col("hub"))
     return pairs.select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()
 
 
-def _open_pairs(buckets: DataFrame, labels: DataFrame, sigs: DataFrame, method: Method, nearest_only: bool) -> DataFrame:
-    """Pairs across components in buckets that hold more than one; of large
-    buckets only each member's nearest in a pair of blocks, if asked."""
-    label = F.coalesce("root", "rep").alias("comp")
-    named = buckets.join(labels, F.col("rep") == F.col("node"), "left").select("key", "rep", label)
-    open_keys = named.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("size"))
-    open_keys = open_keys.where(F.col("lo") != F.col("hi")).select("key", "size")
-    members = materialize(named.join(open_keys, "key"), "open-buckets")
-    few = members.where(F.col("size") <= SMALL_BUCKET)
-    other = few.select("key", F.col("rep").alias("b"), F.col("comp").alias("comp_b"))
-    pairs = few.withColumnRenamed("rep", "a").join(other, "key").where((F.col("a") < F.col("b")) & (F.col("comp") != F.col("comp_b")))
-    many = members.where(F.col("size") > SMALL_BUCKET).join(sigs, "rep")
-    n = F.ceil(F.col("size") / BLOCK).cast("int")
+def shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Size of the intersection of each set of ``left`` with each of ``right``, exact."""
+    flat_l, flat_r = np.concatenate(left), np.concatenate(right)
+    row_l = np.repeat(np.arange(len(left)), [len(x) for x in left])
+    row_r = np.repeat(np.arange(len(right)), [len(x) for x in right])
+    common = np.intersect1d(flat_l, flat_r)
+    out = np.zeros((len(left), len(right)))
+
+    def placed(flat: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows and columns of the shingles in ``common``, by column."""
+        at = np.searchsorted(common, flat)
+        ok = np.flatnonzero(common[np.minimum(at, len(common) - 1)] == flat) if len(common) else at[:0]
+        order = ok[np.argsort(at[ok], kind="stable")]
+        return row[order], at[order]
+
+    (row_l, col_l), (row_r, col_r) = placed(flat_l, row_l), placed(flat_r, row_r)
+    for lo in range(0, len(common), COLUMNS):
+        part = []
+        for n, row, col in ((len(left), row_l, col_l), (len(right), row_r, col_r)):
+            cut = slice(*np.searchsorted(col, (lo, lo + COLUMNS)))
+            m = np.zeros((n, min(COLUMNS, len(common) - lo)), np.float32)
+            m[row[cut], col[cut] - lo] = 1
+            part.append(m)
+        out += part[0] @ part[1].T
+    return out
+
+
+def joining_links(left: pd.DataFrame, right: pd.DataFrame, percent: int) -> list[tuple[int, int]]:
+    """Links between texts of different components, as many as join what they
+    join. Both frames have ``rep``, ``comp`` and ``set`` (bytes of sorted shingles)."""
+    sets_l, sets_r = ([np.frombuffer(x, "<u8") for x in side["set"]] for side in (left, right))
+    shared = shared_counts(sets_l, sets_r)
+    total = np.array([len(x) for x in sets_l])[:, None] + np.array([len(x) for x in sets_r])[None, :] - shared
+    comp_l, comp_r = left["comp"].to_numpy(), right["comp"].to_numpy()
+    link = (100 * shared >= percent * total) & (comp_l[:, None] != comp_r[None, :])
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while x in root:
+            x = root[x]
+        return x
+
+    out = []
+    for r in np.flatnonzero(link.any(axis=1)):
+        partners = np.flatnonzero(link[r])
+        for c in partners[np.unique(comp_r[partners], return_index=True)[1]]:
+            x, y = find(int(comp_l[r])), find(int(comp_r[c]))
+            if x != y:
+                root[max(x, y)] = min(x, y)
+                out.append((int(left["rep"].iloc[r]), int(right["rep"].iloc[c])))
+    return out
+
+
+def _open_links(buckets: DataFrame, labels: DataFrame, reps: DataFrame, stars: DataFrame, docs: DataFrame, method: Method,
+                id_col: str, text: str) -> DataFrame:
+    """Links (``a`` < ``b``) across components in buckets that hold more than
+    one, enough of them to join all that are linked."""
+    named = buckets.join(labels, F.col("rep") == F.col("node"), "left").select("key", "rep", F.coalesce("root", "rep").alias("comp"))
+    open_keys = named.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("key")
+    members = named.join(open_keys.join(_hubs(buckets), "key"), "key").groupBy("hub", "rep").agg(F.min("comp").alias("comp"))
+    members = materialize(members.join(reps.select("rep", "n_shingles"), "rep"), "open-members")
+    sizes = members.groupBy("hub").agg(F.count(F.lit(1)).alias("size"), F.sum("n_shingles").alias("weight"))
+    members = members.join(sizes, "hub")
+    few = members.where(F.col("size") <= SMALL_GROUP)
+    other = few.select("hub", F.col("rep").alias("b"), F.col("comp").alias("comp_b"))
+    pairs = few.withColumnRenamed("rep", "a").join(other, "hub").where((F.col("a") < F.col("b")) & (F.col("comp") != F.col("comp_b")))
+    pairs = pairs.select("a", "b").distinct().join(stars, ["a", "b"], "left_anti")
+    pairs = materialize(_plausible(pairs, reps.select("rep", "sig"), method), "open-pairs")
+    many = members.where(F.col("size") > SMALL_GROUP)
+
+    def to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingles(t.as_py(), method.shingle).astype("<u8").tobytes() for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["rep", "set"])
+
+    texts = _texts(docs, many.select(F.col("rep").alias("id")).distinct(), id_col, text)
+    sets = materialize(texts.mapInArrow(to_sets, "rep long, set binary"), "open-sets")
+    n = F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("weight") / BLOCK_SHINGLES)).cast("int")
     cells = many.withColumn("blk", F.pmod(F.xxhash64("rep"), n).cast("int")).withColumn(
         "_o", F.explode(F.sequence(F.lit(0), n - 1))).select(
-        "key", F.least("blk", "_o").alias("i"), F.greatest("blk", "_o").alias("j"), "blk", "rep", "comp", "sig")
+        "hub", F.least("blk", "_o").alias("i"), F.greatest("blk", "_o").alias("j"), "blk", "rep", "comp").join(sets, "rep")
 
     def compare(g: pd.DataFrame) -> pd.DataFrame:
-        """Plausible pairs between the blocks i and j of one bucket."""
-        i, j = int(g["i"].iloc[0]), int(g["j"].iloc[0])
-        left, right = g[g["blk"] == i], g[g["blk"] == j]
-        found = [np.empty((0, 2), np.int64)]
+        left, right = g[g["blk"] == g["i"]], g[g["blk"] == g["j"]]
+        found = []
         if len(left) and len(right) and g["comp"].nunique() > 1:
-            grid = lambda x: np.frombuffer(b"".join(x["sig"]), "<u2").reshape(len(x), -1)
-            sig_l, sig_r, comp_r, rep_r = grid(left), grid(right), right["comp"].to_numpy(), right["rep"].to_numpy()
-            most, partner = np.full(len(right), method.least_agreement - 1), np.zeros(len(right), np.int64)
-            for s, comp, rep in zip(sig_l, left["comp"].to_numpy(), left["rep"].to_numpy()):
-                ok = np.flatnonzero((comp_r != comp) & ((rep_r > rep) if i == j else True))
-                same = (sig_r[ok] == s).sum(axis=1)
-                near = same >= method.least_agreement
-                if nearest_only and near.any():
-                    gain = same > most[ok]
-                    most[ok[gain]], partner[ok[gain]] = same[gain], rep
-                    near = [same.argmax()]
-                found.append(np.stack(np.broadcast_arrays(rep_r[ok[near]], rep), axis=1))
-            if nearest_only:
-                met = most >= method.least_agreement
-                found.append(np.stack([rep_r[met], partner[met]], axis=1))
-        both = np.sort(np.unique(np.concatenate(found), axis=0), axis=1)
+            found = joining_links(left, right, method.percent)
+        both = np.sort(np.array(found, np.int64).reshape(-1, 2), axis=1)
         return pd.DataFrame({"a": both[:, 0], "b": both[:, 1]})
 
-    plausible = cells.groupBy("key", "i", "j").applyInPandas(compare, "a long, b long")
-    return _plausible(pairs.select("a", "b").distinct(), sigs, method).unionByName(plausible).distinct()
+    exact = cells.groupBy("hub", "i", "j").applyInPandas(compare, "a long, b long")
+    return confirm(pairs, docs, method, id_col, text).unionByName(exact).distinct()
 
 
 def near_duplicates(docs: DataFrame, method: Method = Method(), id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -289,25 +350,18 @@ def near_duplicates(docs: DataFrame, method: Method = Method(), id_col: str = "d
     classes = filled.groupBy(*identity).agg(F.min("id").alias("rep"))
     nodes = materialize(filled.select("id", *identity).join(classes, identity).select("id", "rep", *identity), "classes")
     reps = filled.join(classes.withColumnRenamed("rep", "id"), ["id", *identity], "left_semi").select(
-        F.col("id").alias("rep"), "bands", "sig")
+        F.col("id").alias("rep"), "bands", "sig", "n_shingles")
     buckets = reps.select("rep", F.explode("bands").alias("key"))
     shared = buckets.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi"), F.count(F.lit(1)).alias("n"))
     buckets = buckets.join(shared.where(F.col("lo") != F.col("hi")).select("key", "n"), "key")
     met = F.sum("n").over(W.partitionBy("rep"))  # a rep has one row for each band
     buckets = materialize(buckets.select("key", "rep", met.alias("met")), "buckets")
-    sigs = reps.select("rep", "sig")
-    stars = materialize(_plausible(_star_pairs(buckets), sigs, method), "star-pairs")
+    stars = materialize(_plausible(_star_pairs(buckets), reps.select("rep", "sig"), method), "star-pairs")
     links = materialize(confirm(stars, docs, method, id_col, text), "star-links")
     labels = components(links)
-    tried = stars
-    for nearest_only in (True, False):
-        rest = _open_pairs(buckets, labels, sigs, method, nearest_only).join(tried, ["a", "b"], "left_anti")
-        rest = materialize(rest, "open-pairs")
-        more = materialize(confirm(rest, docs, method, id_col, text), "open-links")
-        tried = tried.unionByName(rest)
-        if not more.isEmpty():
-            links = links.unionByName(more)
-            labels = components(links)
+    more = materialize(_open_links(buckets, labels, reps, stars, docs, method, id_col, text), "open-links")
+    if not more.isEmpty():
+        labels = components(links.unionByName(more))
     named = nodes.join(labels, F.col("rep") == F.col("node"), "left").select(
         "id", "n_shingles", F.coalesce("root", "rep").alias("component_id"))
     alone = sketches.where(~((F.col("n_shingles") > 0) & F.col("id").isNotNull())).select(

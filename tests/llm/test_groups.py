@@ -3,11 +3,23 @@
 import random
 
 import numpy as np
+import pytest
 
 from linetally.llm import ann, mixing, neardup
 
 
-def test_near_duplicates_equal_brute_force(spark):
+def test_shared_counts_are_exact(monkeypatch):
+    monkeypatch.setattr(neardup, "COLUMNS", 7)
+    rng = np.random.default_rng(3)
+    left, right = ([np.unique(rng.integers(0, 90, rng.integers(1, 60)).astype(np.uint64)) for _ in range(k)] for k in (9, 5))
+    want = [[len(set(a.tolist()) & set(b.tolist())) for b in right] for a in left]
+    assert neardup.shared_counts(left, right).tolist() == want
+    assert neardup.shared_counts([np.array([1], np.uint64)], [np.array([2], np.uint64)]).tolist() == [[0]]
+
+
+@pytest.mark.parametrize("block", [1024, 30])
+def test_near_duplicates_equal_brute_force(spark, monkeypatch, block):
+    monkeypatch.setattr(neardup, "BLOCK", block)
     r = random.Random(5)
     base = [f"w{r.randrange(5000)}" for _ in range(100)]
     rows = []

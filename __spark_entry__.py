@@ -220,6 +220,13 @@ def q_delimited_roundtrip(spark, sf_dir):
     return sinks.read_delimited(spark, path, profile.schema)
 
 
+def q_delimited_documents(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    path = scratch_path(spark, "delimited")
+    sinks.export_delimited(docs, path)
+    return sinks.read_delimited(spark, path, docs.schema)
+
+
 def q_document_pareto_count(spark, sf_dir):
     groups = prof.grouped(fixtures.document_lines(spark, sf_dir), CENTS, strict=False)
     return pareto(groups, PARETO_SHARE, compat=True).selection("count")
@@ -293,6 +300,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "append_roundtrip": q_append_roundtrip,
         "upsert_roundtrip": q_upsert_roundtrip,
         "delimited_roundtrip": q_delimited_roundtrip,
+        "delimited_documents": q_delimited_documents,
         "document_pareto_count": q_document_pareto_count,
         "stream_text_groups": q_stream_text_groups,
         "report_profile": q_report_profile,
@@ -509,6 +517,7 @@ SELECT {_LINE_COLS} FROM lines WHERE {_EXTRACT_SQL['between']}""",
        CASE WHEN rank_amount <= sel.n THEN 1 END AS pareto_amount
 FROM ranked, sel""",
         "delimited_roundtrip": _profile_sql(False),
+        "delimited_documents": "SELECT doc_id, text FROM documents",
         "document_pareto_count": _pareto_selection_sql("count", _WITH_DOC_GROUPS),
         "report_profile": _profile_sql(True),
         "report_ids": f"""WITH {_LINES},

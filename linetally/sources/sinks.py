@@ -20,14 +20,23 @@ from .tables import _is_path
 def append(df: DataFrame, target: str | None, fmt: str = "parquet", namespace: str | None = None) -> bool:
     """Append ``df`` to a table name (in ``namespace`` if unqualified) or to
     a path. An empty or missing target writes nothing, as in the original.
+    An existing table keeps its own format and takes columns by name (the
+    same names are needed); ``fmt`` holds for paths and new tables.
     Returns whether a write happened."""
     if not target:
         return False
     if _is_path(target):
         df.write.mode("append").format(fmt).save(target)
+        return True
+    spark = df.sparkSession
+    name = target if (namespace is None or "." in target) else f"{namespace}.{target}"
+    if spark.catalog.tableExists(name):
+        columns = spark.table(name).columns
+        if sorted(c.lower() for c in columns) != sorted(c.lower() for c in df.columns):
+            raise ValueError(f"{name} has the columns {columns}, not {df.columns}")
+        df.select(*[F.col(f"`{c}`") for c in columns]).write.insertInto(name)
     else:
-        name = target if (namespace is None or "." in target) else f"{namespace}.{target}"
-        df.write.mode("append").format(fmt).saveAsTable(name)
+        df.write.format(fmt).saveAsTable(name)
     return True
 
 
@@ -40,16 +49,18 @@ def upserted(existing: DataFrame, updates: DataFrame, keys: Sequence[str]) -> Da
     row-level behaviour of an insert into a keyed store, where writing a row
     with some columns leaves the others in place.
 
-    One full outer join on the keys (a shuffle of both sides by key). Keys
-    are expected to be unique on each side; several updates for one key
-    give several rows.
+    One full outer join on the keys (a shuffle of both sides by key). Several
+    updates for one key fail the job, as no row order says which is the last.
     """
     keys = list(keys)
     missing = [k for k in keys if k not in existing.columns or k not in updates.columns]
     if missing:
         raise ValueError(f"keys {missing} must be columns of both frames")
     old = existing.select(*[F.col(c).alias(f"_o_{c}") for c in existing.columns])
-    new = updates.select(*[F.col(c).alias(f"_n_{c}") for c in updates.columns]).withColumn("_n_present", F.lit(True))
+    each = updates.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.first(F.struct(*updates.columns)).alias("_row"))
+    several = F.raise_error(F.lit(f"several updates for one key {keys}"))
+    each = each.select(F.when(F.col("_n") > 1, several).otherwise(F.col("_row")).alias("_row"))
+    new = each.select(*[F.col(f"_row.{c}").alias(f"_n_{c}") for c in updates.columns]).withColumn("_n_present", F.lit(True))
     cond = None
     for k in keys:
         part = old[f"_o_{k}"].eqNullSafe(new[f"_n_{k}"])
@@ -96,21 +107,19 @@ def cleaned_texts(df: DataFrame, id_col: str, text_col: str, one_per_id: bool |
     """What the cleaned-text export writes (S5): ``id`` and cleaned ``text``
     for rows whose cleaned text is not empty; null texts are skipped.
 
-    A null id fails the job (the original failed on it too), before any
-    output is committed. The original wrote one file per id, so rows sharing
+    A null id fails the job (the original failed on it too), also beside a
+    null or empty text, before any output is committed. The original wrote one file per id, so rows sharing
     an id overwrote each other in whatever order they ran; here the greatest
     cleaned text per id is kept, which is repeatable. That needs a shuffle of
     all cleaned texts by id, so ``one_per_id=None`` (the default) first
     checks with :func:`ids_unique` and skips the shuffle when ids are
     already unique; ``True`` / ``False`` force the choice without the check.
     """
-    ident = F.col(id_col)
-    checked = F.when(ident.isNull(), F.raise_error(F.lit(f"null value in id column {id_col}"))).otherwise(ident)
-    rows = (
-        df.where(F.col(text_col).isNotNull())
-        .select(checked.alias("id"), clean_text(F.col(text_col).cast(T.StringType())).alias("text"))
-        .where(F.col("text") != F.lit(""))
-    )
+    ident, cleaned = F.col(id_col), clean_text(F.col(text_col).cast(T.StringType()))
+    # one expression, so that no filter on the text runs before the check of the id
+    null_id = F.raise_error(F.lit(f"null value in id column {id_col}")).cast("boolean")
+    wanted = F.when(ident.isNull(), null_id).otherwise(F.col(text_col).isNotNull() & (cleaned != F.lit("")))
+    rows = df.where(wanted).select(ident.alias("id"), cleaned.alias("text"))
     if one_per_id is None:
         one_per_id = not ids_unique(df, id_col)
     if one_per_id:
@@ -127,11 +136,21 @@ def export_cleaned_texts(df: DataFrame, id_col: str, text_col: str, path: str, f
 
 def export_delimited(df: DataFrame, path: str, sep: str = "|", header: bool = True, mode: str = "errorifexists") -> None:
     """Delimited text with a header (S6), one file per task (the original
-    forced a single partition, which does not scale)."""
-    df.write.mode(mode).option("sep", sep).option("header", header).csv(path)
+    forced a single partition, which does not scale). Texts are written whole:
+    blanks at their ends stay, quotes are doubled, line breaks are quoted."""
+    writer = df.write.mode(mode).option("sep", sep).option("header", header).option("escape", '"')
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def read_delimited(spark: SparkSession, path: str, schema: T.StructType | str, sep: str = "|",
                    header: bool = True) -> DataFrame:
-    """Read back a delimited export with an explicit schema (no inference)."""
-    return spark.read.schema(schema).option("sep", sep).option("header", header).csv(path)
+    """Read back a delimited export with an explicit schema (no inference).
+    As a quoted text may hold line breaks, a file isn't split: one task reads one
+    of the files that the export's tasks wrote. An empty text (quoted in the file)
+    and a null (nothing) stay apart."""
+    empty = "\x00"  # what the reader gives for a quoted empty text, which it would else make null
+    reader = spark.read.schema(schema).option("sep", sep).option("header", header).option("escape", '"')
+    rows = reader.option("multiLine", True).option("emptyValue", empty).csv(path)
+    texts = {f.name for f in rows.schema if isinstance(f.dataType, T.StringType)}
+    own = ((c, F.col(f"`{c}`")) for c in rows.columns)
+    return rows.select(*[F.when(v == empty, F.lit("")).otherwise(v).alias(c) if c in texts else v for c, v in own])

@@ -38,6 +38,40 @@ def test_cleaned_export_null_id_fails(spark, scratch):
         sinks.export_cleaned_texts(df, "id", "t", f"{scratch}/exp")
 
 
+def test_cleaned_export_null_id_fails_beside_an_empty_text(spark, scratch):
+    spark.createDataFrame([(None, None), (None, "123")], "id long, t string").write.parquet(f"{scratch}/in")
+    for text in ("t IS NULL", "t = '123'"):
+        rows = spark.read.parquet(f"{scratch}/in").where(text)
+        with pytest.raises(Exception, match="null value in id column"):
+            sinks.cleaned_texts(rows, "id", "t", one_per_id=False).collect()
+
+
+def test_delimited_keeps_whole_texts(spark, scratch):
+    texts = ["two\nlines", "crlf\r\nline", 'a "quoted" | bar', "back\\", '\\"', " blanks ", "", None, "\n", "x"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    sinks.export_delimited(df, f"{scratch}/csv")
+    back = sinks.read_delimited(spark, f"{scratch}/csv", df.schema)
+    assert [r["t"] for r in back.orderBy("id").collect()] == texts
+
+
+def test_append_to_a_table_of_another_format(spark):
+    df = spark.createDataFrame([(1, "a")], "id int, t string")
+    for fmt in ("orc", "parquet"):
+        df.write.format(fmt).mode("overwrite").saveAsTable(f"lt_append_{fmt}")
+        assert sinks.append(df.select("t", "id"), f"lt_append_{fmt}")
+        assert [tuple(r) for r in spark.table(f"lt_append_{fmt}").collect()] == [(1, "a")] * 2
+        with pytest.raises(ValueError):
+            sinks.append(df.select("id"), f"lt_append_{fmt}")
+        spark.sql(f"DROP TABLE lt_append_{fmt}")
+
+
+def test_upsert_rejects_repeated_update_keys(spark):
+    old = spark.createDataFrame([("a", 1)], "k string, v int")
+    new = spark.createDataFrame([("a", 2), ("a", 3)], "k string, v int")
+    with pytest.raises(Exception, match="several updates for one key"):
+        sinks.upserted(old, new, ["k"]).collect()
+
+
 def test_delimited_roundtrip(spark, scratch):
     df = lines(spark).where(F.col("row_id").isNotNull())
     sinks.export_delimited(df, f"{scratch}/csv")

@@ -169,14 +169,17 @@ def sketch(docs: DataFrame, method: Method, id_col: str, text: str) -> DataFrame
 
 
 def _texts(docs: DataFrame, wanted: DataFrame, id_col: str, text: str) -> DataFrame:
-    """``id``, ``t`` (UTF-8) of the ids in ``wanted``, one row each."""
+    """``id``, ``t`` (UTF-8) of the ids in ``wanted``, one row each. The ids are
+    written first: while their measured size is below Spark's broadcast threshold, no
+    text that isn't wanted is shuffled."""
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text}`").cast("string").cast("binary").alias("t"))
+    wanted = materialize(wanted.select("id").distinct(), "wanted")
     return texts.join(wanted, "id", "left_semi").groupBy("id").agg(F.max("t").alias("t"))
 
 
 def confirm(pairs: DataFrame, docs: DataFrame, method: Method, id_col: str, text: str) -> DataFrame:
     """The pairs (``a``, ``b``) whose full sets reach the threshold."""
-    texts = _texts(docs, pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), id_col, text)
+    texts = _texts(docs, pairs.select(F.explode(F.array("a", "b")).alias("id")), id_col, text)
     both = pairs.join(texts.select(F.col("id").alias("a"), F.col("t").alias("ta")), "a").join(
         texts.select(F.col("id").alias("b"), F.col("t").alias("tb")), "b").select("a", "b", "ta", "tb")
 
@@ -321,7 +324,7 @@ def _open_links(buckets: DataFrame, labels: DataFrame, reps: DataFrame, stars: D
             sets = [shingles(t.as_py(), method.shingle).astype("<u8").tobytes() for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["rep", "set"])
 
-    texts = _texts(docs, many.select(F.col("rep").alias("id")).distinct(), id_col, text)
+    texts = _texts(docs, many.select(F.col("rep").alias("id")), id_col, text)
     sets = materialize(texts.mapInArrow(to_sets, "rep long, set binary"), "open-sets")
     n = F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("weight") / BLOCK_SHINGLES)).cast("int")
     cells = many.withColumn("blk", F.pmod(F.xxhash64("rep"), n).cast("int")).withColumn(

@@ -3,19 +3,23 @@
 Patterns find e-mail addresses, IP addresses, card and phone numbers; their
 values are the protected entities. A term near an entity can give it away even
 when the entity itself is removed, and how much it does follows from the corpus.
-With ``p(x)`` the share of documents that hold x (for a pair: the term near the
-entity), the pointwise mutual information ``log(p(e, t) / (p(e) p(t)))`` is
-what the term tells about the entity, and ``-log p(e)`` is all there is to
-tell; their ratio is the term's disclosure. Terms that disclose at least
-``REMOVE`` of an entity are removed from that entity's surroundings, those
-from ``GENERALISE`` on are generalised (to the kind of word they are). A ratio
-counts from :data:`SUPPORT` documents on, as one encounter says nothing.
-
-How it runs. One pass over all texts counts documents by term, by entity and by
-pair (entity, term within :data:`REACH` words), summed in the executors
-before the shuffle; pairs are bounded by the entities' occurrences. A
-second pass finds the spans; only documents with entities join their few
-pairs with the disclosing ones, by pair, and no list of terms is broadcast.
+With ``p(x)`` the share of different texts that hold x and ``p(e | t)`` that of
+those with the term that have it near the entity, the pointwise mutual
+information ``log(p(e | t) / p(e))`` is what the term tells about the entity,
+and ``-log p(e)`` is all there is to tell; their ratio is the term's disclosure.
+Terms that disclose at least ``REMOVE`` of an entity are removed from that
+entity's surroundings, those from ``GENERALISE`` on are generalised (to the
+kind of word they are). ``p(e | t)`` is smoothed, as most entities occur in one
+or two texts: it is taken as if the term had been met in :data:`SUPPORT` more
+texts, which hold the entity as often as any. So a few encounters count, the
+less the commoner the term, and copies of one text are one encounter.
+
+How it runs. Texts are shuffled once, to leave one of each. A pass over these
+counts them by term, by entity and by pair (entity, term within :data:`REACH`
+words), summed in the executors before the shuffle; pairs are bounded by the
+entities' occurrences. A second pass over all rows finds the spans; only
+documents with entities join their few pairs with the disclosing ones, by pair,
+and no list of terms is broadcast.
 
 Results for odd input: null and empty texts have no spans; texts of any length are
 read whole; identical rows get identical spans; a row without id is treated
@@ -37,12 +41,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import carried
+from .common import carried, whole_text
 
 KINDS = ("email", "ip", "card", "phone", "term")
 #: Words, and at most characters, on either side of an entity that are near it.
 REACH = 8
 REACH_CHARS = 200
+#: Texts that smoothing adds to those with the term.
 SUPPORT = 3
 GENERALISE = 0.7
 REMOVE = 0.85
@@ -156,7 +161,7 @@ def _first_words(text: str, at: int) -> int:
 
 
 def corpus_counts(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``e``, ``t``, ``n``: number of documents with the entity (``t`` null), with the
+    """``e``, ``t``, ``n``: number of different texts with the entity (``t`` null), with the
     term (``e`` null), with the term near the entity, and of all (both null)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,7 +179,7 @@ def corpus_counts(docs: DataFrame, text: str = "text") -> DataFrame:
         terms, pairs = Counter(), Counter()
         for batch in batches:
             for t in batch.column(0):
-                body = t.as_py() or ""
+                body = t.as_py()
                 pairs[None, None] += 1
                 terms.update(set(_TERM.findall(body.lower())))
                 spans = base_spans(body)
@@ -188,7 +193,8 @@ def corpus_counts(docs: DataFrame, text: str = "text") -> DataFrame:
         yield term_rows(terms)
         yield rows(pairs)
 
-    counted = docs.select(F.col(f"`{text}`").cast("string").alias("t")).mapInArrow(run, "e string, t string, n long")
+    texts = docs.select(whole_text(F.col(f"`{text}`")).alias("t")).distinct()
+    counted = texts.mapInArrow(run, "e string, t string, n long")
     return counted.groupBy("e", "t").agg(F.sum("n").alias("n"))
 
 
@@ -197,12 +203,13 @@ def disclosing_pairs(counts: DataFrame) -> DataFrame:
     total = counts.where(F.col("e").isNull() & F.col("t").isNull()).select(F.col("n").alias("total"))
     of_e = counts.where(F.col("e").isNotNull() & F.col("t").isNull()).select("e", F.col("n").alias("n_e"))
     of_t = counts.where(F.col("e").isNull() & F.col("t").isNotNull()).select("t", F.col("n").alias("n_t"))
-    pairs = counts.where(F.col("e").isNotNull() & F.col("t").isNotNull() & (F.col("n") >= SUPPORT))
+    pairs = counts.where(F.col("e").isNotNull() & F.col("t").isNotNull())
     whole = total.first()
     n = math.log(whole[0]) if whole and whole[0] else 0.0
     joined = pairs.join(of_e, "e").join(of_t, "t")
     information = F.lit(n) - F.log("n_e")
-    mutual = F.lit(n) + F.log("n") - F.log("n_e") - F.log("n_t")
+    given = F.col("n") + SUPPORT * F.col("n_e") * math.exp(-n)
+    mutual = F.log(given) - F.log(F.col("n_t") + SUPPORT) + information
     joined = joined.withColumn("disclosure", F.when(information > 0, mutual / information))
     return joined.where(F.col("disclosure") >= GENERALISE).select("e", "t", "disclosure")
 

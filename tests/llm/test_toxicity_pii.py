@@ -76,3 +76,18 @@ def test_disclosing_terms_are_found_and_removed(spark):
     assert "zed" not in texts[0] and "bluebird" not in texts[0] and "plain words" in texts[0] and texts[100] is None
     assert texts[30] == dict(rows)[30] and pii.sanitise_texts(df).count() == len(rows)
     assert pii.find_spans(df.limit(0), columns=["doc_id"]).count() == 0
+
+
+def test_terms_of_entities_in_one_or_two_texts(spark):
+    """A rare word next to an address seen once or twice discloses it; copies of a text are one encounter."""
+    common = "some plain words of every day come here again"
+    rows = [(i, f"{common} {i}") for i in range(400)]
+    rows += [(1000, f"{common} ask quillon at one@a.org for more words"), (1001, f"{common} ask vexford at two@a.org for plain words"),
+             (1002, f"{common} and vexford at two@a.org again")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    clean = {r["doc_id"]: r["text"] for r in pii.sanitise_texts(df).collect()}
+    assert "quillon" not in clean[1000] and "vexford" not in clean[1001] and "vexford" not in clean[1002]
+    assert common.split(" come")[0] in clean[1000] and clean[7] == dict(rows)[7]
+    pairs = lambda d: {(r["e"], r["t"]): round(r["disclosure"], 9) for r in pii.disclosing_pairs(pii.corpus_counts(d)).collect()}
+    copies = spark.createDataFrame([rows[400]] * 50, "doc_id long, text string")
+    assert pairs(df.unionByName(copies)) == pairs(df) and ("email:one@a.org", "quillon") in pairs(df)

@@ -8,9 +8,14 @@ trained in numpy on the driver, on a bounded sample (:data:`SAMPLE_TOXIC` and
 :data:`SAMPLE_CLEAN` labelled rows of at most :data:`SAMPLE_BYTES` bytes, lowest
 hash first): one embedding component starts as the features' association with
 the label, as random embeddings under max pooling hardly ever see the few
-telling words of a long text. A fifth of the sample is not trained on: it
-sets the scale, so that 0.7 is where the score separates best over all
-languages, and one threshold for each language with enough toxic rows.
+telling words of a long text. All usable labelled rows that are not trained on
+(a fifth by hash, set aside, and whatever the bounds leave out) are then
+scored in Spark, whole, and counted by language, label and score on a fixed
+grid; these counts set the scale, so that 0.7 is where the score separates best
+over all languages, and one threshold for each language with labelled rows,
+drawn towards the common one by :data:`LEAST_TOXIC` toxic rows' weight. Where a
+fifth would hold too few rows of a label, none is set aside, and each sampled row
+counts with the score that a model fitted without it gives.
 
 A score is a function of the text alone; the language only picks the
 threshold of the verdict. Scoring maps the rows: no shuffle. As a filter is
@@ -18,8 +23,8 @@ linear in its words, each word's responses are computed once and looked up,
 in a table of bounded size, so a text costs a few additions per word.
 
 Results for odd input: null and empty texts have the score of a text whose words are
-all unknown; texts of any length are read whole; a null or rare language has the
-threshold 0.7; labels that are null, or whose row has no document, are not
+all unknown; texts of any length are read whole; a null language, or one without
+labelled rows, has the threshold 0.7; labels that are null, or whose row has no document, are not
 used; without toxic or without clean labels every score is 0; repeated rows
 score alike; an empty table gives an empty result.
 """
@@ -51,8 +56,13 @@ THRESHOLD = 0.7
 SAMPLE_TOXIC = 2000
 SAMPLE_CLEAN = 3000
 SAMPLE_BYTES = 32_768
-#: Toxic rows a language needs in the calibration part for a threshold of its own.
+#: Toxic rows (with clean ones in proportion) that all languages together count for in
+#: the threshold of each; with fewer than FOLDS times as many rows of a label, none is set aside.
 LEAST_TOXIC = 15
+FOLDS = 5
+#: The grid of logits: steps for each unit, and the greatest logit it tells apart.
+GRID = 50
+GRID_END = 30
 #: Words whose responses a worker keeps, and texts scored at a time.
 TABLE_SIZE = 400_000
 STEP = 100
@@ -233,25 +243,36 @@ def best_cut(scores: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> flo
     return float((s[i] + (s[i + 1] if i + 1 < len(s) else s[i] - 1)) / 2)
 
 
-def fit(texts: list[bytes], labels: np.ndarray, langs: list[str | None], prevalence: float) -> Model:
-    """Trains on four fifths and calibrates on the rest (on all, if the rest
-    has too few toxic rows). ``prevalence``: share of toxic rows where the
-    sample comes from, as the sample itself holds more of them."""
-    part = np.arange(len(texts)) % 5 == 4
-    few = labels[part].sum() < LEAST_TOXIC
-    fitted = np.flatnonzero(~part) if not few else np.arange(len(texts))
-    model = train([texts[i] for i in fitted], labels[fitted])
-    held = np.arange(len(texts)) if few else np.flatnonzero(part)
-    z, y = Scorer(model).logits([texts[i] for i in held]), labels[held]
-    w = np.where(y == 1, prevalence / max(1, y.sum()), (1 - prevalence) / max(1, (1 - y).sum()))
+def cell(logits: np.ndarray) -> np.ndarray:
+    """Number of each logit's cell on the grid."""
+    return np.rint(np.clip(logits, -GRID_END, GRID_END) * GRID).astype(np.int64)
+
+
+def out_of_fold(texts: list[bytes], labels: np.ndarray) -> np.ndarray:
+    """Logits of all texts, each from a model that did not learn from it."""
+    fold, z = np.zeros(len(texts), np.int64), np.zeros(len(texts))
+    for y in (0, 1):
+        own = np.flatnonzero(labels == y)
+        fold[own] = np.arange(len(own)) % FOLDS
+    for k in range(FOLDS):
+        held, fitted = np.flatnonzero(fold == k), np.flatnonzero(fold != k)
+        if len(held) and len(fitted):
+            z[held] = Scorer(train([texts[i] for i in fitted], labels[fitted])).logits([texts[i] for i in held])
+    return z
+
+
+def calibrate(model: Model, cells: list[tuple[str | None, int, int, float]], toxic_rows: float) -> None:
+    """Sets shift and thresholds from weights by (language, label, cell of the
+    grid). ``toxic_rows``: number of rows that the toxic weight stands for."""
+    z = np.array([c[2] for c in cells]) / GRID
+    y, w = np.array([c[1] for c in cells]), np.array([c[3] for c in cells], float)
     model.shift = math.log(THRESHOLD / (1 - THRESHOLD)) - model.scale * best_cut(z, y, w)
-    s = model.score(z)
-    of = np.array([langs[i] or "" for i in held])
+    of = np.array([c[0] or "" for c in cells])
+    shared = w * (LEAST_TOXIC / toxic_rows)
     for lang in sorted(set(of) - {""}):
         own = of == lang
-        if y[own].sum() >= LEAST_TOXIC and (1 - y[own]).sum() >= LEAST_TOXIC:
-            model.thresholds[str(lang)] = min(0.95, max(0.3, best_cut(s[own], y[own], w[own])))
-    return model
+        cut = best_cut(np.concatenate([z, z[own]]), np.concatenate([y, y[own]]), np.concatenate([shared, w[own]]))
+        model.thresholds[str(lang)] = min(0.95, max(0.3, float(model.score(np.array(cut)))))
 
 
 # ---------------------------------------------------------------------------
@@ -267,13 +288,16 @@ def held_out(doc_id: Column) -> Column:
 
 def fit_on_labels(docs: DataFrame, labels: DataFrame) -> Model | None:
     """A model from the labelled rows that are not held out. The driver gets at
-    most SAMPLE_TOXIC + SAMPLE_CLEAN texts of at most SAMPLE_BYTES bytes."""
+    most SAMPLE_TOXIC + SAMPLE_CLEAN texts of at most SAMPLE_BYTES bytes, and the
+    counts of the others by language, label, whether longer, and cell of the grid."""
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     counts = dict(known.groupBy("toxic").count().collect())
     if not counts.get(0) or not counts.get(1):
         return None
-    lowest = lambda y, n: known.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
+    few = min(counts.values()) < FOLDS * LEAST_TOXIC
+    learned = known if few else known.where(F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)) != FOLDS - 1)
+    lowest = lambda y, n: learned.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
     wanted = lowest(1, SAMPLE_TOXIC).unionByName(lowest(0, SAMPLE_CLEAN))
     # at most SAMPLE_TOXIC + SAMPLE_CLEAN rows: a proven size bound
     body = F.col("text").cast("string").cast("binary")
@@ -282,7 +306,44 @@ def fit_on_labels(docs: DataFrame, labels: DataFrame) -> Model | None:
     y = np.array([r["toxic"] for r in rows], np.int64)
     if not len(y) or y.min() == y.max():
         return None
-    return fit([bytes(r["t"] or b"") for r in rows], y, [r["lang"] for r in rows], counts[1] / (counts[0] + counts[1]))
+    texts = [bytes(r["t"] or b"") for r in rows]
+    model = train(texts, y)
+    trained = docs.sparkSession.createDataFrame([(r["doc_id"],) for r in rows], docs.select("doc_id").schema)
+    other = known.join(F.broadcast(trained), "doc_id", "left_anti")
+    counted = label_counts(docs, other, model).collect()
+    rest = {}  # by label, rows not trained on that are not longer than the sample's
+    for r in counted:
+        if not r["longer"]:
+            rest[r["toxic"]] = rest.get(r["toxic"], 0) + r["n"]
+    cells = [(r["lang"], r["toxic"], r["cell"], r["n"], r["longer"]) for r in counted]
+    if few or {c[1] for c in cells} != {0, 1}:
+        z = cell(out_of_fold(texts, y))
+        cells += [(r["lang"], int(k), int(c), 1, False) for r, k, c in zip(rows, y, z)]
+        weight = {0: 1.0, 1: 1.0}
+    else:  # rows set aside or beyond the sample stand for those trained on, too
+        weight = {k: 1 + float((y == k).sum()) / n for k, n in rest.items()}
+    calibrate(model, [(a, k, c, n if longer else n * weight[k]) for a, k, c, n, longer in cells],
+              sum(c[3] for c in cells if c[1] == 1))
+    return model
+
+
+def label_counts(docs: DataFrame, known: DataFrame, model: Model) -> DataFrame:
+    """Rows ``n`` of ``docs`` with a label in ``known`` by ``lang``, ``toxic``, whether
+    ``longer`` than SAMPLE_BYTES, and ``cell`` of their logit."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # a fixed number of parameters
+    source = docs.select("doc_id", F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").cast("binary").alias("t"))
+    source = source.join(known, "doc_id").select(
+        "lang", F.col("toxic").cast("int").alias("toxic"), (F.coalesce(F.octet_length("t"), F.lit(0)) > SAMPLE_BYTES).alias("longer"), "t")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(shared.value)
+        for batch in batches:
+            z = [scorer.logits(batch.column(3)[at: at + STEP].to_pylist()) for at in range(0, batch.num_rows, STEP)]
+            cells = pa.array(cell(np.concatenate([np.zeros(0), *z])), pa.int32())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], cells], names=["lang", "toxic", "longer", "cell"])
+
+    found = source.mapInArrow(run, "lang string, toxic int, longer boolean, cell int")
+    return found.groupBy("lang", "toxic", "longer", "cell").agg(F.count(F.lit(1)).alias("n"))
 
 
 def score_texts(docs: DataFrame, model: Model | None, text: str = "text", lang: str = "lang") -> DataFrame:
@@ -305,7 +366,8 @@ def score_texts(docs: DataFrame, model: Model | None, text: str = "text", lang:
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], scores], names=[*keep, "score"])
 
     threshold = F.lit(THRESHOLD)
-    for name, cut in model.thresholds.items():
-        threshold = F.when(F.col(f"`{lang}`") == name, F.lit(cut)).otherwise(threshold)
+    if model.thresholds:
+        cuts = F.create_map(*[F.lit(x) for pair in model.thresholds.items() for x in pair])
+        threshold = F.coalesce(F.try_element_at(cuts, F.col(f"`{lang}`").cast("string")), threshold)
     out = source.mapInArrow(run, schema).withColumn("threshold", threshold)
     return out.withColumn("rejected", F.col("score") >= F.col("threshold"))

@@ -36,6 +36,36 @@ def test_classifier_on_held_out_rows(spark):
     assert {r["score"] for r in toxicity.score_texts(docs, None).collect()} == {0.0}
 
 
+def test_thresholds_come_from_all_rows_not_trained_on(spark, monkeypatch):
+    """Longer texts and those beyond the sample's bounds count, and a language with few toxic rows has a threshold."""
+    monkeypatch.setattr(toxicity, "SAMPLE_TOXIC", 60)
+    monkeypatch.setattr(toxicity, "SAMPLE_CLEAN", 100)
+    rows = [(i, t + (" w1" * 12_000 if i % 50 == 0 else ""), "fr" if i % 12 == 0 else lang, y) for i, t, lang, y in _docs(1500, 4)]
+    docs = spark.createDataFrame([x[:3] for x in rows], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(x[0], x[3]) for x in rows], "doc_id long, toxic int")
+    seen, given = [], toxicity.calibrate
+    monkeypatch.setattr(toxicity, "calibrate", lambda model, cells, n: seen.append((cells, n)) or given(model, cells, n))
+    model = toxicity.fit_on_labels(docs, labels)
+    usable = [r["doc_id"] for r in docs.where(~toxicity.held_out(F.col("doc_id"))).collect()]
+    (cells, toxic), = seen
+    # the weights stand for all usable rows, and only rows trained on (at most 60 toxic ones) are not scored
+    assert abs(sum(c[3] for c in cells) - len(usable)) < 1e-6
+    assert sum(rows[i][3] for i in usable) - 60 <= toxic < sum(rows[i][3] for i in usable)
+    assert set(model.thresholds) == {"en", "de", "fr"} and all(0.3 <= t <= 0.95 for t in model.thresholds.values())
+    counts = toxicity.label_counts(docs, labels, model).groupBy("longer").sum("n").collect()
+    assert dict(map(tuple, counts)) == {True: 30, False: 1470}
+
+
+def test_small_languages_are_drawn_to_the_common_threshold():
+    def cut(n):
+        model = toxicity.Model(None, [], None, None)
+        cells = [("en", 1, 100, 500), ("en", 0, 0, 5000), ("de", 1, -50, n), ("de", 0, -150, 10 * n)]
+        toxicity.calibrate(model, cells, 500 + n)
+        return model.thresholds["de"], model.thresholds["en"]
+
+    assert abs(cut(1)[0] - cut(1)[1]) < 1e-6 and cut(400)[0] < 0.7
+
+
 def test_whole_texts_count():
     scorer = toxicity.Scorer(toxicity.Model(
         np.eye(toxicity.BUCKETS, toxicity.DIM, dtype=np.float32), [np.ones((w, toxicity.DIM, toxicity.FILTERS), np.float32) for w in toxicity.WIDTHS],

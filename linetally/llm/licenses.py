@@ -42,6 +42,13 @@ class Template:
         return list(dict.fromkeys(f"{a} {b}" for a, b in zip(w, w[1:])))
 
 
+_CLAUSES = (
+    ("BY", "Attribution"), ("BY-SA", "Attribution-ShareAlike"), ("BY-NC", "Attribution-NonCommercial"),
+    ("BY-ND", "Attribution-NoDerivatives"), ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"),
+    ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives"),
+)
+_GNU = (("GPL-2.0", "", "2"), ("LGPL-3.0", "Lesser", "3"), ("LGPL-2.1", "Lesser", "2.1"), ("AGPL-3.0", "Affero", "3"))
+
 # Public license notices, in their usual wording.
 TEMPLATES = (
     Template("MIT", "Released under the MIT License."),
@@ -65,6 +72,39 @@ TEMPLATES = (
     Template("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     Template("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     Template("all-rights-reserved", "All rights reserved."),
+    # variants of the above by clause and version, so that the nearest one is named
+    *(Template(f"CC-{short}-{version.split()[0]}",
+               f"This work is licensed under a Creative Commons {name} {version} License.")
+      for version in ("4.0 International", "3.0 Unported") for short, name in _CLAUSES if (short, version[:3]) != ("BY", "4.0")),
+    *(Template(f"CC-{short}-{version}", f"Licensed under CC {short} {version}.")
+      for version in ("4.0", "3.0") for short, _ in _CLAUSES
+      if version == "3.0" or short not in ("BY", "BY-SA", "BY-NC")),
+    *(Template(spdx, f"This work is licensed under the GNU {name} General Public License, version {version}.")
+      for spdx, name, version in _GNU),
+    *(Template(spdx, f"This {thing} is free software{mark} you can redistribute it and/or modify it under the terms of the GNU "
+                     f"{name} General Public License as published by the Free Software Foundation, either version "
+                     f"{version} of the License, or (at your option) any later version.")
+      for spdx, name, version in _GNU
+      for thing, mark in ((("program", ":"),) if name in ("", "Affero") else (("library", ";"), ("program", ":")))),
+    # further licenses
+    Template("Apache-2.0", "Unless required by applicable law or agreed to in writing, software distributed under the License "
+                           "is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express "
+                           "or implied."),
+    Template("BSD", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file."),
+    Template("BSD", "Licensed under the BSD License."),
+    Template("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the "
+                        "MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
+    Template("MPL-2.0", "Licensed under the Mozilla Public License, version 2.0."),
+    Template("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public "
+                        "License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/"),
+    Template("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
+                    "hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    Template("Zlib", "Permission is granted to anyone to use this software for any purpose, including commercial applications, "
+                     "and to alter it and redistribute it freely, subject to the following restrictions:"),
+    Template("BSL-1.0", "Distributed under the Boost Software License, Version 1.0."),
+    Template("Unlicense", "This is free and unencumbered software released into the public domain."),
+    Template("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring "
+                        "rights to this work."),
 )
 
 

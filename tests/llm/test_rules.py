@@ -62,3 +62,23 @@ def test_licenses(spark):
     df = spark.createDataFrame([(i, x, "c") for i, x in rows], "doc_id long, text string, kind string")
     got = sorted((r["doc_id"], r["kind"], r["segment"], r["license"]) for r in licenses.scan_licenses(df).collect())
     assert got == [(1, "line", 1, "MIT"), (5, "paragraph", 0, "MIT")]
+
+
+def test_variants_of_licenses_are_named(spark):
+    work, gnu = "This work is licensed under ", "it under the terms of the GNU {} as published by the Free Software Foundation, "
+    later = "either version {} of the License, or (at your option) any later version."
+    free = "This program is free software: you can redistribute it and/or modify " + gnu + later
+    rows = [("CC-BY-NC-4.0", work + "a Creative Commons Attribution-NonCommercial 4.0 International License."),
+            ("CC-BY-SA-4.0", work + "a Creative Commons Attribution-ShareAlike 4.0 International License."),
+            ("CC-BY-NC-ND-4.0", work + "a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License."),
+            ("CC-BY-4.0", work + "a Creative Commons Attribution 4.0 International License."),
+            ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0."), ("GPL-2.0", work + "the GNU General Public License, version 2."),
+            ("LGPL-3.0", work + "the GNU Lesser General Public License, version 3."),
+            ("GPL-2.0", free.format("General Public License", "2")), ("GPL-3.0", free.format("General Public License", "3")),
+            ("AGPL-3.0", free.format("Affero General Public License", "3")),
+            ("LGPL-2.1", free.format("Lesser General Public License", "2.1").replace("program", "library")),
+            ("LGPL-3.0", free.format("Lesser General Public License", "3")),
+            ("MPL-2.0", "Licensed under the Mozilla Public License, version 2.0")]
+    df = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string")
+    got = {r["doc_id"]: r["license"] for r in licenses.scan_licenses(df).collect()}
+    assert [got.get(i) for i in range(len(rows))] == [x for x, _ in rows]

@@ -26,16 +26,38 @@ MAX_REPEAT_PERCENT = 20
 #: Characters (code points) of lines that may be removed before the document goes.
 MAX_LOST_PERCENT = 50
 SYMBOLS = r"[#*$%&|<>]"
-#: A line needs a sentence end, closing quotes and brackets allowed after it.
-SENTENCE_END = r"[.!?:;,\x{2026}][\"')\]\x{00BB}\x{201D}\x{2019}]*$"
-#: Menus: cells divided by bars, arrows or bullets.
-NAVIGATION = r"(^|[^|])\|[^|]+\||\x{00BB}.*\x{00BB}|>.*>|\x{2022}.*\x{2022}"
+#: A line needs a sentence end (of any script), closing quotes and brackets allowed after it.
+SENTENCE_END = (
+    r"[.!?:;,\x{2026}\x{203D}\x{0589}\x{061B}\x{061F}\x{06D4}\x{0964}\x{0965}\x{0F0D}\x{104A}\x{104B}\x{1362}-\x{1368}"
+    r"\x{17D4}\x{17D5}\x{3001}\x{3002}\x{FF01}\x{FF0C}\x{FF0E}\x{FF1A}\x{FF1B}\x{FF1F}\x{FF61}]"
+    r"[\"')\]\x{00AB}\x{00BB}\x{2018}\x{2019}\x{201C}\x{201D}\x{2039}\x{203A}\x{3009}\x{300B}\x{300D}\x{300F}\x{3011}\x{FF02}\x{FF09}]*$"
+)
+#: Characters of a menu's cell.
+CELL = 40
+
+
+def _menu(separator: str, partner: str = "") -> str:
+    """Lines that start with two short cells and end with one, neither with the separator's partner in it."""
+    other = f"[^{separator}{partner}]"
+    return f"^{other}{{0,{CELL}}}{separator}{other}{{1,{CELL}}}{separator}([^\\n]*{separator})?{other}{{0,{CELL}}}$"
+
+
+#: Menus: short cells divided by bars, arrows or bullets. Quotes and tags pair » with « and > with <.
+NAVIGATION = "|".join([_menu(r"\|"), _menu(r"\x{00BB}", r"\x{00AB}"), _menu(">", "<"), _menu(r"\x{2022}")])
 #: Phrases of site furniture, lower case.
-BOILERPLATE = (
-    "cookie", "privacy policy", "terms of use", "terms of service", "all rights reserved", "javascript",
-    "click here", "read more", "sign in", "sign up", "log in", "subscribe", "newsletter", "lorem ipsum",
+PHRASES = (
+    "cookies?", "privacy policy", "terms of use", "terms of service", "all rights reserved", "javascript",
+    "click here", "read more", "sign in", "sign up", "log in", "subscribe", "newsletters?", "lorem ipsum",
     "skip to content", "share this",
 )
+#: Words on either side of a phrase that leave the line short.
+SHORT = 12
+#: Whole phrases in short lines. Loops over words are bounded, as Java's recurse.
+BOILERPLATE = (
+    r"^([^\x20\x09-\x0D]+[\x20\x09-\x0D]+){0," + str(SHORT) + r"}([^\x20\x09-\x0D]*[^\p{L}\p{N}\x20\x09-\x0D])?("
+    + "|".join(PHRASES)
+    + r")([^\p{L}\p{N}\x20\x09-\x0D][^\x20\x09-\x0D]*)?([\x20\x09-\x0D]+[^\x20\x09-\x0D]+){0," + str(SHORT) + "}$",
+)
 MAX_SYMBOL_PERCENT = 10
 
 

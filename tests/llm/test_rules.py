@@ -82,3 +82,15 @@ def test_variants_of_licenses_are_named(spark):
     df = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string")
     got = {r["doc_id"]: r["license"] for r in licenses.scan_licenses(df).collect()}
     assert [got.get(i) for i in range(len(rows))] == [x for x, _ in rows]
+
+
+def test_prose_is_no_site_furniture(spark):
+    long = "and then the story goes on for many more words " * 4
+    good = ["Il dit « oui », puis « non ».", "»Ja«, sagte er, »nein«, sagte sie.", "Er sagte: »Nein.«", "The values a > b and then, in the other case which is long, c > d.",
+            "Use <b>bold</b> only for the few words that really matter to the reader.", "The design industry grew.", "An analog input, or a blog in French.", f"{long}cookie and newsletter {long}end.",
+            "这是一个句子。", "यह एक वाक्य है।", "هل هذه جملة؟", "A > B > C is the order " + long + "to the end."]
+    bad = ["Home > News > Sport.", "» Home » News » Sport.", "• One • Two • Three.", "Home | News | Sport.", " | ".join(["cell"] * 5000) + ".",
+           "Please sign in.", "Read more...", "This site uses (cookies)."]
+    df = spark.createDataFrame(list(enumerate(good + bad)), "doc_id long, text string")
+    passed = {r["doc_id"] for r in quality.judge(df).collect() if r["cleaned_text"]}
+    assert passed == set(range(len(good))), [(good + bad)[i] for i in passed ^ set(range(len(good)))]

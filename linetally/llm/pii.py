@@ -181,7 +181,7 @@ def corpus_counts(docs: DataFrame, text: str = "text") -> DataFrame:
             for t in batch.column(0):
                 body = t.as_py()
                 pairs[None, None] += 1
-                terms.update(set(_TERM.findall(body.lower())))
+                terms.update({m.group().lower() for m in _TERM.finditer(body)})  # named as in surroundings()
                 spans = base_spans(body)
                 if spans:
                     pairs.update({(entity(k, body[a:b]), None) for k, a, b in spans})

@@ -121,3 +121,10 @@ def test_terms_of_entities_in_one_or_two_texts(spark):
     pairs = lambda d: {(r["e"], r["t"]): round(r["disclosure"], 9) for r in pii.disclosing_pairs(pii.corpus_counts(d)).collect()}
     copies = spark.createDataFrame([rows[400]] * 50, "doc_id long, text string")
     assert pairs(df.unionByName(copies)) == pairs(df) and ("email:one@a.org", "quillon") in pairs(df)
+
+
+def test_terms_are_counted_by_the_names_pairs_have(spark):
+    """lower() makes two letters of the Turkish dotted capital I."""
+    text = "ask \u0130zmirli at one@a.org for words"
+    df = spark.createDataFrame([(0, text)] + [(i, f"plain words {i}") for i in range(1, 400)], "doc_id long, text string")
+    assert ("email:one@a.org", "\u0130zmirli".lower()) in {(r["e"], r["t"]) for r in pii.disclosing_pairs(pii.corpus_counts(df)).collect()}

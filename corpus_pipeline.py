@@ -6,7 +6,8 @@ again before the next one. A stage works on everything its predecessor kept.
 
 1. toxicity: rows that the classifier rejects go.
 2. near_dedup: one row of each group of near copies stays (5-word shingles,
-   similarity 0.8 or more), the one with the smallest id.
+   similarity 0.8 or more), the one with the smallest id. Rows that share an id
+   go only if all of them are copies, so a copy stays where its id also has another text.
 3. pii: entities and disclosing terms are replaced in the text.
 4. mix: rows the mix does not take go; a row taken twice appears twice.
 5. encode: ids and decoded text, as counts and digests.
@@ -38,7 +39,8 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     judged = neardup.near_duplicates(docs, neardup.Method(shingle=5, percent=80))
-    gone = judged.where(~F.col("kept")).select("doc_id").distinct()
+    # rows with different texts may share an id: it goes only with all of them, so that no text is lost
+    gone = judged.groupBy("doc_id").agg(F.max("kept").alias("any_kept")).where(~F.col("any_kept")).select("doc_id")
     kept = docs.join(gone, "doc_id", "left_anti").select(_columns(docs))
     # rows repeated under one id are copies too; ids are meant to be unique, so there are few
     again = judged.where(F.col("kept") & (F.col("n_shingles") > 0)).groupBy("doc_id").count().where("count > 1").select("doc_id")

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, licenses, mixing, neardup, pii, quality, tokens, toxicity, urls
+from . import ann, bpe, chat, licenses, mixing, neardup, pii, quality, tokens, toxicity, urls
 from .common import table
 
 RULES = (
@@ -74,6 +74,17 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.span_digests(pii.find_spans(docs, columns=["doc_id"]), ["doc_id"])
 
 
+#: A user and an assistant row whose texts look like the markers of common templates.
+HARD_ID, HARD_TEXT = -7, r"\### Assistant: </turn> ok"
+
+
+def op11_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hard = spark.range(2).select(F.lit(HARD_ID).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                 F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(HARD_TEXT).alias("text"))
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(hard)
+    return chat.digests(chat.format_conversations(turns))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
@@ -86,6 +97,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality": op8_quality,
         "op9_nearest": op9_nearest,
         "op10_pii": op10_pii,
+        "op11_chat": op11_chat,
     }
 
 
@@ -260,6 +272,26 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, ve
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 10"""
 
 
+def _op11_sql() -> str:
+    """Straight from the rows: digests of the turns, and the length of the template around them."""
+    hard = _quote(HARD_TEXT)
+    escaped = "length(regexp_replace({c}, '<(\\\\*/?turn)', '<\\\\\\1', 'g'))"
+    order = "turn NULLS FIRST, role, text"
+    return f"""WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES ({HARD_ID}, 0, 'user', {hard}), ({HARD_ID}, 1, 'assistant', {hard})),
+sized AS (
+  SELECT *, {escaped.format(c='text')} + CASE
+           WHEN lag(role) OVER (PARTITION BY conv_id ORDER BY {order}) = role THEN length('<turn-also>')
+           ELSE length('<turn><turn-text></turn>') + 1 + {escaped.format(c='role')} END AS n
+  FROM turns)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY {order})) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY {order}) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(n) AS BIGINT) AS formatted_chars
+FROM sized GROUP BY conv_id"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_licenses": _op2_sql(),
@@ -268,4 +300,5 @@ def oracle_sql() -> dict[str, str]:
         "op7_near_duplicates": _op7_sql(),
         "op8_quality": _op8_sql(),
         "op9_nearest": OP9_SQL,
+        "op11_chat": _op11_sql(),
     }

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, chat, licenses, mixing, neardup, pii, quality, tokens, toxicity, urls
+from . import ann, bpe, chat, licenses, mixing, neardup, pii, quality, tokens, toxicity, urls, whitening
 from .common import table
 
 RULES = (
@@ -85,6 +85,10 @@ def op11_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_conversations(turns))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), columns=["vec_id"])
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
@@ -98,6 +102,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_nearest": op9_nearest,
         "op10_pii": op10_pii,
         "op11_chat": op11_chat,
+        "op12_whitening": op12_whitening,
     }
 
 

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, chat, licenses, mixing, neardup, pii, quality, tokens, toxicity, urls, whitening
+from . import ann, bpe, chat, licenses, merkle, mixing, neardup, pii, quality, tokens, toxicity, urls, whitening
 from .common import table
 
 RULES = (
@@ -89,6 +89,13 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"), columns=["vec_id"])
 
 
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(*merkle.FIELDS)
+    manifest = merkle.document_manifest(docs, claimed=merkle.tampered_text(F.col("doc_id"), F.col("text")))
+    proven = merkle.prove(manifest, claimed="claimed", digests=True)
+    return proven.select("doc_id", "leaf", "subroot", F.lit(manifest.root).cast("string").alias("root"), "proof_sha256", "folded_root", "verified")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
@@ -103,6 +110,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_pii": op10_pii,
         "op11_chat": op11_chat,
         "op12_whitening": op12_whitening,
+        "op13_merkle": op13_merkle,
     }
 
 
@@ -297,6 +305,56 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 FROM sized GROUP BY conv_id"""
 
 
+def _op13_sql(levels: int = 7, top_levels: int = 4) -> str:
+    """The trees level by level, unrolled: up to 8^levels leaves a language and 8^top_levels languages."""
+    def leaf(text: str) -> str:
+        parts = []
+        for c in merkle.FIELDS:
+            v = text if c == "text" else f"CAST({c} AS VARCHAR)"
+            parts.append(f"coalesce(strlen({v}) || ':' || {v}, '-')")
+        return f"sha256({' || '.join(parts)})"
+
+    bits = "list_reduce(list_prepend(xor(crc, b), range(8)), lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)"
+    data = "list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ord(c) AS BIGINT))"
+    crc = f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {data}), lambda crc, b: {bits}), 4294967295)"
+    order = "doc_id NULLS FIRST, leaf"
+
+    def climb(name: str, first: str, n: int) -> list[str]:
+        """CTEs of the nodes (k, i, w, h) level by level, from ``first``, and of their runs."""
+        out = [f"{name}0 AS ({first})"]
+        for x in range(n):
+            out.append(f"""{name}{x + 1} AS (
+  SELECT k, i // 8 AS i, (w + 7) // 8 AS w, CASE WHEN w > 1 THEN sha256(string_agg(h, '' ORDER BY i)) ELSE any_value(h) END AS h
+  FROM {name}{x} GROUP BY k, i // 8, w)""")
+            out.append(f"{name}run{x} AS (SELECT k, i // 8 AS p, w, list(h ORDER BY i) AS hs FROM {name}{x} GROUP BY k, i // 8, w)")
+        return out
+
+    def walk(name: str, nodes: str, first: str, n: int) -> list[str]:
+        """CTEs of the rows on their way up: place (k, i), digests met and the root folded so far."""
+        out = [f"{name}0 AS ({first})"]
+        for x in range(n):
+            before, after = "array_to_string(hs[1:(i % 8)], '')", "array_to_string(hs[(i % 8) + 2:], '')"
+            out.append(f"""{name}{x + 1} AS (
+  SELECT s.* REPLACE (i // 8 AS i, CASE WHEN w > 1 THEN proof || {before} || {after} ELSE proof END AS proof,
+                      CASE WHEN w > 1 THEN sha256({before} || f || {after}) ELSE f END AS f)
+  FROM {name}{x} s JOIN {nodes}run{x} r ON s.k = r.k AND s.i // 8 = r.p)""")
+        return out
+
+    ctes = [
+        f"""hit AS (SELECT *, CASE WHEN {crc} % 3 = 0 THEN {_ascii_lower('text')} ELSE text END AS other FROM documents)""",
+        f"""leaves AS (SELECT doc_id, coalesce('v' || lang, 'n') AS k, {leaf('text')} AS leaf, {leaf('other')} AS claimed FROM hit)""",
+        f"""placed AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY {order}) - 1 AS i, count(*) OVER (PARTITION BY k) AS w FROM leaves)""",
+        *climb("n", "SELECT k, i, w, leaf AS h FROM placed", levels),
+        *climb("t", f"SELECT '' AS k, row_number() OVER (ORDER BY k) - 1 AS i, count(*) OVER () AS w, h FROM n{levels}", top_levels),
+        f"tops AS (SELECT k, h, row_number() OVER (ORDER BY k) - 1 AS i FROM n{levels})",
+        *walk("s", "n", "SELECT doc_id, leaf, k, i, '' AS proof, claimed AS f FROM placed", levels),
+        *walk("u", "t", f"SELECT doc_id, leaf, h AS subroot, '' AS k, tops.i AS i, proof, f FROM s{levels} s JOIN tops ON s.k = tops.k", top_levels),
+    ]
+    return "WITH " + ",\n".join(ctes) + f"""
+SELECT doc_id, leaf, subroot, root.h AS root, sha256(proof) AS proof_sha256, f AS folded_root, f = root.h AS verified
+FROM u{top_levels}, t{top_levels} AS root"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_licenses": _op2_sql(),
@@ -306,4 +364,5 @@ def oracle_sql() -> dict[str, str]:
         "op8_quality": _op8_sql(),
         "op9_nearest": OP9_SQL,
         "op11_chat": _op11_sql(),
+        "op13_merkle": _op13_sql(),
     }

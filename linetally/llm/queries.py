@@ -28,7 +28,7 @@ def bpe_path() -> str:
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    scored = toxicity.score_texts(docs, toxicity.fit_on_labels(docs, table(spark, sf_dir, "labels")))
+    scored = toxicity.classify(docs, table(spark, sf_dir, "labels"), columns=["doc_id"])
     return scored.select(
         "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"), "threshold", "rejected")

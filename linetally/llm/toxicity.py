@@ -18,12 +18,15 @@ fifth would hold too few rows of a label, none is set aside, and each sampled ro
 counts with the score that a model fitted without it gives.
 
 A score is a function of the text alone; the language only picks the
-threshold of the verdict. Scoring maps the rows: no shuffle. As a filter is
+threshold of the verdict. One map over the rows writes each one's logit (:func:`classify`); what sets
+scale and thresholds is counted from that by joining ids, languages and logits with the labels, and
+the score is an expression of the logit. So no text is shuffled or read by the network twice. As a filter is
 linear in its words, each word's responses are computed once and looked up,
 in a table of bounded size, so a text costs a few additions per word.
 
 Results for odd input: null and empty texts have the score of a text whose words are
-all unknown; texts of any length are read whole; a null language, or one without
+all unknown; texts of any length are read whole; a language is its code's first part (``en`` of ``en-GB``), two or
+three letters, which bounds their number; what has no such form, a null language, or one without
 labelled rows, has the threshold 0.7; labels that are null, or whose row has no document, are not
 used; without toxic or without clean labels every score is 0; repeated rows
 score alike; an empty table gives an empty result.
@@ -42,6 +45,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .common import carried
 
 BUCKETS = 1 << 15
@@ -286,12 +290,32 @@ def held_out(doc_id: Column) -> Column:
     return crc % 3 == 1
 
 
-def fit_on_labels(docs: DataFrame, labels: DataFrame) -> Model | None:
-    """A model from the labelled rows that are not held out. The driver gets at
-    most SAMPLE_TOXIC + SAMPLE_CLEAN texts of at most SAMPLE_BYTES bytes, and the
-    counts of the others by language, label, whether longer, and cell of the grid."""
+def language(lang: Column) -> Column:
+    """The language's code (two or three letters, lower-case), null if it has none."""
+    code = F.regexp_extract(lang.cast("string"), "^([A-Za-z]{2,3})(?:[-_].*)?$", 1)
+    return F.when(code != "", F.lower(code))
+
+
+def usable_labels(labels: DataFrame) -> DataFrame:
+    """``doc_id`` and ``toxic`` of the labels that may be learned from, one an id."""
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id")))
-    known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    return known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+
+
+@dataclass
+class Trained:
+    """A model without scale, and what it was trained on: ids, languages, texts and labels of the sample."""
+
+    model: Model
+    ids: list
+    langs: list[str | None]
+    texts: list[bytes]
+    labels: np.ndarray
+    few: bool
+
+
+def train_on_sample(docs: DataFrame, known: DataFrame, text: str = "text", lang: str = "lang") -> Trained | None:
+    """The driver gets at most SAMPLE_TOXIC + SAMPLE_CLEAN texts of at most SAMPLE_BYTES bytes."""
     counts = dict(known.groupBy("toxic").count().collect())
     if not counts.get(0) or not counts.get(1):
         return None
@@ -300,74 +324,109 @@ def fit_on_labels(docs: DataFrame, labels: DataFrame) -> Model | None:
     lowest = lambda y, n: learned.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
     wanted = lowest(1, SAMPLE_TOXIC).unionByName(lowest(0, SAMPLE_CLEAN))
     # at most SAMPLE_TOXIC + SAMPLE_CLEAN rows: a proven size bound
-    body = F.col("text").cast("string").cast("binary")
-    sample = docs.where(F.coalesce(F.octet_length("text"), F.lit(0)) <= SAMPLE_BYTES).select("doc_id", "lang", body.alias("t"))
+    body = F.col(f"`{text}`").cast("string").cast("binary")
+    sample = docs.select("doc_id", language(F.col(f"`{lang}`")).alias("lang"), body.alias("t"))
+    sample = sample.where(F.coalesce(F.octet_length("t"), F.lit(0)) <= SAMPLE_BYTES)
     rows = sample.join(F.broadcast(wanted), "doc_id").dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id").collect()
     y = np.array([r["toxic"] for r in rows], np.int64)
     if not len(y) or y.min() == y.max():
         return None
     texts = [bytes(r["t"] or b"") for r in rows]
-    model = train(texts, y)
-    trained = docs.sparkSession.createDataFrame([(r["doc_id"],) for r in rows], docs.select("doc_id").schema)
-    other = known.join(F.broadcast(trained), "doc_id", "left_anti")
-    counted = label_counts(docs, other, model).collect()
+    return Trained(train(texts, y), [r["doc_id"] for r in rows], [r["lang"] for r in rows], texts, y, few)
+
+
+def logits(docs: DataFrame, model: Model, text: str = "text", lang: str = "lang", columns: list[str] | None = None) -> DataFrame:
+    """``columns`` of ``docs`` (default all) with ``_id``, ``_lang``, ``_longer`` (than SAMPLE_BYTES) and ``_logit``."""
+    keep = carried(docs, MADE, columns)
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # a fixed number of parameters
+    body = F.col(f"`{text}`").cast("string").cast("binary")
+    source = docs.select(
+        *[F.col(f"`{c}`") for c in keep], (F.col("doc_id") if "doc_id" in docs.columns else F.lit(None).cast("long")).alias("_id"),
+        language(F.col(f"`{lang}`")).alias("_lang"), (F.coalesce(F.octet_length(body), F.lit(0)) > SAMPLE_BYTES).alias("_longer"), body.alias("_text"))
+    fields = source.schema.fields[:-1]
+    schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in fields], "_logit double"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(shared.value)
+        for batch in batches:
+            texts = batch.column(batch.num_columns - 1)
+            z = [scorer.logits(texts[at: at + STEP].to_pylist()) for at in range(0, batch.num_rows, STEP)]
+            found = pa.array(np.concatenate([np.zeros(0), *z]), pa.float64())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], found], names=[*[f.name for f in fields], "_logit"])
+
+    return source.mapInArrow(run, schema)
+
+
+def label_counts(scored: DataFrame, known: DataFrame) -> DataFrame:
+    """Rows ``n`` of ``scored`` (of :func:`logits`) with a label in ``known`` by ``lang``, ``toxic``, whether
+    ``longer`` than SAMPLE_BYTES, and ``cell`` of their logit. Ids and numbers are shuffled, no texts."""
+    at = F.rint(F.least(F.greatest("_logit", F.lit(-float(GRID_END))), F.lit(float(GRID_END))) * GRID).cast("int")
+    rows = scored.select(F.col("_id").alias("doc_id"), F.col("_lang").alias("lang"), F.col("_longer").alias("longer"), at.alias("cell"))
+    labelled = rows.join(known, "doc_id").select("lang", F.col("toxic").cast("int").alias("toxic"), "longer", "cell")
+    return labelled.groupBy("lang", "toxic", "longer", "cell").agg(F.count(F.lit(1)).alias("n"))
+
+
+def calibrate_on(trained: Trained, scored: DataFrame, known: DataFrame) -> None:
+    """Sets scale and thresholds of the trained model. The driver gets counts by language code, label, whether longer, and cell of the grid."""
+    model, y = trained.model, trained.labels
+    spark = scored.sparkSession
+    ids = spark.createDataFrame([(i,) for i in trained.ids], known.select("doc_id").schema)
+    counted = label_counts(scored, known.join(F.broadcast(ids), "doc_id", "left_anti")).collect()
     rest = {}  # by label, rows not trained on that are not longer than the sample's
     for r in counted:
         if not r["longer"]:
             rest[r["toxic"]] = rest.get(r["toxic"], 0) + r["n"]
     cells = [(r["lang"], r["toxic"], r["cell"], r["n"], r["longer"]) for r in counted]
-    if few or {c[1] for c in cells} != {0, 1}:
-        z = cell(out_of_fold(texts, y))
-        cells += [(r["lang"], int(k), int(c), 1, False) for r, k, c in zip(rows, y, z)]
+    if trained.few or {c[1] for c in cells} != {0, 1}:
+        z = cell(out_of_fold(trained.texts, y))
+        cells += [(lang, int(k), int(c), 1, False) for lang, k, c in zip(trained.langs, y, z)]
         weight = {0: 1.0, 1: 1.0}
     else:  # rows set aside or beyond the sample stand for those trained on, too
         weight = {k: 1 + float((y == k).sum()) / n for k, n in rest.items()}
-    calibrate(model, [(a, k, c, n if longer else n * weight[k]) for a, k, c, n, longer in cells],
-              sum(c[3] for c in cells if c[1] == 1))
-    return model
+    calibrate(model, [(a, k, c, n if longer else n * weight[k]) for a, k, c, n, longer in cells], sum(c[3] for c in cells if c[1] == 1))
 
 
-def label_counts(docs: DataFrame, known: DataFrame, model: Model) -> DataFrame:
-    """Rows ``n`` of ``docs`` with a label in ``known`` by ``lang``, ``toxic``, whether
-    ``longer`` than SAMPLE_BYTES, and ``cell`` of their logit."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # a fixed number of parameters
-    source = docs.select("doc_id", F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").cast("binary").alias("t"))
-    source = source.join(known, "doc_id").select(
-        "lang", F.col("toxic").cast("int").alias("toxic"), (F.coalesce(F.octet_length("t"), F.lit(0)) > SAMPLE_BYTES).alias("longer"), "t")
+def verdicts(scored: DataFrame, model: Model | None) -> DataFrame:
+    """From the result of :func:`logits`: its columns with ``score``, ``threshold`` and ``rejected``."""
+    kept = [F.col(f"`{c}`") for c in carried(scored, MADE)]
+    if model is None:
+        return scored.select(*kept, F.lit(0.0).alias("score"), F.lit(THRESHOLD).alias("threshold"), F.lit(False).alias("rejected"))
+    z = F.least(F.greatest(F.lit(model.scale) * F.col("_logit") + F.lit(model.shift), F.lit(-30.0)), F.lit(30.0))
+    threshold = F.lit(THRESHOLD)
+    if model.thresholds:  # one entry for each language code with labels
+        cuts = F.create_map(*[F.lit(x) for pair in model.thresholds.items() for x in pair])
+        threshold = F.coalesce(F.try_element_at(cuts, F.col("_lang")), threshold)
+    out = scored.withColumn("score", 1 / (1 + F.exp(-z))).withColumn("threshold", threshold)
+    return out.select(*kept, "score", "threshold", (F.col("score") >= F.col("threshold")).alias("rejected"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(shared.value)
-        for batch in batches:
-            z = [scorer.logits(batch.column(3)[at: at + STEP].to_pylist()) for at in range(0, batch.num_rows, STEP)]
-            cells = pa.array(cell(np.concatenate([np.zeros(0), *z])), pa.int32())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], cells], names=["lang", "toxic", "longer", "cell"])
 
-    found = source.mapInArrow(run, "lang string, toxic int, longer boolean, cell int")
-    return found.groupBy("lang", "toxic", "longer", "cell").agg(F.count(F.lit(1)).alias("n"))
+MADE = ("score", "threshold", "rejected")
 
 
-def score_texts(docs: DataFrame, model: Model | None, text: str = "text", lang: str = "lang") -> DataFrame:
-    """``docs`` with ``score``, ``threshold`` (of the row's language) and
-    ``rejected`` (the score reaches it); input columns of these names are replaced."""
-    keep = carried(docs, ("score", "threshold", "rejected"))
-    kept = [F.col(f"`{c}`") for c in keep]
-    if model is None:
-        return docs.select(*kept, F.lit(0.0).alias("score"), F.lit(THRESHOLD).alias("threshold"), F.lit(False).alias("rejected"))
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # a fixed number of parameters
-    source = docs.select(*kept, F.col(f"`{text}`").cast("string").cast("binary").alias("_text"))
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1]] + ["score double"])
+def classify(docs: DataFrame, labels: DataFrame, text: str = "text", lang: str = "lang", columns: list[str] | None = None) -> DataFrame:
+    """``columns`` of ``docs`` (default all; it needs ``doc_id``) with ``score``, ``threshold`` (of the row's language) and ``rejected``,
+    by a model of the labelled rows that are not held out. Input columns of these names are replaced.
+    Actions: takes the sample, writes the rows with their logits, counts the labelled ones."""
+    known = usable_labels(labels)
+    trained = train_on_sample(docs, known, text, lang)
+    if trained is None:
+        return verdicts(docs.select(*[F.col(f"`{c}`") for c in carried(docs, MADE, columns)]), None)
+    scored = materialize(logits(docs, trained.model, text, lang, columns), "toxicity-logits")
+    calibrate_on(trained, scored, known)
+    return verdicts(scored, trained.model)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(shared.value)
-        for batch in batches:
-            texts = batch.column(batch.num_columns - 1)
-            z = [scorer.logits(texts[at: at + STEP].to_pylist()) for at in range(0, batch.num_rows, STEP)]
-            scores = pa.array(scorer.model.score(np.concatenate([np.zeros(0), *z])), pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], scores], names=[*keep, "score"])
 
-    threshold = F.lit(THRESHOLD)
-    if model.thresholds:
-        cuts = F.create_map(*[F.lit(x) for pair in model.thresholds.items() for x in pair])
-        threshold = F.coalesce(F.try_element_at(cuts, F.col(f"`{lang}`").cast("string")), threshold)
-    out = source.mapInArrow(run, schema).withColumn("threshold", threshold)
-    return out.withColumn("rejected", F.col("score") >= F.col("threshold"))
+def fit_on_labels(docs: DataFrame, labels: DataFrame) -> Model | None:
+    """The model alone, to score other rows with; the actions are those of :func:`classify`, and no text is written."""
+    known = usable_labels(labels)
+    trained = train_on_sample(docs, known)
+    if trained is None:
+        return None
+    calibrate_on(trained, materialize(logits(docs, trained.model, columns=[]), "toxicity-logits"), known)
+    return trained.model
+
+
+def score_texts(docs: DataFrame, model: Model | None, text: str = "text", lang: str = "lang") -> DataFrame:
+    """``docs`` with ``score``, ``threshold`` (of the row's language) and
+    ``rejected`` (the score reaches it) by a fitted model; input columns of these names are replaced."""
+    return verdicts(docs if model is None else logits(docs, model, text, lang), model)

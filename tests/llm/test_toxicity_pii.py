@@ -52,10 +52,35 @@ def test_thresholds_come_from_all_rows_not_trained_on(spark, monkeypatch):
     assert abs(sum(c[3] for c in cells) - len(usable)) < 1e-6
     assert sum(rows[i][3] for i in usable) - 60 <= toxic < sum(rows[i][3] for i in usable)
     assert set(model.thresholds) == {"en", "de", "fr"} and all(0.3 <= t <= 0.95 for t in model.thresholds.values())
-    counts = toxicity.label_counts(docs, labels, model).groupBy("longer").sum("n").collect()
+    counts = toxicity.label_counts(toxicity.logits(docs, model), labels).groupBy("longer").sum("n").collect()
     assert dict(map(tuple, counts)) == {True: 30, False: 1470}
 
 
+def test_classify_gives_what_its_model_gives_with_clashing_columns_and_repeated_rows(spark):
+    rows = _docs(900, 6)
+    rows += [(i, t, "EN-gb" if i % 2 else "???", y) for i, t, _, y in rows[:40]]
+    docs = spark.createDataFrame([(*x[:3], 5.0, "t", 7) for x in rows], "doc_id long, text string, lang string, score double, threshold string, n int")
+    labels = spark.createDataFrame([(x[0], x[3]) for x in rows], "doc_id long, toxic int")
+    got = toxicity.classify(docs, labels)
+    assert got.columns == ["doc_id", "text", "lang", "n", "score", "threshold", "rejected"]
+    again = toxicity.score_texts(docs, toxicity.fit_on_labels(docs, labels))
+    assert sorted(map(str, got.collect())) == sorted(map(str, again.collect())) and got.count() == len(rows)
+    cuts = {r["lang"]: r["threshold"] for r in got.collect()}
+    assert cuts["EN-gb"] == cuts["en"] and cuts["???"] == toxicity.THRESHOLD
+    assert toxicity.classify(docs, labels.limit(0)).where("rejected").count() == 0
+    assert toxicity.classify(docs.limit(0), labels).count() == 0
+
+
+def test_no_text_is_shuffled_to_count_labels(spark):
+    rows = _docs(300, 8)
+    docs = spark.createDataFrame([x[:3] for x in rows], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(x[0], x[3]) for x in rows], "doc_id long, toxic int")
+    scored = toxicity.logits(docs, toxicity.train([b"a", b"b"], np.array([0, 1]), epochs=1), columns=[])
+    plan = toxicity.label_counts(scored, labels)._jdf.queryExecution().optimizedPlan().toString()
+    joined = next(x for x in plan.split("\n") if "Join" in x)
+    assert "text" not in joined and scored.columns == ["_id", "_lang", "_longer", "_logit"]
+
+
 def test_small_languages_are_drawn_to_the_common_threshold():
     def cut(n):
         model = toxicity.Model(None, [], None, None)

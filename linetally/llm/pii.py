@@ -3,23 +3,26 @@
 Patterns find e-mail addresses, IP addresses, card and phone numbers; their
 values are the protected entities. A term near an entity can give it away even
 when the entity itself is removed, and how much it does follows from the corpus.
-With ``p(x)`` the share of different texts that hold x and ``p(e | t)`` that of
-those with the term that have it near the entity, the pointwise mutual
-information ``log(p(e | t) / p(e))`` is what the term tells about the entity,
-and ``-log p(e)`` is all there is to tell; their ratio is the term's disclosure.
-Terms that disclose at least ``REMOVE`` of an entity are removed from that
-entity's surroundings, those from ``GENERALISE`` on are generalised (to the
-kind of word they are). ``p(e | t)`` is smoothed, as most entities occur in one
-or two texts: it is taken as if the term had been met in :data:`SUPPORT` more
-texts, which hold the entity as often as any. So a few encounters count, the
-less the commoner the term, and copies of one text are one encounter.
-
-How it runs. Texts are shuffled once, to leave one of each. A pass over these
-counts them by term, by entity and by pair (entity, term within :data:`REACH`
-words), summed in the executors before the shuffle; pairs are bounded by the
-entities' occurrences. A second pass over all rows finds the spans; only
-documents with entities join their few pairs with the disclosing ones, by pair,
-and no list of terms is broadcast.
+With ``p(x)`` the share of different texts that hold x, and ``p(e | t)`` that of
+those with the term that have it near the entity, somebody who sees the term
+has ``-log2 p(e | t)`` bits left to learn about the entity, of ``-log2 p(e)`` before; the difference
+is what the term told. It discloses the entity if at most :data:`LEFT_GENERALISE` bits are left and
+it told more than it left, :data:`TIMES` that and :data:`LEARNED` bits; it is generalised then (to the kind of word it is), and
+removed if at most :data:`LEFT_REMOVE` bits are left, in that entity's surroundings. ``p(e | t)`` is the
+lower confidence bound (Wilson's, :data:`Z`) of the share met, so that one encounter counts
+less than ten. It depends on the numbers of texts with term and entity alone, not
+on the size of the corpus: that only enters as p(e), so an entity that many of few texts hold needs more evidence.
+Copies of one text are one encounter.
+
+How it runs. A first pass finds the entities and the terms near them, and writes both with a 128-bit
+digest of the text, by which copies are known; no text is shuffled. The encounters, bounded by
+the entities' occurrences, are counted by pair. As ``p(e | t)`` is below ``n / n_t``, a term met in n texts
+near an entity matters only if it is in at most ``4 n`` texts. So a second pass
+gathers, for such terms only, the digests of up to that many texts in each task, else the one fact that
+there are more, and n_t is the number of different digests. Which terms, and how many texts, is told by a table of
+:data:`SLOTS` bytes, whatever their number: terms that share a slot share the greater
+number, which costs rows but changes no count. Then only documents with entities meet the disclosing pairs; joins are
+salted, so that an entity or a text that a third of all rows hold is spread over tasks.
 
 Results for odd input: null and empty texts have no spans; texts of any length are
 read whole; identical rows get identical spans; a row without id is treated
@@ -29,30 +32,41 @@ first; an empty table gives an empty result.
 
 from __future__ import annotations
 
-import math
 import re
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from zlib import crc32
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
 from .common import carried, whole_text
 
 KINDS = ("email", "ip", "card", "phone", "term")
+COUNTS = ("n_email", "n_ip", "n_card", "n_phone")
+_SPAN = "array<struct<kind:string,start:int,end:int>>"
+_NEAR = "array<struct<e:string,t:string,start:int,end:int>>"
 #: Words, and at most characters, on either side of an entity that are near it.
 REACH = 8
 REACH_CHARS = 200
-#: Texts that smoothing adds to those with the term.
-SUPPORT = 3
-GENERALISE = 0.7
-REMOVE = 0.85
-#: Terms whose counts a worker gathers before it passes them on.
+#: Bits left to learn about an entity at which a term is generalised, or removed.
+LEFT_GENERALISE = 2.0
+LEFT_REMOVE = 1.0
+#: A term must have told TIMES as many bits as it leaves, and LEARNED more.
+TIMES = 2.0
+LEARNED = 1.0
+#: Normal quantile of the confidence bound (one-sided, 95 %).
+Z = 1.645
+#: Slots of the table of terms to be counted (a byte each).
+SLOTS = 1 << 22
+#: Text digests a worker gathers before it passes them on, and words whose slots it keeps.
 FLUSH = 300_000
+#: Parts into which rows of one key are dealt in a join.
+SALTS = 16
 
 _LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -160,110 +174,163 @@ def _first_words(text: str, at: int) -> int:
 # ---------------------------------------------------------------------------
 
 
-def corpus_counts(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``e``, ``t``, ``n``: number of different texts with the entity (``t`` null), with the
-    term (``e`` null), with the term near the entity, and of all (both null)."""
+def lower_bound(n: Column, of: Column) -> Column:
+    """Wilson's lower confidence bound of a share of which ``n`` out of ``of`` were met."""
+    p, z = n / of, Z * Z / of
+    return (p + z / 2 - Z * F.sqrt(p * (1 - p) / of + z / (4 * of))) / (1 + z)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows(counts: Counter) -> pa.RecordBatch:
-            keys = list(counts)
-            return pa.RecordBatch.from_arrays(
-                [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()),
-                 pa.array(list(counts.values()), pa.int64())], names=["e", "t", "n"])
-
-        def term_rows(counts: Counter) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [pa.nulls(len(counts), pa.string()), pa.array(list(counts), pa.string()),
-                 pa.array(list(counts.values()), pa.int64())], names=["e", "t", "n"])
-
-        terms, pairs = Counter(), Counter()
-        for batch in batches:
-            for t in batch.column(0):
-                body = t.as_py()
-                pairs[None, None] += 1
-                terms.update({m.group().lower() for m in _TERM.finditer(body)})  # named as in surroundings()
-                spans = base_spans(body)
-                if spans:
-                    pairs.update({(entity(k, body[a:b]), None) for k, a, b in spans})
-                    pairs.update({(e, w) for e, w, _, _ in surroundings(body, spans)})
-            if len(terms) + len(pairs) > FLUSH:
-                yield term_rows(terms)
-                yield rows(pairs)
-                terms, pairs = Counter(), Counter()
-        yield term_rows(terms)
-        yield rows(pairs)
-
-    texts = docs.select(whole_text(F.col(f"`{text}`")).alias("t")).distinct()
-    counted = texts.mapInArrow(run, "e string, t string, n long")
-    return counted.groupBy("e", "t").agg(F.sum("n").alias("n"))
-
-
-def disclosing_pairs(counts: DataFrame) -> DataFrame:
-    """``e``, ``t``, ``disclosure`` of the pairs that reach GENERALISE."""
-    total = counts.where(F.col("e").isNull() & F.col("t").isNull()).select(F.col("n").alias("total"))
-    of_e = counts.where(F.col("e").isNotNull() & F.col("t").isNull()).select("e", F.col("n").alias("n_e"))
-    of_t = counts.where(F.col("e").isNull() & F.col("t").isNotNull()).select("t", F.col("n").alias("n_t"))
-    pairs = counts.where(F.col("e").isNotNull() & F.col("t").isNotNull())
-    whole = total.first()
-    n = math.log(whole[0]) if whole and whole[0] else 0.0
-    joined = pairs.join(of_e, "e").join(of_t, "t")
-    information = F.lit(n) - F.log("n_e")
-    given = F.col("n") + SUPPORT * F.col("n_e") * math.exp(-n)
-    mutual = F.log(given) - F.log(F.col("n_t") + SUPPORT) + information
-    joined = joined.withColumn("disclosure", F.when(information > 0, mutual / information))
-    return joined.where(F.col("disclosure") >= GENERALISE).select("e", "t", "disclosure")
-
-
-# ---------------------------------------------------------------------------
-# Spans and texts
-# ---------------------------------------------------------------------------
 
-_SPAN = "array<struct<kind:string,start:int,end:int>>"
-_NEAR = "array<struct<e:string,t:string,start:int,end:int>>"
+def _digest(body: str) -> bytes:
+    return xxhash.xxh128_digest(body.encode())
 
 
-def find_spans(docs: DataFrame, text: str = "text", columns: list[str] | None = None) -> DataFrame:
-    """``columns`` of ``docs`` (default all) with ``n_email``, ``n_ip``,
-    ``n_card``, ``n_phone``, ``base`` (pattern spans) and ``terms`` (spans of
-    disclosing terms with ``disclosure``, null where there are none). Input columns of these names
-    are replaced. Actions: writes the corpus counts, the disclosing pairs and the
-    rows with their pattern spans."""
-    made = ("n_email", "n_ip", "n_card", "n_phone", "base", "terms", "_key", "_near")
-    keep = carried(docs, made, columns)
-    risky = materialize(disclosing_pairs(materialize(corpus_counts(docs, text), "pii-counts")), "pii-pairs")
+def scan(docs: DataFrame, text: str = "text", columns: list[str] | None = None) -> DataFrame:
+    """``columns`` of ``docs`` with the pattern spans, counted by kind and in ``base``, the entities ``_names``, ``_near`` (entity, term
+    and place of the terms near them) and the text's digest ``_key``. A map; no shuffle."""
+    keep = carried(docs, COUNTS + ("base", "terms"), columns)
     source = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").cast("string").alias("_text"))
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1]]
-                       + [f"{m} long" for m in made[:4]] + [f"base {_SPAN}", f"_near {_NEAR}", "_key string"])
+                       + [f"{m} long" for m in COUNTS] + [f"base {_SPAN}", "_names array<string>", f"_near {_NEAR}", "_key binary"])
     span_type = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
     near_type = pa.list_(pa.struct([("e", pa.string()), ("t", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts, base, near, key = [[] for _ in range(4)], [], [], []
+            counts, base, names, near, key = [[] for _ in COUNTS], [], [], [], []
             for t in batch.column(batch.num_columns - 1):
                 body = t.as_py() or ""
                 spans = base_spans(body)
                 kinds = Counter(s[0] for s in spans)
-                for k in range(4):
-                    counts[k].append(kinds[KINDS[k]])
+                for k, c in enumerate(counts):
+                    c.append(kinds[KINDS[k]])
                 base.append([{"kind": k, "start": a, "end": b} for k, a, b in spans])
+                names.append(list({entity(k, body[a:b]) for k, a, b in spans}))
                 near.append([{"e": e, "t": w, "start": a, "end": b} for e, w, a, b in surroundings(body, spans)])
-                key.append(xxhash.xxh128_hexdigest(body.encode()) if spans else None)
+                key.append(_digest(body))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], *[pa.array(c, pa.int64()) for c in counts], pa.array(base, span_type),
-                 pa.array(near, near_type), pa.array(key, pa.string())],
-                names=[*keep, *made[:4], "base", "_near", "_key"])
+                 pa.array(names, pa.list_(pa.string())), pa.array(near, near_type), pa.array(key, pa.binary())],
+                names=[*keep, *COUNTS, "base", "_names", "_near", "_key"])
+
+    return source.mapInArrow(run, schema)
+
+
+def encounters(found: DataFrame) -> DataFrame:
+    """Each term near an entity once for each different text: ``_key``, ``e``, ``t``, ``start``, ``end``."""
+    return found.where(F.size("_near") > 0).select("_key", F.inline("_near")).distinct()
+
 
-    found = materialize(source.mapInArrow(run, schema), "pii-found")
-    # by text, as copies share their spans: one row for each different text with entities
-    near = found.where(F.size("_near") > 0).select("_key", "_near").dropDuplicates(["_key"])
-    near = near.select("_key", F.inline("_near")).join(risky, ["e", "t"]).groupBy("_key", "start", "end").agg(
-        F.max("disclosure").alias("disclosure"))
-    terms = near.groupBy("_key").agg(F.array_sort(F.collect_list(F.struct("start", "end", "disclosure"))).alias("terms"))
-    kept = [F.col(f"`{c}`") for c in keep]
-    plain = found.where(F.col("_key").isNull()).select(*kept, *made[:4], "base", F.lit(None).cast(terms.schema["terms"].dataType).alias("terms"))
-    with_entities = found.where(F.col("_key").isNotNull()).join(terms, "_key", "left").select(*kept, *made[:4], "base", "terms")
-    return plain.unionByName(with_entities)
+def _slot_table(pairs: DataFrame) -> bytes:
+    """For each slot the power of two, plus one, of texts to gather for terms of that slot, 0 if it has none. The driver gets SLOTS bytes."""
+    size = 1 << 12
+
+    def pack(t: pa.Table) -> pa.Table:
+        out = bytearray(size)
+        for i, power in zip(t.column("slot").to_pylist(), t.column("power").to_pylist()):
+            out[i % size] = power + 1
+        return pa.table({"block": t.column("block")[:1], "bytes": pa.array([bytes(out)], pa.binary())})
+
+    slot = F.pmod(F.crc32(F.col("t").cast("binary")), F.lit(SLOTS)).cast("int")
+    # n / n_t, an upper bound of the share, allows for this many texts
+    power = F.least(F.ceil(F.log2(F.col("n") * float(2**LEFT_GENERALISE))), F.lit(60)).cast("int")
+    slots = pairs.select(slot.alias("slot"), power.alias("power")).groupBy("slot").agg(F.max("power").alias("power"))
+    packed = slots.withColumn("block", F.floor(F.col("slot") / size).cast("int")).groupBy("block").applyInArrow(pack, "block int, bytes binary")
+    table = bytearray(SLOTS)
+    for block, data in packed.collect():
+        table[block * size: (block + 1) * size] = data
+    return bytes(table)
+
+
+def term_texts(docs: DataFrame, slots: bytes, text: str = "text") -> DataFrame:
+    """``t`` and ``n_t``, the number of different texts with the term, of the terms that ``slots`` asks for and that are
+    in no more texts than it asks for (others may be missing). No text is shuffled."""
+    shared = docs.sparkSession.sparkContext.broadcast(slots)  # SLOTS bytes
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, room, met, held = shared.value, {}, {}, 0
+
+        def rows() -> pa.RecordBatch:
+            flat = [(t, k) for t, keys in met.items() for k in keys or (None,)]
+            return pa.RecordBatch.from_arrays([pa.array([t for t, _ in flat], pa.string()), pa.array([k for _, k in flat], pa.binary())], names=["t", "k"])
+
+        for batch in batches:
+            for t in batch.column(0):
+                body = t.as_py()
+                key = None
+                for w in set(_TERM.findall(body)):
+                    most = room.get(w)
+                    if most is None:
+                        if len(room) > FLUSH:
+                            room = {}
+                        power = table[crc32(w.lower().encode()) % SLOTS]
+                        most = room[w] = 1 << power - 1 if power else 0
+                    if not most:
+                        continue
+                    key = key or _digest(body)
+                    name = w.lower()
+                    keys = met.setdefault(name, set())
+                    if keys is None or key in keys:
+                        continue
+                    if len(keys) < most:
+                        keys.add(key)
+                        held += 1
+                    else:  # more texts than can matter: no matter which
+                        held -= len(keys) - 1
+                        met[name] = None
+            if held > FLUSH:
+                yield rows()
+                met, held = {}, 0
+        yield rows()
+
+    texts = docs.select(whole_text(F.col(f"`{text}`")).alias("t"))
+    each = texts.mapInArrow(run, "t string, k binary").distinct()
+    counted = each.groupBy("t").agg(F.count("k").alias("n_t"), F.count_if(F.col("k").isNull()).alias("more"))
+    return counted.where(F.col("more") == 0).select("t", "n_t")
+
+
+def _salted(left: DataFrame, right: DataFrame, keys: list[str], by: Column, how: str = "inner") -> DataFrame:
+    """Join on ``keys`` with the rows of ``left`` that share a key dealt to SALTS parts by ``by``; ``right`` (few rows a key) is copied to each."""
+    a = left.withColumn("_salt", F.pmod(F.xxhash64(by), F.lit(SALTS)).cast("int"))
+    b = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return a.join(b, [*keys, "_salt"], how).drop("_salt")
+
+
+def disclosing_pairs(docs: DataFrame, found: DataFrame, near: DataFrame, text: str = "text") -> DataFrame:
+    """``e``, ``t``, ``disclosure`` (the bound of ``p(e | t)``) of the pairs to be generalised or removed. ``found`` and ``near`` are written
+    tables of :func:`scan` and :func:`encounters`. Actions: writes the pairs, reads SLOTS bytes and the number of texts."""
+    pairs = materialize(near.select("_key", "e", "t").distinct().groupBy("e", "t").agg(F.count(F.lit(1)).alias("n")), "pii-pairs")
+    texts = max(1, found.select("_key").distinct().count())
+    of_t = materialize(term_texts(docs, _slot_table(pairs), text), "pii-terms")
+    # a common term is near many entities, an entity near many terms: both joins are dealt by the other
+    close = _salted(pairs, of_t, ["t"], F.col("e")).withColumn("disclosure", lower_bound(F.col("n"), F.col("n_t")))
+    close = close.where(F.col("disclosure") >= 2.0**-LEFT_GENERALISE)
+    of_e = found.where(F.size("_names") > 0).select("_key", F.explode("_names").alias("e")).distinct().groupBy("e").agg(F.count(F.lit(1)).alias("n_e"))
+    told = _salted(close, of_e, ["e"], F.col("t"))
+    left = -F.log2("disclosure")
+    learned = -F.log2(F.col("n_e") / texts) - left
+    return told.where(learned >= TIMES * left + LEARNED).select("e", "t", "disclosure")
+
+
+# ---------------------------------------------------------------------------
+# Spans and texts
+# ---------------------------------------------------------------------------
+
+
+def find_spans(docs: DataFrame, text: str = "text", columns: list[str] | None = None) -> DataFrame:
+    """``columns`` of ``docs`` (default all) with ``n_email``, ``n_ip``,
+    ``n_card``, ``n_phone``, ``base`` (pattern spans) and ``terms`` (spans of
+    disclosing terms with ``disclosure``, null where there are none). Input columns of these names
+    are replaced. Actions: writes the rows with their pattern spans, the encounters, the disclosing pairs, and counts."""
+    found = materialize(scan(docs, text, columns), "pii-found")
+    near = materialize(encounters(found), "pii-near")
+    risky = materialize(disclosing_pairs(docs, found, near, text), "pii-disclosing")
+    kept = [F.col(f"`{c}`") for c in [*carried(docs, COUNTS + ("base", "terms"), columns), *COUNTS, "base"]]
+    # by text, as copies share their spans
+    spans = _salted(near, risky, ["e", "t"], F.col("_key")).groupBy("_key", "start", "end").agg(F.max("disclosure").alias("disclosure"))
+    terms = spans.groupBy("_key").agg(F.array_sort(F.collect_list(F.struct("start", "end", "disclosure"))).alias("terms"))
+    plain = found.where(F.size("_near") == 0).select(*kept, F.lit(None).cast(terms.schema["terms"].dataType).alias("terms"))
+    rows = found.where(F.size("_near") > 0).withColumn("_row", F.monotonically_increasing_id())
+    return plain.unionByName(_salted(rows, terms, ["_key"], F.col("_row"), "left").select(*kept, "terms"))
 
 
 def _joined(base, terms=None):
@@ -295,7 +362,7 @@ def sanitise(text: str, base: list, terms: list | None) -> str:
     spans = [(s["start"], s["end"], f"[{s['kind'].upper()}]") for s in base]
     for s in terms or ():
         word = text[s["start"]: s["end"]]
-        spans.append((s["start"], s["end"], "[REMOVED]" if s["disclosure"] >= REMOVE else general(word)))
+        spans.append((s["start"], s["end"], "[REMOVED]" if s["disclosure"] >= 2.0**-LEFT_REMOVE else general(word)))
     out, at = [], 0
     for a, b, marker in sorted(spans):
         if a >= at:

@@ -1,9 +1,11 @@
 """The classifier on held-out rows, PII spans against the plain patterns."""
 
+import math
 import random
 import re
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from linetally.llm import pii, toxicity
@@ -143,13 +145,114 @@ def test_terms_of_entities_in_one_or_two_texts(spark):
     clean = {r["doc_id"]: r["text"] for r in pii.sanitise_texts(df).collect()}
     assert "quillon" not in clean[1000] and "vexford" not in clean[1001] and "vexford" not in clean[1002]
     assert common.split(" come")[0] in clean[1000] and clean[7] == dict(rows)[7]
-    pairs = lambda d: {(r["e"], r["t"]): round(r["disclosure"], 9) for r in pii.disclosing_pairs(pii.corpus_counts(d)).collect()}
     copies = spark.createDataFrame([rows[400]] * 50, "doc_id long, text string")
-    assert pairs(df.unionByName(copies)) == pairs(df) and ("email:one@a.org", "quillon") in pairs(df)
+    assert _pairs(df.unionByName(copies)) == _pairs(df) and ("email:one@a.org", "quillon") in _pairs(df)
 
 
 def test_terms_are_counted_by_the_names_pairs_have(spark):
     """lower() makes two letters of the Turkish dotted capital I."""
     text = "ask \u0130zmirli at one@a.org for words"
     df = spark.createDataFrame([(0, text)] + [(i, f"plain words {i}") for i in range(1, 400)], "doc_id long, text string")
-    assert ("email:one@a.org", "\u0130zmirli".lower()) in {(r["e"], r["t"]) for r in pii.disclosing_pairs(pii.corpus_counts(df)).collect()}
+    assert ("email:one@a.org", "\u0130zmirli".lower()) in _pairs(df)
+
+
+def _pairs(docs):
+    found = pii.scan(docs)
+    got = pii.disclosing_pairs(docs, found, pii.encounters(found)).collect()
+    return {(r["e"], r["t"]): round(r["disclosure"], 9) for r in got}
+
+
+def _wilson(n, of):
+    p, z = n / of, 1.645**2 / of
+    return (p + z / 2 - 1.645 * math.sqrt(p * (1 - p) / of + z / (4 * of))) / (1 + z)
+
+
+def _brute(rows):
+    """Spans by document and the disclosing pairs, for texts whose entities are words of their own."""
+    def kind(w):
+        return ("email" if "@" in w else "ip" if w.count(".") == 3 else "card" if len(w) == 16 and w.isdigit() else
+                "phone" if w[0] == "+" else None)
+
+    def places(text):
+        at = 0
+        for w in text.split(" "):
+            yield w, at
+            at += len(w) + 1
+
+    met, of_t, of_e, near = {}, {}, {}, {}
+    texts = {t or "" for _, t in rows}
+    for text in texts:
+        words = list(places(text)) if text else []
+        for w in {w for w, _ in words if len(w) > 2 and w.isalpha()}:
+            of_t[w] = of_t.get(w, 0) + 1
+        for e in {(kind(w), w) for w, _ in words if kind(w)}:
+            of_e[e] = of_e.get(e, 0) + 1
+        for i, (e, _) in enumerate(words):
+            if kind(e):
+                for w, at in words[max(0, i - 8):i] + words[i + 1:i + 9]:
+                    if len(w) > 2 and w.isalpha():
+                        near.setdefault(text, set()).add(((kind(e), e), w, at))
+        for pair in {x[:2] for x in near.get(text, ())}:
+            met[pair] = met.get(pair, 0) + 1
+    told = {(e, w): _wilson(n, of_t[w]) for (e, w), n in met.items()}
+    told = {(e, w): d for (e, w), d in told.items() if d >= 0.25 and d**3 >= 2 * of_e[e] / len(texts)}
+    spans = {}
+    for i, text in rows:
+        words = list(places(text)) if text else []
+        base = sorted((["email", "ip", "card", "phone"].index(kind(w)), kind(w), at, at + len(w)) for w, at in words if kind(w))
+        terms = sorted({(at, at + len(w)) for e, w, at in near.get(text or "", ()) if (e, w) in told})
+        spans[i] = ",".join([f"{k}:{a}:{b}" for _, k, a, b in base] + [f"term:{a}:{b}" for a, b in terms])
+    return spans, {(f"{k}:{e.lower().lstrip('+')}", w): round(d, 9) for ((k, e), w), d in told.items()}
+
+
+def _corpus(n, seed):
+    r = random.Random(seed)
+    entities = ["ann@x.org", "bob@y.net", "10.1.2.3", "4111111111111111", "+15550109999", "zoe@z.de"]
+    names = [f"name{c}" for c in "abcdefghij"]
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    plain = ["".join(r.choice(letters) for _ in range(r.randrange(2, 8))) for _ in range(400)]
+    rows = []
+    for i in range(n):
+        w = [r.choice(plain) for _ in range(r.randrange(1, 40))]
+        if i % 5 == 0:
+            k = r.randrange(len(entities))
+            w.insert(r.randrange(len(w) + 1), entities[k])
+            w.insert(r.randrange(len(w) + 1), names[k])
+            if r.random() < 0.3:
+                w.insert(r.randrange(len(w) + 1), r.choice(entities))
+            if r.random() < 0.4:
+                w.insert(r.randrange(len(w) + 1), f"only{''.join(r.choice(letters) for _ in range(6))}")
+        if r.random() < 0.1:
+            w.append(r.choice(names))
+        # numbers side by side would read as one
+        apart = [x for i, v in enumerate(w) for x in ((["of"] if i and v in entities and w[i - 1] in entities else []) + [v])]
+        rows.append((i, " ".join(apart)))
+    return rows + [(n, None), (n + 1, "")] + [(n + 2 + i, rows[0][1]) for i in range(n // 3)]
+
+
+@pytest.mark.parametrize("slots,flush", [(1 << 22, 300_000), (4096, 50)])
+def test_disclosure_and_spans_equal_brute_force(spark, monkeypatch, slots, flush):
+    """Also with slots shared by many terms, and digests passed on early."""
+    monkeypatch.setattr(pii, "SLOTS", slots)
+    monkeypatch.setattr(pii, "FLUSH", flush)
+    rows = _corpus(600, 3)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    spans, told = _brute(rows)
+    assert _pairs(df) == told and any(d >= 0.5 for d in told.values()) and any(d < 0.5 for d in told.values())
+    got = {r["doc_id"]: r for r in pii.span_digests(pii.find_spans(df, columns=["doc_id"]), ["doc_id"]).collect()}
+    assert {i: r["spans"] for i, r in got.items()} == spans
+    assert {k for s in spans.values() for k in re.findall("[a-z]+", s)} == {"email", "ip", "card", "phone", "term"}
+
+
+def test_equal_evidence_gives_equal_spans_at_every_size(spark):
+    """Terms met once, in all of their texts, and in some of them; among 200 and 20,000 texts."""
+    told = ["ask quillon at one@a.org today", "vexford holds two@a.org now", "vexford and two@a.org again", "brill of two@a.org", "brill elsewhere",
+            *[f"wrendel {i} has three@a.org" for i in range(6)]]
+    out = []
+    for n in (200, 20_000):
+        rows = [(i, f"some plain words of every day {i}") for i in range(n)] + [(n + i, t) for i, t in enumerate(told)]
+        clean = pii.sanitise_texts(spark.createDataFrame(rows, "doc_id long, text string"))
+        out.append({r["doc_id"] - n: r["text"] for r in clean.where(F.col("doc_id") >= n).collect()})
+    assert out[0] == out[1]
+    assert out[0][0] == "[WORD] [WORD] at [EMAIL] [WORD]" and out[0][1].startswith("[WORD] [WORD] [EMAIL]")
+    assert "brill" in out[0][3] and out[0][5] == "[REMOVED] 0 [REMOVED] [EMAIL]"

@@ -11,7 +11,8 @@ it told more than it left, :data:`TIMES` that and :data:`LEARNED` bits; it is ge
 removed if at most :data:`LEFT_REMOVE` bits are left, in that entity's surroundings. ``p(e | t)`` is the
 lower confidence bound (Wilson's, :data:`Z`) of the share met, so that one encounter counts
 less than ten. It depends on the numbers of texts with term and entity alone, not
-on the size of the corpus: that only enters as p(e), so an entity that many of few texts hold needs more evidence.
+on the size of the corpus: that only enters as p(e), so an entity that many of few texts hold needs more evidence
+(with these constants, one in more than 0.78 % of the texts).
 Copies of one text are one encounter.
 
 How it runs. A first pass finds the entities and the terms near them, and writes both with a 128-bit

@@ -246,7 +246,7 @@ def test_disclosure_and_spans_equal_brute_force(spark, monkeypatch, slots, flush
 
 def test_equal_evidence_gives_equal_spans_at_every_size(spark):
     """Terms met once, in all of their texts, and in some of them; among 200 and 20,000 texts."""
-    told = ["ask quillon at one@a.org today", "vexford holds two@a.org now", "vexford and two@a.org again", "brill of two@a.org", "brill elsewhere",
+    told = ["ask quillon at one@a.org today", "vexford holds two@a.org now", "vexford and two@a.org again", "brill of four@a.org", "brill elsewhere",
             *[f"wrendel {i} has three@a.org" for i in range(6)]]
     out = []
     for n in (200, 20_000):

@@ -32,8 +32,7 @@ def _columns(docs: DataFrame) -> list[str]:
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    model = toxicity.fit_on_labels(docs, table(spark, sf_dir, "labels"))
-    scored = toxicity.score_texts(docs, model)
+    scored = toxicity.classify(docs, table(spark, sf_dir, "labels"))
     return scored.where(~F.col("rejected")).select(_columns(docs))
 
 

@@ -18,7 +18,7 @@ Copies of one text are one encounter.
 How it runs. A first pass finds the entities and the terms near them, and writes both with a 128-bit
 digest of the text, by which copies are known; no text is shuffled. The encounters, bounded by
 the entities' occurrences, are counted by pair. As ``p(e | t)`` is below ``n / n_t``, a term met in n texts
-near an entity matters only if it is in at most ``4 n`` texts. So a second pass
+near an entity matters only if it is in at most about ``4 n`` texts (:func:`most_texts`). So a second pass
 gathers, for such terms only, the digests of up to that many texts in each task, else the one fact that
 there are more, and n_t is the number of different digests. Which terms, and how many texts, is told by a table of
 :data:`SLOTS` bytes, whatever their number: terms that share a slot share the greater
@@ -33,6 +33,7 @@ first; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
 import re
 from bisect import bisect_left
 from collections import Counter
@@ -181,6 +182,24 @@ def lower_bound(n: Column, of: Column) -> Column:
     return (p + z / 2 - Z * F.sqrt(p * (1 - p) / of + z / (4 * of))) / (1 + z)
 
 
+def _bound(n: int, of: int) -> float:
+    """:func:`lower_bound` of numbers."""
+    p, z = n / of, Z * Z / of
+    return (p + z / 2 - Z * math.sqrt(p * (1 - p) / of + z / (4 * of))) / (1 + z)
+
+
+def most_texts(n: int) -> int:
+    """The most texts a term can be in that still discloses an entity near which it was met in ``n``; the bound falls with them."""
+    of = n
+    while _bound(n, of + 1) >= 2.0**-LEFT_GENERALISE * (1 - 1e-9):
+        of += 1
+    return of
+
+
+#: A slot's byte is the number of texts up to FINE, beyond it FINE plus a power of two of them.
+FINE = 127
+
+
 def _digest(body: str) -> bytes:
     return xxhash.xxh128_digest(body.encode())
 
@@ -222,19 +241,21 @@ def encounters(found: DataFrame) -> DataFrame:
 
 
 def _slot_table(pairs: DataFrame) -> bytes:
-    """For each slot the power of two, plus one, of texts to gather for terms of that slot, 0 if it has none. The driver gets SLOTS bytes."""
+    """For each slot the number of texts to gather for terms of that slot (see FINE), 0 if it has none. The driver gets SLOTS bytes."""
     size = 1 << 12
+    exact = [most_texts(n) for n in range(1, FINE // 4)]
 
     def pack(t: pa.Table) -> pa.Table:
         out = bytearray(size)
-        for i, power in zip(t.column("slot").to_pylist(), t.column("power").to_pylist()):
-            out[i % size] = power + 1
+        for i, code in zip(t.column("slot").to_pylist(), t.column("code").to_pylist()):
+            out[i % size] = code
         return pa.table({"block": t.column("block")[:1], "bytes": pa.array([bytes(out)], pa.binary())})
 
     slot = F.pmod(F.crc32(F.col("t").cast("binary")), F.lit(SLOTS)).cast("int")
-    # n / n_t, an upper bound of the share, allows for this many texts
-    power = F.least(F.ceil(F.log2(F.col("n") * float(2**LEFT_GENERALISE))), F.lit(60)).cast("int")
-    slots = pairs.select(slot.alias("slot"), power.alias("power")).groupBy("slot").agg(F.max("power").alias("power"))
+    # beyond the exact ones, n / n_t, an upper bound of the share, allows for this many texts
+    power = F.least(F.ceil(F.log2(F.col("n") * float(2**LEFT_GENERALISE))), F.lit(60)) + FINE
+    code = F.coalesce(F.get(F.array(*map(F.lit, exact)), (F.col("n") - 1).cast("int")), power).cast("int")
+    slots = pairs.select(slot.alias("slot"), code.alias("code")).groupBy("slot").agg(F.max("code").alias("code"))
     packed = slots.withColumn("block", F.floor(F.col("slot") / size).cast("int")).groupBy("block").applyInArrow(pack, "block int, bytes binary")
     table = bytearray(SLOTS)
     for block, data in packed.collect():
@@ -263,8 +284,8 @@ def term_texts(docs: DataFrame, slots: bytes, text: str = "text") -> DataFrame:
                     if most is None:
                         if len(room) > FLUSH:
                             room = {}
-                        power = table[crc32(w.lower().encode()) % SLOTS]
-                        most = room[w] = 1 << power - 1 if power else 0
+                        code = table[crc32(w.lower().encode()) % SLOTS]
+                        most = room[w] = code if code <= FINE else 1 << code - FINE
                     if not most:
                         continue
                     key = key or _digest(body)
@@ -299,7 +320,12 @@ def _salted(left: DataFrame, right: DataFrame, keys: list[str], by: Column, how:
 def disclosing_pairs(docs: DataFrame, found: DataFrame, near: DataFrame, text: str = "text") -> DataFrame:
     """``e``, ``t``, ``disclosure`` (the bound of ``p(e | t)``) of the pairs to be generalised or removed. ``found`` and ``near`` are written
     tables of :func:`scan` and :func:`encounters`. Actions: writes the pairs, reads SLOTS bytes and the number of texts."""
-    pairs = materialize(near.select("_key", "e", "t").distinct().groupBy("e", "t").agg(F.count(F.lit(1)).alias("n")), "pii-pairs")
+    once = near.select("_key", "e", "t").distinct()
+    pairs = once.groupBy("e", "t").agg(F.count(F.lit(1)).alias("n"))
+    # a term near entities in more texts than its nearest entity allows for is in more texts still: no need to count it
+    seen = once.select("_key", "t").distinct().groupBy("t").agg(F.count(F.lit(1)).alias("seen"))
+    pairs = materialize(_salted(pairs, seen, ["t"], F.col("e")).where(lower_bound(F.col("n"), F.greatest("n", "seen")) >= 2.0**-LEFT_GENERALISE)
+                        .drop("seen"), "pii-pairs")
     texts = max(1, found.select("_key").distinct().count())
     of_t = materialize(term_texts(docs, _slot_table(pairs), text), "pii-terms")
     # a common term is near many entities, an entity near many terms: both joins are dealt by the other

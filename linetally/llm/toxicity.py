@@ -44,6 +44,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import materialize
 from .common import carried
@@ -339,20 +340,23 @@ def logits(docs: DataFrame, model: Model, text: str = "text", lang: str = "lang"
     """``columns`` of ``docs`` (default all) with ``_id``, ``_lang``, ``_longer`` (than SAMPLE_BYTES) and ``_logit``."""
     keep = carried(docs, MADE, columns)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # a fixed number of parameters
-    body = F.col(f"`{text}`").cast("string").cast("binary")
-    source = docs.select(
-        *[F.col(f"`{c}`") for c in keep], (F.col("doc_id") if "doc_id" in docs.columns else F.lit(None).cast("long")).alias("_id"),
-        language(F.col(f"`{lang}`")).alias("_lang"), (F.coalesce(F.octet_length(body), F.lit(0)) > SAMPLE_BYTES).alias("_longer"), body.alias("_text"))
-    fields = source.schema.fields[:-1]
+    body = F.col(f"`{text}`").cast("string")
+    made = [(F.col("doc_id") if "doc_id" in docs.columns else F.lit(None).cast("long")).alias("_id"),
+            language(F.col(f"`{lang}`")).alias("_lang"), (F.coalesce(F.octet_length(body), F.lit(0)) > SAMPLE_BYTES).alias("_longer")]
+    # the text goes to Python once: as the column passed on, or else as one that stays there
+    passed = text in keep and isinstance(docs.schema[text].dataType, T.StringType)
+    source = docs.select(*[F.col(f"`{c}`") for c in keep], *made, *([] if passed else [body.alias("_text")]))
+    fields = [f for f in source.schema.fields if f.name != "_text"]
+    at_text = keep.index(text) if passed else len(fields)
     schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in fields], "_logit double"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
         for batch in batches:
-            texts = batch.column(batch.num_columns - 1)
+            texts = batch.column(at_text).cast(pa.binary())
             z = [scorer.logits(texts[at: at + STEP].to_pylist()) for at in range(0, batch.num_rows, STEP)]
             found = pa.array(np.concatenate([np.zeros(0), *z]), pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], found], names=[*[f.name for f in fields], "_logit"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(fields)], found], names=[*[f.name for f in fields], "_logit"])
 
     return source.mapInArrow(run, schema)
 

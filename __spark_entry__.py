@@ -28,6 +28,7 @@ from linetally.operators.report import text_report  # noqa: E402
 from linetally.schema import DEFAULT_ID_SPAN, PARETO_SHARE, PROFILE_COLUMNS, UNDEFINED_CATEGORY, LineColumns  # noqa: E402
 from linetally.session import scratch_path  # noqa: E402
 from linetally.sources import fixtures, sinks  # noqa: E402
+from linetally.sources.keyed import KeyedTable  # noqa: E402
 from linetally.sources.fixtures import DOCUMENT_LINES_SQL, STATEMENT_LINES_SQL  # noqa: E402
 from linetally.streaming.profile_stream import start_text_groups_stream  # noqa: E402
 from linetally.sources.tables import row_count, scan  # noqa: E402
@@ -213,6 +214,16 @@ def q_upsert_roundtrip(spark, sf_dir):
     return sinks.upsert(spark, base, selected, ["text"], scratch_path(spark, "upsert-out"))
 
 
+def q_keyed_upsert(spark, sf_dir):
+    """Both selections' flags set one after the other; only the buckets of the selected texts are rewritten."""
+    groups = prof.grouped(_lines(spark, sf_dir), CENTS)
+    table = KeyedTable.create(prof.profile_from_groups(groups, compat=True), scratch_path(spark, "keyed"), ["text"], buckets=32)
+    report = pareto(groups)
+    for by in ("amount", "count"):
+        table.upsert(report.selection(by).select("text", F.lit(1).alias(f"pareto_{by}")))
+    return table.read()
+
+
 def q_delimited_roundtrip(spark, sf_dir):
     profile = prof.text_profile(_lines(spark, sf_dir), CENTS, compat=False)
     path = scratch_path(spark, "delimited")
@@ -299,6 +310,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "cleaned_export": q_cleaned_export,
         "append_roundtrip": q_append_roundtrip,
         "upsert_roundtrip": q_upsert_roundtrip,
+        "keyed_upsert": q_keyed_upsert,
         "delimited_roundtrip": q_delimited_roundtrip,
         "delimited_documents": q_delimited_documents,
         "document_pareto_count": q_document_pareto_count,
@@ -398,6 +410,13 @@ def _pareto_selection_sql(by: str, with_groups: str = _WITH_GROUPS) -> str:
     return _ranked(with_groups) + f"SELECT {_PROFILE_COLS}, rank_{by} AS rank FROM ranked, sel WHERE rank_{by} <= sel.n"
 
 
+def _flags_sql() -> str:
+    return _RANKED + f"""SELECT {_PROFILE_COLS},
+       CASE WHEN rank_amount <= sel.n THEN 1 END AS pareto_amount,
+       CASE WHEN rank_count <= sel.n THEN 1 END AS pareto_count
+FROM ranked, sel"""
+
+
 def _chunk_sql(c: str, span: int) -> str:
     return f"({c} - (({c} % {span}) + {span}) % {span}) // {span}"
 
@@ -476,10 +495,7 @@ GROUP BY 1""",
         **{f"extract_{k}": f"WITH {_LINES} SELECT {_LINE_COLS} FROM lines WHERE {v}" for k, v in _EXTRACT_SQL.items()},
         "pareto_amount": _pareto_selection_sql("amount"),
         "pareto_count": _pareto_selection_sql("count"),
-        "pareto_flags": _RANKED + f"""SELECT {_PROFILE_COLS},
-       CASE WHEN rank_amount <= sel.n THEN 1 END AS pareto_amount,
-       CASE WHEN rank_count <= sel.n THEN 1 END AS pareto_count
-FROM ranked, sel""",
+        "pareto_flags": _flags_sql(),
         "pareto_summary": _RANKED + f"""SELECT r.ranking,
        coalesce(CAST(sum(CAST(p.amount AS DECIMAL(28,2))) AS DOUBLE), 0.0) AS amount,
        count(p.text) FILTER (WHERE p.category <> '{UNDEFINED_CATEGORY}') AS categorised_groups,
@@ -516,6 +532,7 @@ SELECT {_LINE_COLS} FROM lines WHERE {_EXTRACT_SQL['between']}""",
         "upsert_roundtrip": _RANKED + f"""SELECT {_PROFILE_COLS},
        CASE WHEN rank_amount <= sel.n THEN 1 END AS pareto_amount
 FROM ranked, sel""",
+        "keyed_upsert": _flags_sql(),
         "delimited_roundtrip": _profile_sql(False),
         "delimited_documents": "SELECT doc_id, text FROM documents",
         "document_pareto_count": _pareto_selection_sql("count", _WITH_DOC_GROUPS),

@@ -84,3 +84,10 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)
+
+
+def remove_folder(spark: SparkSession, path: str) -> bool:
+    """Deletes a folder that the library has written, on whatever storage it lies. Returns whether it was there."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)

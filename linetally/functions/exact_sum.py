@@ -12,7 +12,11 @@ are carried into one another and the exact total is rounded once, to the nearest
 Every step is an expression of built-in functions. A digit has 27 bits and a
 sum 63, so 2^36 rows of a group can be added at a time; more fail with an overflow error (in
 ANSI mode) and need a finer grouping first. ``totals`` of a grouping can be added
-up again: carried digits (:func:`carried`) are short.
+up again by the carried digits that :func:`with_total` gives.
+
+:func:`windowed`, :func:`window_sums` and :func:`with_window_total` do the same with eight digits at fixed positions and no key, for
+amounts: zero and magnitudes from 2^-56 to 2^108 (about 1.4e-17 to 3e32); others are an error. Such sums need
+no grouping beside the caller's own, so they fit a stream as well.
 """
 
 from __future__ import annotations
@@ -37,46 +41,36 @@ def _scaled(x: Column, exponent: Column) -> Column:
     return x * F.pow(F.lit(2.0), half) * F.pow(F.lit(2.0), exponent - half)
 
 
-def split(x: Column, prefix: str) -> list[Column]:
-    """The key ``<prefix>k`` and the digits ``<prefix>0`` .. ``<prefix>4`` of a finite double (null: all null)."""
-    size = F.abs(x)
-    usual = (size == 0) | ((size >= _LOW) & (size < _HIGH))
-    # the logarithm may be off by a hair at a power of two: the last digit has the two bits that takes
-    key = F.when(x.isNotNull(), F.when(usual, F.lit(1)).otherwise(F.floor(F.log2(size) / BITS).cast("int")))
-    sign = F.when(x < 0, F.lit(-1)).otherwise(F.lit(1))
-    out, rest = [key.alias(f"{prefix}k")], _scaled(size, key * -BITS)
-    for i in range(DIGITS):
-        whole = F.floor(rest)
-        out.append((whole * sign).alias(f"{prefix}{i}"))
-        rest = (rest - whole) * _UNIT
-    return out
-
-
 def with_digits(df: DataFrame, column: str, prefix: str) -> DataFrame:
     """``df`` with key and digits of ``column``. Each step is a column of its own, so that none is computed twice."""
     size = F.abs(F.col(column))
     usual = (size == 0) | ((size >= _LOW) & (size < _HIGH))
+    # the logarithm may be off by a hair at a power of two: the last digit has the two bits that takes
     key = F.when(F.col(column).isNotNull(), F.when(usual, F.lit(1)).otherwise(F.floor(F.log2(size) / BITS).cast("int")))
     out = df.withColumn(f"{prefix}k", key)
     scaled = F.when(F.col(f"{prefix}k") == 1, size * F.lit(1 / _UNIT)).otherwise(_scaled(size, F.col(f"{prefix}k") * -BITS))
-    out = out.withColumn("_rest", scaled)
+    return _digits(out, scaled, column, prefix, DIGITS)
+
+
+def _digits(df: DataFrame, scaled: Column, column: str, prefix: str, count: int) -> DataFrame:
+    out = df.withColumn("_rest", scaled)
     sign = F.when(F.col(column) < 0, F.lit(-1)).otherwise(F.lit(1))
-    for i in range(DIGITS):
+    for i in range(count):
         out = out.withColumn("_whole", F.floor("_rest"))
         out = out.withColumns({f"{prefix}{i}": F.col("_whole") * sign, "_rest": (F.col("_rest") - F.col("_whole")) * _UNIT})
     return out.drop("_rest", "_whole")
 
 
-def digit_names(prefix: str) -> list[str]:
-    return [f"{prefix}{i}" for i in range(DIGITS)]
+def digit_names(prefix: str, count: int = DIGITS) -> list[str]:
+    return [f"{prefix}{i}" for i in range(count)]
 
 
-def sums(prefix: str, where: Column | None = None, out: str | None = None) -> list[Column]:
+def sums(prefix: str, where: Column | None = None, out: str | None = None, count: int = DIGITS) -> list[Column]:
     """Aggregates: the sums of each digit (of rows ``where``), named like the digits or by the prefix ``out``."""
     def value(c: str) -> Column:
         return F.col(c) if where is None else F.when(where, F.col(c)).otherwise(F.lit(0))
 
-    return [F.sum(value(c)).alias(c if out is None else f"{out}{i}") for i, c in enumerate(digit_names(prefix))]
+    return [F.sum(value(c)).alias(c if out is None else f"{out}{i}") for i, c in enumerate(digit_names(prefix, count))]
 
 
 def pairs(key: str, prefix: str) -> Column:
@@ -109,15 +103,21 @@ def with_total(df: DataFrame, pair_column: str, total: str, exact: str | None =
     out = out.withColumn("_all", F.concat(F.col(pair_column), zeros).cast(PAIR))
     spots = F.transform(F.sequence("_low", "_high"), lambda i: F.aggregate(
         F.col("_all"), F.lit(0).cast("bigint"), lambda acc, x: acc + F.when(x["p"] == i, x["d"]).otherwise(F.lit(0).cast("bigint"))))
-    out = out.withColumn("_dense", spots).withColumn("_carried", _carry(F.col("_dense")))
+    out = _rounded(out.withColumn("_dense", spots).drop("_all"), total)
+    if exact is not None:
+        signed = F.transform("_signed", lambda d, i: F.struct((F.col("_low") + i).cast("int").alias("p"), d.alias("d")))
+        out = out.withColumn(exact, F.filter(signed, lambda x: x["d"] != 0).cast(PAIR))
+    return out.drop("_low", "_high", "_signed")
+
+
+def _rounded(df: DataFrame, total: str) -> DataFrame:
+    """From the integers ``_dense`` at positions ``_low`` to ``_high``: ``total``, and ``_signed``, the same number as carried digits."""
+    out = df.withColumn("_carried", _carry(F.col("_dense")))
     out = out.withColumn("_minus", F.col("_carried.c") < 0)
     flipped = _carry(F.transform("_dense", lambda d: -d))["d"]
     out = out.withColumn("_digits", F.when(F.col("_minus"), flipped).otherwise(F.col("_carried.d")))
-    if exact is not None:
-        sign = F.when(F.col("_minus"), F.lit(-1)).otherwise(F.lit(1))
-        signed = F.transform("_digits", lambda d, i: F.struct((F.col("_low") + i).cast("int").alias("p"), (d * sign).cast("bigint").alias("d")))
-        out = out.withColumn(exact, F.filter(signed, lambda x: x["d"] != 0).cast(PAIR))
-    out = out.withColumn("_top", F.aggregate(F.reverse("_digits"), _TOP_START(F.col("_high")), _top_step))
+    out = out.withColumn("_signed", F.when(F.col("_minus"), F.transform("_digits", lambda d: -d)).otherwise(F.col("_digits")))
+    out = out.withColumn("_top", F.aggregate(F.reverse("_digits"), _top_start(F.col("_high")), _top_step))
     # 62 leading bits, the last one set if anything follows; long to double rounds to nearest, ties to even
     lead, tail = F.col("_top.v0") * (1 << BITS) + F.col("_top.v1"), F.col("_top.v2") * (1 << BITS) + F.col("_top.v3")
     out = out.withColumn("_lead", lead).withColumn("_tail", tail)
@@ -128,10 +128,64 @@ def with_total(df: DataFrame, pair_column: str, total: str, exact: str | None =
     whole = kept.bitwiseOR(F.when(lost, F.lit(1)).otherwise(F.lit(0)).cast("bigint")).cast("double")
     value = _scaled(whole, (F.col("_top.p") - 1) * BITS - F.col("_shift"))
     value = F.when(F.col("_top.n") == 0, F.lit(0.0)).when(F.col("_minus"), -value).otherwise(value)
-    return out.withColumn(total, value).drop("_low", "_high", "_all", "_dense", "_carried", "_minus", "_digits", "_top", "_lead", "_tail", "_shift")
+    return out.withColumn(total, value).drop("_dense", "_carried", "_minus", "_digits", "_top", "_lead", "_tail", "_shift")
+
+
+# ---------------------------------------------------------------------------
+# A window of fixed positions
+# ---------------------------------------------------------------------------
+
+WINDOW = 8
+_WINDOW_TOP = 3
+_WINDOW_LOW, _WINDOW_HIGH = 2.0**-56, 2.0**108
+#: Positions of a carried total of the window, lowest first.
+TOTAL = WINDOW + _ROOM
+
+
+def windowed(df: DataFrame, column: str, prefix: str) -> DataFrame:
+    """``df`` with the digits ``<prefix>0`` .. ``<prefix>7`` of a column of finite doubles; a magnitude outside the window fails the job."""
+    size = F.abs(F.col(column))
+    outside = (size != 0) & ((size < _WINDOW_LOW) | (size >= _WINDOW_HIGH))
+    error = F.raise_error(F.lit("amount outside the range of exact sums, 2^-56 to 2^108")).cast("double")
+    return _digits(df, F.when(outside, error).otherwise(size * F.lit(2.0 ** (-BITS * _WINDOW_TOP))), column, prefix, WINDOW)
+
+
+def window_sums(prefix: str, where: Column | None = None, out: str | None = None) -> list[Column]:
+    """Aggregates: the sums of the window's digits."""
+    return sums(prefix, where, out, WINDOW)
+
+
+def with_window_total(df: DataFrame, prefix: str, total: str, exact: str | None = None) -> DataFrame:
+    """``df`` with ``total``, the double nearest to the exact sum in the columns of :func:`window_sums`, in place of these, and, if wanted,
+    ``exact``: the same number as an array of TOTAL carried digits, to be added to others position by position."""
+    zero = F.lit(0).cast("bigint")
+    names = digit_names(prefix, WINDOW)
+    dense = F.array(*[F.coalesce(F.col(c).cast("bigint"), zero) for c in reversed(names)], *[zero] * _ROOM)
+    return _of_window(df.withColumn("_dense", dense).drop(*names), total, exact)
+
+
+def with_total_of_totals(df: DataFrame, prefix: str, total: str) -> DataFrame:
+    """``df`` with ``total`` from the columns of :func:`total_sums`, in place of these."""
+    zero = F.lit(0).cast("bigint")
+    names = digit_names(prefix, TOTAL)
+    return _of_window(df.withColumn("_dense", F.array(*[F.coalesce(F.col(c), zero) for c in names], *[zero] * _ROOM)).drop(*names), total, None)
+
+
+def total_sums(exact: str, prefix: str, minus: str | None = None) -> list[Column]:
+    """Aggregates: sums by position of a column of carried digits (less another such column)."""
+    at = lambda i: F.get(exact, F.lit(i)) if minus is None else F.get(exact, F.lit(i)) - F.get(minus, F.lit(i))
+    return [F.sum(at(i)).alias(f"{prefix}{i}") for i in range(TOTAL)]
+
+
+def _of_window(df: DataFrame, total: str, exact: str | None) -> DataFrame:
+    low = _WINDOW_TOP - WINDOW + 1
+    out = _rounded(df.withColumn("_high", F.lit(low - 1) + F.size("_dense")), total)
+    if exact is not None:
+        out = out.withColumn(exact, F.col("_signed"))
+    return out.drop("_high", "_signed")
 
 
-def _TOP_START(high: Column) -> Column:
+def _top_start(high: Column) -> Column:
     zero = F.lit(0).cast("bigint")
     return F.struct(F.lit(0).alias("n"), high.alias("p"), zero.alias("v0"), zero.alias("v1"), zero.alias("v2"), zero.alias("v3"), F.lit(False).alias("more"))
 

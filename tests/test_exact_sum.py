@@ -64,10 +64,23 @@ def test_split_gives_the_number_back(spark):
     r = random.Random(4)
     values = [r.uniform(-1, 1) * 2.0 ** r.randrange(-1070, 1023) for _ in range(500)] + [2.0**k for k in range(-1074, 1024, 7)] + [0.0]
     df = spark.createDataFrame([(x,) for x in values], "x double")
-    for made in (df.select("x", *exact_sum.split(F.col("x"), "_d")), exact_sum.with_digits(df, "x", "_d")):
-        for row in made.collect():
-            parts = [math.ldexp(row[f"_d{i}"], 27 * (row["_dk"] - i)) for i in range(5) if row[f"_d{i}"]]
-            assert math.fsum(parts) == row["x"] and all(abs(row[f"_d{i}"]) <= 2**28 for i in range(5))
+    for row in exact_sum.with_digits(df, "x", "_d").collect():
+        parts = [math.ldexp(row[f"_d{i}"], 27 * (row["_dk"] - i)) for i in range(5) if row[f"_d{i}"]]
+        assert math.fsum(parts) == row["x"] and all(abs(row[f"_d{i}"]) <= 2**28 for i in range(5))
+
+
+@pytest.mark.parametrize("partitions", [1, 3, 8])
+def test_window_sums_and_their_totals(spark, partitions):
+    r = random.Random(7)
+    rows = [(i % 9, r.choice([round(r.uniform(-900, 900), 2), r.uniform(-1, 1) * 2.0 ** r.randrange(-50, 107), 0.0, 2.0**-56, -(2.0**107)])) for i in range(4000)]
+    rows += [(9, -0.0), (10, 1e16), (10, 1.0), (10, -1e16)]
+    df = exact_sum.windowed(spark.createDataFrame(rows, "g int, x double").repartition(partitions), "x", "_x")
+    groups = exact_sum.with_window_total(df.groupBy("g").agg(*exact_sum.window_sums("_x")), "_x", "s", "e")
+    assert {x["g"]: _bits(x["s"]) for x in groups.collect()} == {g: _bits(math.fsum(x for k, x in rows if k == g)) for g in range(11)}
+    whole = exact_sum.with_total_of_totals(groups.agg(*exact_sum.total_sums("e", "_t")), "_t", "t")
+    assert _bits(whole.first()["t"]) == _bits(math.fsum(x for _, x in rows))
+    with pytest.raises(Exception, match="outside the range"):
+        exact_sum.windowed(spark.createDataFrame([(1e200,)], "x double"), "x", "_x").collect()
 
 
 def test_nothing(spark):

@@ -27,26 +27,23 @@ from ..functions.text import clean_text
 from ..schema import DEFAULT_ID_SPAN, LineColumns
 from ..session import materialize as _materialize
 from .idlists import id_chunks
-from .profile import DEFAULT_COLUMNS, gate
+from .profile import DEFAULT_COLUMNS, amount_sums, finish_amount, gate, is_exact, summable
 
 
 def client_lines(lines: DataFrame, cols: LineColumns = DEFAULT_COLUMNS) -> DataFrame:
-    """Per (text, institution, user, category): ``cnt``, ``amount``
+    """Per (text, institution, user, category): ``cnt``, the amount (for doubles the sums of its digits)
     and ``first_id``. Rows pass the profile gate and need a user
     id (P9)."""
-    g = gate(lines, cols).where(F.col(cols.user_id).isNotNull())
-    return (
-        g.select(
-            clean_text(F.col(cols.text).cast(T.StringType())).alias("text"),
-            F.col(cols.institution).alias("institution"),
-            F.col(cols.user_id).alias("user_id"),
-            F.col(cols.category).alias("category"),
-            F.col(cols.row_id).cast(T.LongType()).alias("row_id"),
-            money(cols.amount, cols.amount_type).alias("amount"),
-        )
-        .groupBy("text", "institution", "user_id", "category")
-        .agg(F.count(F.lit(1)).alias("cnt"), F.sum("amount").alias("amount"), F.min("row_id").alias("first_id"))
+    g = gate(lines, cols).where(F.col(cols.user_id).isNotNull()).select(
+        clean_text(F.col(cols.text).cast(T.StringType())).alias("text"),
+        F.col(cols.institution).alias("institution"),
+        F.col(cols.user_id).alias("user_id"),
+        F.col(cols.category).alias("category"),
+        F.col(cols.row_id).cast(T.LongType()).alias("row_id"),
+        money(cols.amount, cols.amount_type).alias("amount"),
     )
+    return summable(g, cols).groupBy("text", "institution", "user_id", "category").agg(
+        F.count(F.lit(1)).alias("cnt"), *amount_sums(is_exact(cols)), F.min("row_id").alias("first_id"))
 
 
 def profile_from_client_lines(reduced: DataFrame, keep_empty: bool = False) -> DataFrame:
@@ -59,15 +56,18 @@ def profile_from_client_lines(reduced: DataFrame, keep_empty: bool = False) -> D
     """
     r = reduced if keep_empty else reduced.where(F.col("text") != F.lit(""))
     keys = ["text", "institution"]
+    exact = "amount" not in reduced.columns
     per_user = r.groupBy(*keys, "user_id").agg(
-        F.sum("cnt").alias("cnt"), F.sum("amount").alias("amount"), F.min(F.struct("first_id", "category")).alias("rep")
+        F.sum("cnt").alias("cnt"), *amount_sums(exact), F.min(F.struct("first_id", "category")).alias("rep")
     )
-    return per_user.groupBy(*keys).agg(
+    groups = per_user.groupBy(*keys).agg(
         F.sum("cnt").cast(T.LongType()).alias("count"),
-        to_double(F.sum("amount")).alias("value"),
+        *amount_sums(exact),
         F.min("rep").alias("rep"),
         F.count(F.lit(1)).alias("count_clients"),
-    ).select("text", "institution", "count", "value", F.col("rep.category").alias("category"), "count_clients")
+    )
+    return finish_amount(groups, exact).select("text", "institution", "count", to_double("amount").alias("value"),
+                                               F.col("rep.category").alias("category"), "count_clients")
 
 
 def client_profile(lines: DataFrame, cols: LineColumns = DEFAULT_COLUMNS, keep_empty: bool = False) -> DataFrame:

@@ -11,6 +11,11 @@ Plan shape (one scan of the source, two small shuffles):
          -> exchange (text)               -- one row per (text, category)
          -> merge agg (text)              -- representative row chosen here
 
+Amounts are doubles unless the columns name an exact type. Their sums are
+exact and rounded once (:mod:`linetally.functions.exact_sum`), so no result
+depends on the order of rows or the number of partitions; totals are summed from the exact group
+sums, not from rounded ones.
+
 The representative category is a string, and a string in an aggregation
 buffer forces Spark into a sort-based aggregate. Grouping by
 ``(text, category)`` first keeps that out of the heavy stage: the sort-based
@@ -43,8 +48,9 @@ from ..functions.buckets import (
     share,
     to_double,
 )
+from ..functions import exact_sum
 from ..functions.text import clean_text
-from ..schema import UNDEFINED_CATEGORY, LineColumns
+from ..schema import BUCKET_BOUNDS, UNDEFINED_CATEGORY, LineColumns
 from ..session import materialize as _materialize
 
 DEFAULT_COLUMNS = LineColumns()
@@ -93,25 +99,54 @@ def text_groups(
     ``undefined_amount``, ``first_id`` (least row id), ``category`` and
     ``quartil`` (of the row with the least id; among rows sharing that id
     the least category, then the least bucket wins), ``n_madrugada``, ``n_dia``, ``n_tarde``,
-    ``n_noite_compat``, ``n_noite_fixed``.
+    ``n_noite_compat``, ``n_noite_fixed``; for doubles also ``amount_exact`` and ``undefined_exact``, the
+    sums before rounding (arrays of digits, see :mod:`linetally.functions.exact_sum`).
     """
-    p = prepared_lines(lines, cols, strict)
-    return merge_categories(p.groupBy("text", "category").agg(*line_measures()), sentinel)
+    p = summable(prepared_lines(lines, cols, strict), cols)
+    return merge_categories(p.groupBy("text", "category").agg(*line_measures(is_exact(cols))), sentinel)
 
 
 DAY_PART_COUNTS = ("n_madrugada", "n_dia", "n_tarde", "n_noite_compat", "n_noite_fixed")
+#: Buckets of the category percentage, and the least id met in each: numbers, so that a hash aggregate
+#: can find the bucket of the row with the least id.
+BUCKETS = range(len(BUCKET_BOUNDS))
+_FIRST_IN = tuple(f"first_in_{b}" for b in BUCKETS)
+_DIGITS = "_amt"
+
+
+def is_exact(cols: LineColumns) -> bool:
+    """Whether the columns' amounts are doubles, whose sums go by digits (an exact type is summed as it is)."""
+    return cols.amount_type == "double"
+
+
+def summable(rows: DataFrame, cols: LineColumns) -> DataFrame:
+    """``rows`` with what :func:`amount_sums` adds up: the digits of ``amount``, if it is a double."""
+    return exact_sum.windowed(rows, "amount", _DIGITS) if is_exact(cols) else rows
 
 
-def line_measures() -> list[Column]:
-    """Aggregates over prepared lines, all with numeric buffers (so a hash
-    aggregate with partial aggregation computes them): ``cnt``, ``amount``,
-    ``first_id``, ``first_quartil`` and the day-part counts."""
+def amount_sums(exact: bool, where: Column | None = None, out: str = "amount") -> list[Column]:
+    """Aggregates of the amounts (of rows ``where``), to be merged or finished as ``out``."""
+    if exact:
+        return exact_sum.window_sums(_DIGITS, where, None if out == "amount" else f"_{out}")
+    amount = F.col("amount") if where is None else F.when(where, F.col("amount")).otherwise(F.lit(0))
+    return [F.sum(amount).alias(out)]
+
+
+def finish_amount(df: DataFrame, exact: bool, out: str = "amount", digits: str | None = None) -> DataFrame:
+    """``df`` with the rounded ``out`` (and the sum before rounding, as ``digits``) from :func:`amount_sums`."""
+    return exact_sum.with_window_total(df, _DIGITS if out == "amount" else f"_{out}", out, digits) if exact else df
+
+
+def line_measures(exact: bool) -> list[Column]:
+    """Aggregates over prepared lines (:func:`summable`), all with numeric buffers (so a hash
+    aggregate with partial aggregation computes them): ``cnt``, the amount,
+    ``first_id``, the least id in each bucket and the day-part counts."""
     h = F.col("hour")
     return [
         F.count(F.lit(1)).alias("cnt"),
-        F.sum("amount").alias("amount"),
+        *amount_sums(exact),
         F.min("row_id").alias("first_id"),
-        F.min_by("quartil", "row_id").alias("first_quartil"),
+        *[F.min(F.when(F.col("quartil") == b, F.col("row_id"))).alias(c) for b, c in zip(BUCKETS, _FIRST_IN)],
         F.count_if(is_madrugada(h)).alias("n_madrugada"),
         F.count_if(is_dia(h)).alias("n_dia"),
         F.count_if(is_tarde(h)).alias("n_tarde"),
@@ -120,14 +155,19 @@ def line_measures() -> list[Column]:
     ]
 
 
-def merged_measures() -> list[Column]:
+def first_bucket() -> Column:
+    """The least bucket among rows with the least id, from the least id in each bucket."""
+    return F.coalesce(*[F.when(F.col(c) == F.col("first_id"), F.lit(b)) for b, c in zip(BUCKETS, _FIRST_IN)])
+
+
+def merged_measures(exact: bool) -> list[Column]:
     """The same measures re-aggregated from rows of :func:`line_measures`
     (for a coarser key)."""
     return [
         F.sum("cnt").alias("cnt"),
-        F.sum("amount").alias("amount"),
+        *amount_sums(exact),
         F.min("first_id").alias("first_id"),
-        F.min_by("first_quartil", "first_id").alias("first_quartil"),
+        *[F.min(c).alias(c) for c in _FIRST_IN],
         *[F.sum(c).alias(c) for c in DAY_PART_COUNTS],
     ]
 
@@ -135,17 +175,24 @@ def merged_measures() -> list[Column]:
 def merge_categories(per_category: DataFrame, sentinel: str = UNDEFINED_CATEGORY) -> DataFrame:
     """From one row per (text, category) of :func:`line_measures` to one row
     per text, choosing the representative row (least id; among rows sharing
-    it, the least category). The only step with a string in an aggregation
+    it, the least category, then the least bucket). The only step with a string in an aggregation
     buffer, on the reduced frame."""
+    exact = f"{_DIGITS}0" in per_category.columns
     undefined = F.col("category") == F.lit(sentinel)
     merged = per_category.groupBy("text").agg(
         F.sum("cnt").alias("cnt"),
-        F.sum("amount").alias("amount"),
+        *amount_sums(exact),
         F.sum(F.when(undefined, F.col("cnt")).otherwise(F.lit(0))).alias("undefined_count"),
-        F.sum(F.when(undefined, F.col("amount")).otherwise(F.lit(0))).alias("undefined_amount"),
-        F.min(F.struct("first_id", "category", "first_quartil")).alias("rep"),
+        *amount_sums(exact, undefined, "undefined_amount"),
+        F.min(F.struct(F.col("first_id"), F.col("category"), first_bucket().alias("quartil"))).alias("rep"),
         *[F.sum(c).alias(c) for c in DAY_PART_COUNTS],
     )
+    return finished_groups(merged, exact)
+
+
+def finished_groups(merged: DataFrame, exact: bool) -> DataFrame:
+    """The columns of :func:`text_groups` from the sums and ``rep`` (id, category, quartil of the representative row)."""
+    merged = finish_amount(finish_amount(merged, exact, digits="amount_exact"), exact, "undefined_amount", "undefined_exact")
     return merged.select(
         "text",
         "cnt",
@@ -154,8 +201,9 @@ def merge_categories(per_category: DataFrame, sentinel: str = UNDEFINED_CATEGORY
         "undefined_amount",
         F.col("rep.first_id").alias("first_id"),
         F.col("rep.category").alias("category"),
-        F.col("rep.first_quartil").alias("quartil"),
+        F.col("rep.quartil").alias("quartil"),
         *DAY_PART_COUNTS,
+        *(["amount_exact", "undefined_exact"] if exact else []),
     )
 
 
@@ -164,13 +212,28 @@ def text_counts(lines: DataFrame, cols: LineColumns = DEFAULT_COLUMNS) -> DataFr
 
     The minimal slice of the profile: a single hash aggregate around one
     exchange on the text."""
-    g = gate(lines, cols)
-    return (
-        g.select(clean_text(F.col(cols.text).cast(T.StringType())).alias("text"), money(cols.amount, cols.amount_type).alias("amount"))
-        .groupBy("text")
-        .agg(F.count(F.lit(1)).alias("count"), F.sum("amount").alias("amount"))
-        .select("text", "count", to_double("amount").alias("amount"))
-    )
+    g = gate(lines, cols).select(clean_text(F.col(cols.text).cast(T.StringType())).alias("text"), money(cols.amount, cols.amount_type).alias("amount"))
+    exact = is_exact(cols)
+    counted = summable(g, cols).groupBy("text").agg(F.count(F.lit(1)).alias("count"), *amount_sums(exact))
+    return finish_amount(counted, exact).select("text", "count", to_double("amount").alias("amount"))
+
+
+def _total_columns(groups: DataFrame) -> list[Column]:
+    """Aggregates of the amounts over all groups."""
+    if "amount_exact" not in groups.columns:
+        return [F.sum("amount").alias("total_amount"), F.sum("undefined_amount").alias("undefined_amount")]
+    return [*exact_sum.total_sums("amount_exact", "_a"), *exact_sum.total_sums("undefined_exact", "_u"),
+            *exact_sum.total_sums("amount_exact", "_c", minus="undefined_exact")]
+
+
+def _finish_totals(t: DataFrame, groups: DataFrame) -> DataFrame:
+    """``total_amount``, ``undefined_amount`` and ``categorised_amount`` (each rounded once, if exact) from :func:`_total_columns`."""
+    if "amount_exact" not in groups.columns:
+        zero = F.lit(0)
+        return t.withColumn("categorised_amount", F.coalesce("total_amount", zero) - F.coalesce("undefined_amount", zero))
+    for prefix, out in (("_a", "total_amount"), ("_u", "undefined_amount"), ("_c", "categorised_amount")):
+        t = exact_sum.with_total_of_totals(t, prefix, out)
+    return t
 
 
 def totals_from_groups(groups: DataFrame) -> DataFrame:
@@ -180,19 +243,18 @@ def totals_from_groups(groups: DataFrame) -> DataFrame:
     texts include the empty text."""
     t = groups.agg(
         F.coalesce(F.sum("cnt"), F.lit(0)).alias("total_count"),
-        F.sum("amount").alias("total_amount"),
         F.coalesce(F.sum("undefined_count"), F.lit(0)).alias("undefined_count"),
-        F.sum("undefined_amount").alias("undefined_amount"),
         F.count(F.lit(1)).alias("unique_texts"),
+        *_total_columns(groups),
     )
     zero = F.lit(0)
-    return t.select(
+    return _finish_totals(t, groups).select(
         F.col("total_count").cast(T.LongType()).alias("total_count"),
         to_double(F.coalesce("total_amount", zero)).alias("total_amount"),
         F.col("undefined_count").cast(T.LongType()).alias("undefined_count"),
         to_double(F.coalesce("undefined_amount", zero)).alias("undefined_amount"),
         (F.col("total_count") - F.col("undefined_count")).cast(T.LongType()).alias("categorised_count"),
-        to_double(F.coalesce("total_amount", zero) - F.coalesce("undefined_amount", zero)).alias("categorised_amount"),
+        to_double("categorised_amount").alias("categorised_amount"),
         F.col("unique_texts").cast(T.LongType()).alias("unique_texts"),
     )
 
@@ -222,7 +284,8 @@ def profile_from_groups(
     one unbounded cell. It is a relation of its own,
     :func:`linetally.operators.idlists.text_id_chunks`.
     """
-    totals = groups.agg(F.sum("cnt").alias("tot_cnt"), F.sum("amount").alias("tot_amount"))
+    totals = _finish_totals(groups.agg(F.sum("cnt").alias("tot_cnt"), *_total_columns(groups)), groups).select(
+        "tot_cnt", F.col("total_amount").alias("tot_amount"))
     g = groups if keep_empty else groups.where(F.col("text") != F.lit(""))
     # One-row side: the broadcast has a proven size bound.
     j = g.crossJoin(F.broadcast(totals))

@@ -26,11 +26,13 @@ from ..session import materialize as _materialize
 from .idlists import chunk_of, text_id_chunks
 from .profile import (
     DEFAULT_COLUMNS,
+    is_exact,
     line_measures,
     merge_categories,
     merged_measures,
     prepared_lines,
     profile_from_groups,
+    summable,
     totals_from_groups,
 )
 
@@ -44,7 +46,8 @@ class TextReport:
 
     def groups(self) -> DataFrame:
         """One row per text, as :func:`.profile.text_groups`."""
-        per_category = self.fine.groupBy("text", "category").agg(*merged_measures())
+        exact = "amount" not in self.fine.columns
+        per_category = self.fine.groupBy("text", "category").agg(*merged_measures(exact))
         return merge_categories(per_category, self.sentinel)
 
     def profile(self, compat: bool = True, round_to: int | None = None) -> DataFrame:
@@ -92,10 +95,10 @@ def text_report(
 ) -> TextReport:
     """Aggregate ``lines`` once by (text, category, id range) and, when
     ``materialize`` (an action), write that frame to the shared folder."""
-    p = prepared_lines(lines, cols, strict)
+    p = summable(prepared_lines(lines, cols, strict), cols)
     # collect_set: at most `span` ids per cell, whatever the data.
     fine = p.groupBy("text", "category", chunk_of(F.col("row_id"), span).alias("chunk")).agg(
-        *line_measures(), F.collect_set("row_id").alias("ids")
+        *line_measures(is_exact(cols)), F.collect_set("row_id").alias("ids")
     )
     if materialize:
         fine = _materialize(fine, "text-report")

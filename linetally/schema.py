@@ -50,8 +50,8 @@ class LineColumns:
     ts: str = "ts"
     user_id: str = "user_id"
     institution: str = "institution"
-    #: How amounts are summed: ``double``, or, in a subclass, an exact type
-    #: that every amount has to fit (functions.buckets.money).
+    #: How amounts are summed: ``double``, exactly and rounded once (functions.exact_sum), or, in a subclass,
+    #: an exact type that every amount has to fit (functions.buckets.money).
     amount_type = "double"
 
 

@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.buckets import is_dia, is_madrugada, is_noite, is_tarde
-from ..operators.profile import DEFAULT_COLUMNS, prepared_lines
+from ..operators.profile import DEFAULT_COLUMNS, amount_sums, finished_groups, is_exact, prepared_lines, summable
 from ..schema import UNDEFINED_CATEGORY, LineColumns
 from ..session import scratch_path
 
@@ -33,36 +33,23 @@ def streaming_text_groups(
     sentinel: str = UNDEFINED_CATEGORY,
 ) -> DataFrame:
     """Running per-text measures of a streaming (or batch) lines frame."""
-    p = prepared_lines(lines, cols, strict)
+    exact = is_exact(cols)
+    p = summable(prepared_lines(lines, cols, strict), cols)
     h = F.col("hour")
     undefined = F.col("category") == F.lit(sentinel)
     agg = p.groupBy("text").agg(
         F.count(F.lit(1)).alias("cnt"),
-        F.sum("amount").alias("amount"),
+        *amount_sums(exact),
         F.count_if(undefined).alias("undefined_count"),
-        F.sum(F.when(undefined, F.col("amount"))).alias("undefined_amount"),
-        F.min(F.struct("row_id", "category", "quartil")).alias("rep"),
+        *amount_sums(exact, undefined, "undefined_amount"),
+        F.min(F.struct(F.col("row_id").alias("first_id"), F.col("category"), F.col("quartil"))).alias("rep"),
         F.count_if(is_madrugada(h)).alias("n_madrugada"),
         F.count_if(is_dia(h)).alias("n_dia"),
         F.count_if(is_tarde(h)).alias("n_tarde"),
         F.count_if(is_noite(h, compat=True)).alias("n_noite_compat"),
         F.count_if(is_noite(h, compat=False)).alias("n_noite_fixed"),
     )
-    return agg.select(
-        "text",
-        "cnt",
-        "amount",
-        "undefined_count",
-        F.coalesce("undefined_amount", F.lit(0)).alias("undefined_amount"),
-        F.col("rep.row_id").alias("first_id"),
-        F.col("rep.category").alias("category"),
-        F.col("rep.quartil").alias("quartil"),
-        "n_madrugada",
-        "n_dia",
-        "n_tarde",
-        "n_noite_compat",
-        "n_noite_fixed",
-    )
+    return finished_groups(agg, exact)
 
 
 def start_text_groups_stream(

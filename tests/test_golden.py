@@ -167,3 +167,41 @@ def test_null_institution_is_a_client_group(spark):
         "institution", F.when(F.col("row_id") == 4, F.lit("B"))).withColumn("user_id", F.concat(F.lit("u"), "user_id"))
     got = {(r["text"], r["institution"]): (r["count"], r["count_clients"]) for r in client_report(df)[0].collect()}
     assert got == {("pagto cartão", None): (2, 2), ("posto_x", "B"): (1, 1)}
+
+
+def _measures(df):
+    return sorted(tuple(r) for r in prof.text_groups(df).collect())
+
+
+def test_repeated_ids_have_one_representative_whatever_the_order(spark):
+    """Least id, then least category, then least bucket, among 300 lines of three ids."""
+    base = lines(spark).where("row_id = 1")
+    rows = base.withColumn("n", F.explode(F.sequence(F.lit(0), F.lit(299)))).withColumns({
+        "row_id": F.col("n") % 3, "category": F.when(F.col("n") % 2 == 0, "B").otherwise("A"), "category_pct": (F.col("n") * 37 % 100 + 1).cast("double")}).drop("n")
+    least = min((r["row_id"], r["category"], -(-int(r["category_pct"]) // 25)) for r in rows.collect())
+    for partitions in (1, 3, 8):
+        got = prof.text_groups(rows.repartition(partitions)).select("first_id", "category", "quartil").collect()
+        assert [tuple(r) for r in got] == [least]
+    from linetally.streaming.profile_stream import streaming_text_groups
+    assert _measures(rows) == sorted(tuple(r) for r in streaming_text_groups(rows).collect())
+
+
+def test_amounts_do_not_depend_on_partitions(spark):
+    """Big amounts that cancel, and small ones: the same bits on 1, 3 and 8 partitions, correctly rounded."""
+    import math
+
+    amounts = [1e16, 0.1, -1e16, 0.7, 3.3, -0.1] * 50
+    schema = lines(spark).schema
+    first = lines(spark).first()
+    rows = [(i, first["text"] if i % 2 else "other", a, "INDEFINIDO" if i % 3 else "X", 10.0, first["ts"], i % 5, "I") for i, a in enumerate(amounts)]
+    want = {t: math.fsum(r[2] for r in rows if (r[0] % 2 == 1) == (t != "other")) for t in ("pagto cartão", "other")}
+    total = math.fsum(amounts)
+    undefined = math.fsum(r[2] for r in rows if r[3] == "INDEFINIDO")
+    for partitions in (1, 3, 8):
+        df = spark.createDataFrame(rows, schema).repartition(partitions)
+        assert {r["text"]: r["amount"] for r in prof.text_profile(df).collect()} == want
+        assert {r["text"]: r["amount"] for r in prof.text_counts(df).collect()} == want
+        t = prof.text_totals(df).first()
+        assert (t["total_amount"], t["undefined_amount"]) == (total, undefined)
+        assert t["categorised_amount"] == math.fsum([*(r[2] for r in rows if r[3] == "X")])
+        assert {r["text"]: r["value"] for r in client_report(df)[0].collect()} == want

@@ -53,12 +53,13 @@ def with_digits(df: DataFrame, column: str, prefix: str) -> DataFrame:
 
 
 def _digits(df: DataFrame, scaled: Column, column: str, prefix: str, count: int) -> DataFrame:
-    out = df.withColumn("_rest", scaled)
+    """Digits of 27 bits of ``scaled``, the first one below 2^28: products with powers of two and remainders of doubles are exact."""
     sign = F.when(F.col(column) < 0, F.lit(-1)).otherwise(F.lit(1))
-    for i in range(count):
-        out = out.withColumn("_whole", F.floor("_rest"))
-        out = out.withColumns({f"{prefix}{i}": F.col("_whole") * sign, "_rest": (F.col("_rest") - F.col("_whole")) * _UNIT})
-    return out.drop("_rest", "_whole")
+    out = df.withColumn("_scaled", scaled)
+    digits = {f"{prefix}0": F.floor("_scaled") * sign}
+    for i in range(1, count):
+        digits[f"{prefix}{i}"] = F.floor((F.col("_scaled") * 2.0 ** (BITS * i)) % _UNIT) * sign
+    return out.withColumns(digits).drop("_scaled")
 
 
 def digit_names(prefix: str, count: int = DIGITS) -> list[str]:
@@ -94,41 +95,51 @@ def _carry(dense: Column) -> Column:
 
 def with_total(df: DataFrame, pair_column: str, total: str, exact: str | None = None) -> DataFrame:
     """``df`` with ``total``, the double nearest to the exact sum that the pairs stand for (no pairs: 0), and, if wanted, ``exact``:
-    the same number as carried pairs, to be added to others. Steps are columns of their own, so that each is computed once."""
+    the same number as carried pairs, to be added to others."""
     p = F.transform(F.col(pair_column), lambda x: x["p"])
     low, high = F.coalesce(F.array_min(p), F.lit(0)), F.coalesce(F.array_max(p), F.lit(0)) + _ROOM
-    out = df.withColumn("_low", low).withColumn("_high", high)
+    out = df.withColumns({"_low": low, "_high": high})
     # the pairs in an array of all positions
     zeros = F.transform(F.sequence("_low", "_high"), lambda i: F.struct(i.alias("p"), F.lit(0).cast("bigint").alias("d")))
     out = out.withColumn("_all", F.concat(F.col(pair_column), zeros).cast(PAIR))
     spots = F.transform(F.sequence("_low", "_high"), lambda i: F.aggregate(
         F.col("_all"), F.lit(0).cast("bigint"), lambda acc, x: acc + F.when(x["p"] == i, x["d"]).otherwise(F.lit(0).cast("bigint"))))
-    out = _rounded(out.withColumn("_dense", spots).drop("_all"), total)
+    out = _rounded(out, {total: (spots, F.col("_high"), exact)}).drop("_all")
     if exact is not None:
-        signed = F.transform("_signed", lambda d, i: F.struct((F.col("_low") + i).cast("int").alias("p"), d.alias("d")))
+        signed = F.transform(exact, lambda d, i: F.struct((F.col("_low") + i).cast("int").alias("p"), d.alias("d")))
         out = out.withColumn(exact, F.filter(signed, lambda x: x["d"] != 0).cast(PAIR))
-    return out.drop("_low", "_high", "_signed")
-
-
-def _rounded(df: DataFrame, total: str) -> DataFrame:
-    """From the integers ``_dense`` at positions ``_low`` to ``_high``: ``total``, and ``_signed``, the same number as carried digits."""
-    out = df.withColumn("_carried", _carry(F.col("_dense")))
-    out = out.withColumn("_minus", F.col("_carried.c") < 0)
-    flipped = _carry(F.transform("_dense", lambda d: -d))["d"]
-    out = out.withColumn("_digits", F.when(F.col("_minus"), flipped).otherwise(F.col("_carried.d")))
-    out = out.withColumn("_signed", F.when(F.col("_minus"), F.transform("_digits", lambda d: -d)).otherwise(F.col("_digits")))
-    out = out.withColumn("_top", F.aggregate(F.reverse("_digits"), _top_start(F.col("_high")), _top_step))
+    return out.drop("_low", "_high")
+
+
+def _rounded(df: DataFrame, totals: dict[str, tuple[Column, Column, str | None]]) -> DataFrame:
+    """For each total its double, from (integers lowest position first, highest position, name of the carried digits or None).
+    Every step is a projection of its own, so that nothing is computed twice."""
+    n = {out: f"_{k}" for k, out in enumerate(totals)}
+    step = df.withColumns({f"_dense{n[out]}": dense for out, (dense, _, _) in totals.items()})
+    step = step.withColumns({f"_carried{k}": _carry(F.col(f"_dense{k}")) for k in n.values()})
+    step = step.withColumns({f"_digits{k}": F.when(F.col(f"_carried{k}.c") < 0, _carry(F.transform(f"_dense{k}", lambda d: -d))["d"])
+                             .otherwise(F.col(f"_carried{k}.d")) for k in n.values()})
+    made = {f"_top{n[out]}": F.aggregate(F.reverse(f"_digits{n[out]}"), _top_start(high), _top_step) for out, (_, high, _) in totals.items()}
+    for out, (_, _, exact) in totals.items():
+        if exact is not None:
+            minus = F.col(f"_carried{n[out]}.c") < 0
+            made[exact] = F.when(minus, F.transform(f"_digits{n[out]}", lambda d: -d)).otherwise(F.col(f"_digits{n[out]}"))
+    step = step.withColumns(made)
+    step = step.withColumns({out: _nearest(F.col(f"_top{k}"), F.col(f"_carried{k}.c") < 0) for out, k in n.items()})
+    return step.drop(*[f"_{name}{k}" for name in ("dense", "carried", "digits", "top") for k in n.values()])
+
+
+def _nearest(top: Column, minus: Column) -> Column:
+    """The double nearest to a number from its first four digits (at position ``p``) and whether more follow."""
+    lead, tail = top["v0"] * (1 << BITS) + top["v1"], top["v2"] * (1 << BITS) + top["v3"]
     # 62 leading bits, the last one set if anything follows; long to double rounds to nearest, ties to even
-    lead, tail = F.col("_top.v0") * (1 << BITS) + F.col("_top.v1"), F.col("_top.v2") * (1 << BITS) + F.col("_top.v3")
-    out = out.withColumn("_lead", lead).withColumn("_tail", tail)
-    out = out.withColumn("_shift", F.lit(62) - F.length(F.bin("_lead")))
-    below = F.lit(2 * BITS) - F.col("_shift")
-    kept = F.call_function("shiftleft", F.col("_lead"), F.col("_shift")) + F.call_function("shiftright", F.col("_tail"), below)
-    lost = (F.pmod(F.col("_tail"), F.call_function("shiftleft", F.lit(1).cast("bigint"), below)) != 0) | F.col("_top.more")
+    shift = F.lit(62) - F.length(F.bin(lead))
+    below = F.lit(2 * BITS) - shift
+    kept = F.call_function("shiftleft", lead, shift) + F.call_function("shiftright", tail, below)
+    lost = (F.pmod(tail, F.call_function("shiftleft", F.lit(1).cast("bigint"), below)) != 0) | top["more"]
     whole = kept.bitwiseOR(F.when(lost, F.lit(1)).otherwise(F.lit(0)).cast("bigint")).cast("double")
-    value = _scaled(whole, (F.col("_top.p") - 1) * BITS - F.col("_shift"))
-    value = F.when(F.col("_top.n") == 0, F.lit(0.0)).when(F.col("_minus"), -value).otherwise(value)
-    return out.withColumn(total, value).drop("_dense", "_carried", "_minus", "_digits", "_top", "_lead", "_tail", "_shift")
+    value = _scaled(whole, (top["p"] - 1) * BITS - shift)
+    return F.when(top["n"] == 0, F.lit(0.0)).when(minus, -value).otherwise(value)
 
 
 # ---------------------------------------------------------------------------
@@ -156,19 +167,33 @@ def window_sums(prefix: str, where: Column | None = None, out: str | None = None
 
 
 def with_window_total(df: DataFrame, prefix: str, total: str, exact: str | None = None) -> DataFrame:
-    """``df`` with ``total``, the double nearest to the exact sum in the columns of :func:`window_sums`, in place of these, and, if wanted,
-    ``exact``: the same number as an array of TOTAL carried digits, to be added to others position by position."""
-    zero = F.lit(0).cast("bigint")
-    names = digit_names(prefix, WINDOW)
-    dense = F.array(*[F.coalesce(F.col(c).cast("bigint"), zero) for c in reversed(names)], *[zero] * _ROOM)
-    return _of_window(df.withColumn("_dense", dense).drop(*names), total, exact)
+    """:func:`with_window_totals` of one sum."""
+    return with_window_totals(df, {prefix: (total, exact)})
 
 
-def with_total_of_totals(df: DataFrame, prefix: str, total: str) -> DataFrame:
-    """``df`` with ``total`` from the columns of :func:`total_sums`, in place of these."""
-    zero = F.lit(0).cast("bigint")
-    names = digit_names(prefix, TOTAL)
-    return _of_window(df.withColumn("_dense", F.array(*[F.coalesce(F.col(c), zero) for c in names], *[zero] * _ROOM)).drop(*names), total, None)
+def with_window_totals(df: DataFrame, wanted: dict[str, tuple[str, str | None]]) -> DataFrame:
+    """For each prefix (total, exact): ``total``, the double nearest to the exact sum in the columns of :func:`window_sums`, in place of
+    these, and, if wanted, ``exact``: the same number as an array of TOTAL carried digits, to be added to others position by position."""
+    top = F.lit(_WINDOW_TOP + _ROOM)
+    totals = {total: (F.array(*[_long(c) for c in reversed(digit_names(prefix, WINDOW))], *[_zero()] * _ROOM), top, exact)
+              for prefix, (total, exact) in wanted.items()}
+    return _rounded(df, totals).drop(*[c for prefix in wanted for c in digit_names(prefix, WINDOW)])
+
+
+def with_totals_of_totals(df: DataFrame, wanted: dict[str, str]) -> DataFrame:
+    """For each prefix its total, from the columns of :func:`total_sums` and in place of these."""
+    top = F.lit(_WINDOW_TOP + 2 * _ROOM)
+    totals = {total: (F.array(*[_long(c) for c in digit_names(prefix, TOTAL)], *[_zero()] * _ROOM), top, None)
+              for prefix, total in wanted.items()}
+    return _rounded(df, totals).drop(*[c for prefix in wanted for c in digit_names(prefix, TOTAL)])
+
+
+def _zero() -> Column:
+    return F.lit(0).cast("bigint")
+
+
+def _long(c: str) -> Column:
+    return F.coalesce(F.col(c).cast("bigint"), _zero())
 
 
 def total_sums(exact: str, prefix: str, minus: str | None = None) -> list[Column]:
@@ -177,14 +202,6 @@ def total_sums(exact: str, prefix: str, minus: str | None = None) -> list[Column
     return [F.sum(at(i)).alias(f"{prefix}{i}") for i in range(TOTAL)]
 
 
-def _of_window(df: DataFrame, total: str, exact: str | None) -> DataFrame:
-    low = _WINDOW_TOP - WINDOW + 1
-    out = _rounded(df.withColumn("_high", F.lit(low - 1) + F.size("_dense")), total)
-    if exact is not None:
-        out = out.withColumn(exact, F.col("_signed"))
-    return out.drop("_high", "_signed")
-
-
 def _top_start(high: Column) -> Column:
     zero = F.lit(0).cast("bigint")
     return F.struct(F.lit(0).alias("n"), high.alias("p"), zero.alias("v0"), zero.alias("v1"), zero.alias("v2"), zero.alias("v3"), F.lit(False).alias("more"))

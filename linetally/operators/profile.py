@@ -132,9 +132,9 @@ def amount_sums(exact: bool, where: Column | None = None, out: str = "amount") -
     return [F.sum(amount).alias(out)]
 
 
-def finish_amount(df: DataFrame, exact: bool, out: str = "amount", digits: str | None = None) -> DataFrame:
-    """``df`` with the rounded ``out`` (and the sum before rounding, as ``digits``) from :func:`amount_sums`."""
-    return exact_sum.with_window_total(df, _DIGITS if out == "amount" else f"_{out}", out, digits) if exact else df
+def finish_amount(df: DataFrame, exact: bool) -> DataFrame:
+    """``df`` with the rounded ``amount`` from :func:`amount_sums`."""
+    return exact_sum.with_window_total(df, _DIGITS, "amount") if exact else df
 
 
 def line_measures(exact: bool) -> list[Column]:
@@ -192,7 +192,9 @@ def merge_categories(per_category: DataFrame, sentinel: str = UNDEFINED_CATEGORY
 
 def finished_groups(merged: DataFrame, exact: bool) -> DataFrame:
     """The columns of :func:`text_groups` from the sums and ``rep`` (id, category, quartil of the representative row)."""
-    merged = finish_amount(finish_amount(merged, exact, digits="amount_exact"), exact, "undefined_amount", "undefined_exact")
+    if exact:
+        merged = exact_sum.with_window_totals(merged, {_DIGITS: ("amount", "amount_exact"),
+                                                       "_undefined_amount": ("undefined_amount", "undefined_exact")})
     return merged.select(
         "text",
         "cnt",
@@ -231,9 +233,7 @@ def _finish_totals(t: DataFrame, groups: DataFrame) -> DataFrame:
     if "amount_exact" not in groups.columns:
         zero = F.lit(0)
         return t.withColumn("categorised_amount", F.coalesce("total_amount", zero) - F.coalesce("undefined_amount", zero))
-    for prefix, out in (("_a", "total_amount"), ("_u", "undefined_amount"), ("_c", "categorised_amount")):
-        t = exact_sum.with_total_of_totals(t, prefix, out)
-    return t
+    return exact_sum.with_totals_of_totals(t, {"_a": "total_amount", "_u": "undefined_amount", "_c": "categorised_amount"})
 
 
 def totals_from_groups(groups: DataFrame) -> DataFrame:

@@ -77,7 +77,7 @@ def test_window_sums_and_their_totals(spark, partitions):
     df = exact_sum.windowed(spark.createDataFrame(rows, "g int, x double").repartition(partitions), "x", "_x")
     groups = exact_sum.with_window_total(df.groupBy("g").agg(*exact_sum.window_sums("_x")), "_x", "s", "e")
     assert {x["g"]: _bits(x["s"]) for x in groups.collect()} == {g: _bits(math.fsum(x for k, x in rows if k == g)) for g in range(11)}
-    whole = exact_sum.with_total_of_totals(groups.agg(*exact_sum.total_sums("e", "_t")), "_t", "t")
+    whole = exact_sum.with_totals_of_totals(groups.agg(*exact_sum.total_sums("e", "_t")), {"_t": "t"})
     assert _bits(whole.first()["t"]) == _bits(math.fsum(x for _, x in rows))
     with pytest.raises(Exception, match="outside the range"):
         exact_sum.windowed(spark.createDataFrame([(1e200,)], "x double"), "x", "_x").collect()

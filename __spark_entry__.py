@@ -274,6 +274,37 @@ def q_text_counts_fractions(spark, sf_dir):
     return prof.text_counts(lines).withColumn("amount", F.round("amount", 6))
 
 
+def _repeated(spark, sf_dir):
+    """Lines whose ids repeat: one id in a third of all lines, others twice; percentages partly out of range; amounts of many binary places."""
+    lines = _lines(spark, sf_dir)
+    return lines.withColumns({
+        "row_id": F.when(F.col("row_id") % 3 == 0, F.lit(7)).otherwise(F.floor(F.col("row_id") / 2)),
+        "category_pct": F.col("category_pct") * 3 - 50, "amount": F.col("amount") / 7})
+
+
+def q_text_representative_repeated(spark, sf_dir):
+    groups = prof.text_groups(_repeated(spark, sf_dir))
+    return groups.select("text", "first_id", "category", F.col("quartil").alias("category_percentual_quartil"))
+
+
+def q_text_ids_repeated(spark, sf_dir):
+    return text_id_chunks(_repeated(spark, sf_dir), span=16)
+
+
+def q_profile_doubles(spark, sf_dir):
+    """Sums of plain doubles, exact and rounded once."""
+    return prof.text_profile(_repeated(spark, sf_dir), compat=False).select("text", "count", "amount", "percentual_amount")
+
+
+def q_totals_doubles(spark, sf_dir):
+    return prof.text_totals(_repeated(spark, sf_dir))
+
+
+def q_client_lists_strings(spark, sf_dir):
+    lines = _lines(spark, sf_dir).withColumn("user_id", F.concat(F.lit("u"), F.col("user_id").cast("string")))
+    return client_report(lines, CENTS, span=16)[1]
+
+
 def q_client_profile_nulls(spark, sf_dir):
     """Lines without institution are a group like any other; user ids are strings."""
     lines = _lines(spark, sf_dir)
@@ -319,6 +350,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "report_ids": q_report_ids,
         "text_counts_fractions": q_text_counts_fractions,
         "client_profile_nulls": q_client_profile_nulls,
+        "text_representative_repeated": q_text_representative_repeated,
+        "text_ids_repeated": q_text_ids_repeated,
+        "profile_doubles": q_profile_doubles,
+        "totals_doubles": q_totals_doubles,
+        "client_lists_strings": q_client_lists_strings,
     }
     if llm_queries is not None:
         own |= llm_queries.queries()
@@ -432,6 +468,25 @@ FROM (SELECT {keys}, {ident}, chunk,
 GROUP BY ALL"""
 
 
+_REPEATED = f"""repeated AS (
+  SELECT {_clean_sql('text')} AS text, CASE WHEN row_id % 3 = 0 THEN 7 ELSE row_id // 2 END AS row_id, amount / 7 AS amount, category,
+         {_BUCKET.format(p='(category_pct * 3 - 50)')} AS quartil
+  FROM lines
+  WHERE row_id IS NOT NULL AND amount IS NOT NULL AND text IS NOT NULL AND category IS NOT NULL)"""
+
+
+def _exact_double(units: str) -> str:
+    """The double nearest to a HUGEINT number of units of 2^-62: its leading 60 bits, the last one set if anything follows, and then the power."""
+    size = f"abs({units})"
+    drop = f"greatest(0, CAST(floor(log2(greatest({size}, 1))) AS INTEGER) - 59)"
+    lead = f"CAST({size} // (CAST(1 AS HUGEINT) << {drop}) AS BIGINT)"
+    more = f"CASE WHEN {size} % (CAST(1 AS HUGEINT) << {drop}) <> 0 THEN 1 ELSE 0 END"
+    return f"CAST(sign({units}) AS DOUBLE) * CAST({lead} | {more} AS DOUBLE) * pow(2.0, {drop} - 62)"
+
+
+#: amounts of the test tables over 7 are 0 or at least 2^-9, so all their bits are whole units of 2^-62
+_UNITS = "CAST(amount * 4611686018427387904.0 AS HUGEINT)"
+
 _CLIENT_LINES = f"""cl AS (
   SELECT {_clean_sql('text')} AS text, institution, user_id, category, row_id, CAST(amount AS DECIMAL(18,2)) AS amount
   FROM lines
@@ -519,6 +574,33 @@ SELECT text, CASE WHEN row_id % 3 <> 0 THEN institution END AS institution, coun
        CAST(sum(amount) AS DOUBLE) AS value, arg_min(category, row_id) AS category,
        count(DISTINCT user_id) AS count_clients
 FROM cl WHERE text <> '' GROUP BY 1, 2""",
+        "text_representative_repeated": f"""WITH {_LINES},
+{_REPEATED}
+SELECT text, row_id AS first_id, category, quartil AS category_percentual_quartil
+FROM (SELECT *, row_number() OVER (PARTITION BY text ORDER BY row_id, category, quartil) AS n FROM repeated) WHERE n = 1""",
+        "text_ids_repeated": f"""WITH {_LINES},
+{_REPEATED}
+{_id_chunks_sql("repeated WHERE text <> ''", "text", "row_id", "row_ids", 16)}""",
+        "profile_doubles": f"""WITH {_LINES},
+{_REPEATED},
+sums AS (SELECT text, count(*) AS "count", sum({_UNITS}) AS units FROM repeated GROUP BY text),
+whole AS (SELECT {_exact_double('sum(units)')} AS total FROM sums)
+SELECT text, "count", {_exact_double('units')} AS amount, {_exact_double('units')} / total AS percentual_amount
+FROM sums, whole WHERE text <> ''""",
+        "totals_doubles": f"""WITH {_LINES},
+{_REPEATED},
+t AS (SELECT count(*) AS n, count(*) FILTER (WHERE category = '{UNDEFINED_CATEGORY}') AS u, sum({_UNITS}) AS s,
+             coalesce(sum({_UNITS}) FILTER (WHERE category = '{UNDEFINED_CATEGORY}'), 0) AS us, count(DISTINCT text) AS texts FROM repeated)
+SELECT n AS total_count, {_exact_double('s')} AS total_amount, u AS undefined_count, {_exact_double('us')} AS undefined_amount,
+       n - u AS categorised_count, {_exact_double('(s - us)')} AS categorised_amount, texts AS unique_texts
+FROM t""",
+        "client_lists_strings": f"""WITH {_LINES},
+{_CLIENT_LINES},
+ids AS (SELECT DISTINCT text, institution, 'u' || user_id AS u FROM cl WHERE text <> ''),
+placed AS (SELECT *, (row_number() OVER (PARTITION BY text, institution ORDER BY u) - 1) // 16 AS chunk FROM ids)
+SELECT text, institution, chunk, CAST(0 AS BIGINT) AS part, min(u) AS first_id, max(u) AS last_id, count(*) AS n_ids,
+       string_agg(u, '|' ORDER BY u) AS clients
+FROM placed GROUP BY text, institution, chunk""",
         "client_lists": f"""WITH {_LINES},
 {_CLIENT_LINES}
 {_id_chunks_sql("(SELECT DISTINCT text, institution, user_id FROM cl WHERE text <> '')", "text, institution", "user_id", "clients")}""",

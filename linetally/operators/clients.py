@@ -26,7 +26,7 @@ from ..functions.buckets import money, to_double
 from ..functions.text import clean_text
 from ..schema import DEFAULT_ID_SPAN, LineColumns
 from ..session import materialize as _materialize
-from .idlists import id_chunks
+from .idlists import id_chunks, ranked_id_chunks
 from .profile import DEFAULT_COLUMNS, amount_sums, finish_amount, gate, is_exact, summable
 
 
@@ -76,11 +76,15 @@ def client_profile(lines: DataFrame, cols: LineColumns = DEFAULT_COLUMNS, keep_e
 
 
 def client_lists(reduced: DataFrame, span: int = DEFAULT_ID_SPAN, keep_empty: bool = False) -> DataFrame:
-    """Distinct (integer) user ids per (text, institution) as chunks of at most ``span``
-    ids: ``text``, ``institution``, ``chunk``, ``first_id``, ``last_id``,
-    ``n_ids``, ``clients``."""
+    """Distinct user ids per (text, institution) as chunks of at most ``span``
+    ids: ``text``, ``institution``, ``chunk``, ``part``, ``first_id``, ``last_id``,
+    ``n_ids``, ``clients``. Integer ids are cut by value (:func:`.idlists.id_chunks`), ids of any
+    other type by position in their order (:func:`.idlists.ranked_id_chunks`, an action)."""
     r = reduced if keep_empty else reduced.where(F.col("text") != F.lit(""))
-    return id_chunks(r, ["text", "institution"], "user_id", span, "clients", distinct=True)
+    keys = ["text", "institution"]
+    if isinstance(reduced.schema["user_id"].dataType, T.IntegralType):
+        return id_chunks(r, keys, "user_id", span, "clients", distinct=True)
+    return ranked_id_chunks(r, keys, "user_id", span, "clients")
 
 
 def client_report(lines: DataFrame, cols: LineColumns = DEFAULT_COLUMNS, span: int = DEFAULT_ID_SPAN,

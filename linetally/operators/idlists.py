@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import DEFAULT_ID_SPAN, ID_SEPARATOR, LineColumns
+from ..session import materialize
 from .profile import DEFAULT_COLUMNS, prepared_lines
 
 
@@ -50,9 +51,11 @@ def id_chunks(
     large share of the rows: occurrences are first counted per (group, id),
     a window over (group, id range), which never holds more than ``span``
     distinct ids, gives each id its start position in the range, and the
-    range is cut into parts of ``span`` positions (a heavily repeated id
-    spans several parts). Concatenating a group's cells in (chunk, part)
-    order gives the full list.
+    range is cut into parts of ``span`` positions. Parts that several ids share, or that
+    an id fills only in part, are put together by group and range, at most two for an
+    id. A part that one id fills whole needs no grouping: these are numbered in steps of :data:`FAN` and dealt to tasks by part,
+    so neither an array nor a task grows with the repeats of an id. Concatenating a
+    group's cells in (chunk, part) order gives the full list.
     """
     if span < 1:
         raise ValueError("span must be >= 1")
@@ -64,25 +67,82 @@ def id_chunks(
     occ = occ.withColumn("chunk", chunk_of(F.col("_id"), span))
     in_range = Window.partitionBy(*keys, "chunk").orderBy("_id").rowsBetween(Window.unboundedPreceding, -1)
     s = F.lit(int(span)).cast(T.LongType())
-    start = F.coalesce(F.sum("_m").over(in_range), F.lit(0).cast(T.LongType()))
-    placed = occ.withColumn("_start", start).withColumn(
-        "part",
-        F.explode(F.sequence(F.call_function("div", F.col("_start"), s),
-                             F.call_function("div", F.col("_start") + F.col("_m") - 1, s))),
-    )
-    reps = F.least(F.col("_start") + F.col("_m"), (F.col("part") + 1) * s) - F.greatest(F.col("_start"), F.col("part") * s)
-    cells = placed.withColumn("_reps", reps).groupBy(*keys, "chunk", "part").agg(
+    start, end = F.col("_start"), F.col("_start") + F.col("_m")
+    placed = occ.withColumn("_start", F.coalesce(F.sum("_m").over(in_range), F.lit(0).cast(T.LongType())))
+    # parts from the first to before the second hold this id alone
+    placed = placed.withColumns({"_whole": F.call_function("div", start + s - 1, s), "_until": F.call_function("div", end, s)})
+    ends = F.array_distinct(F.array(F.call_function("div", start, s), F.call_function("div", end - 1, s)))
+    shared = placed.withColumn("part", F.explode(F.filter(ends, lambda p: (p < F.col("_whole")) | (p >= F.col("_until")))))
+    reps = F.least(end, (F.col("part") + 1) * s) - F.greatest(start, F.col("part") * s)
+    cells = shared.withColumn("_reps", reps).groupBy(*keys, "chunk", "part").agg(
         F.min("_id").alias("first_id"),
         F.max("_id").alias("last_id"),
         F.sum("_reps").alias("n_ids"),
         F.array_sort(F.collect_list(F.struct("_id", "_reps"))).alias("_runs"),
     )
     listed = F.flatten(F.transform("_runs", lambda r: F.array_repeat(r["_id"].cast(T.StringType()), r["_reps"].cast(T.IntegerType()))))
-    return cells.select(
+    cells = cells.select(
         *keys, "chunk", "part", "first_id", "last_id",
         F.col("n_ids").cast(T.LongType()).alias("n_ids"),
         F.array_join(listed, ID_SEPARATOR).alias(out_col),
     )
+    if distinct:
+        return cells  # no id fills a part alone, unless span is 1, and then it is at its end
+    return cells.unionByName(_filled_parts(placed, keys, span, out_col))
+
+
+#: Numbers made at a time from one row, so that no array grows with the data.
+FAN = 1024
+
+
+def _filled_parts(placed: DataFrame, keys: Sequence[str], span: int, out_col: str) -> DataFrame:
+    """Cells of the parts that one id fills, from its row: numbered in three steps and dealt to all tasks, first by block of parts, then by part."""
+    tasks = int(placed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def numbers(n):
+        return F.explode(F.sequence(F.lit(0).cast(T.LongType()), n - 1))
+
+    def blocks(n, size):
+        return F.call_function("div", n + size - 1, F.lit(size).cast(T.LongType()))
+
+    rows = placed.where(F.col("_until") > F.col("_whole")).select(*keys, "chunk", "_id", F.col("_whole").alias("_from"), (F.col("_until") - F.col("_whole")).alias("_n"))
+    for size in (FAN * FAN, FAN):
+        rows = rows.withColumn("_b", numbers(blocks(F.col("_n"), size))).select(
+            *keys, "chunk", "_id", (F.col("_from") + F.col("_b") * size).alias("_from"),
+            F.least(F.lit(size).cast(T.LongType()), F.col("_n") - F.col("_b") * size).alias("_n"))
+    # few rows that become much text: a number of tasks of our own, as AQE would merge them by their present size
+    rows = rows.repartition(tasks, *keys, "chunk", "_from").withColumn("_b", numbers(F.col("_n")))
+    rows = rows.select(*keys, "chunk", (F.col("_from") + F.col("_b")).alias("part"), "_id").repartition(tasks, *keys, "chunk", "part")
+    text = F.array_join(F.array_repeat(F.col("_id").cast(T.StringType()), span), ID_SEPARATOR)
+    return rows.select(*keys, "chunk", "part", F.col("_id").alias("first_id"), F.col("_id").alias("last_id"),
+                       F.lit(int(span)).cast(T.LongType()).alias("n_ids"), text.alias(out_col))
+
+
+def ranked_id_chunks(df: DataFrame, keys: Sequence[str], id_col: str, span: int = DEFAULT_ID_SPAN, out_col: str = "clients") -> DataFrame:
+    """The different ids of each group in chunks of ``span`` by *position*, for ids of any type that can be sorted
+    (strings, say, which no range of numbers can cut). Columns as of :func:`id_chunks`; ``part`` is 0.
+
+    The (group, id) pairs are range-sorted and written, so a group with a third of the ids is spread over tasks; counts for each range and
+    group give the position at which the group goes on in a range. Actions: that sort and its write."""
+    if span < 1:
+        raise ValueError("span must be >= 1")
+    by = [*keys, "_id"]
+    pairs = df.select(*keys, F.col(id_col).alias("_id")).where(F.col("_id").isNotNull()).distinct()
+    pairs = pairs.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("_at", F.monotonically_increasing_id())
+    pairs = materialize(pairs, "ranked-ids").withColumn("_part", F.shiftright("_at", 33))
+    counts = pairs.groupBy("_part", *keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
+    before = F.sum("_n").over(Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    # one row a range and group; null is a group key like any other
+    shifts = counts.select(F.col("_part").alias("_p"), *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
+                           (F.coalesce(before, F.lit(0)) - F.col("_first")).alias("_shift"))
+    same = F.col("_part") == F.col("_p")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    placed = pairs.join(shifts, same).select(*by, chunk_of(F.col("_at") + F.col("_shift"), span).alias("chunk"))
+    cells = placed.groupBy(*keys, "chunk").agg(F.array_sort(F.collect_list("_id")).alias("_ids"))
+    text = F.array_join(F.transform("_ids", lambda x: x.cast(T.StringType())), ID_SEPARATOR)
+    return cells.select(*keys, "chunk", F.lit(0).cast(T.LongType()).alias("part"), F.element_at("_ids", 1).alias("first_id"),
+                        F.element_at("_ids", -1).alias("last_id"), F.size("_ids").cast(T.LongType()).alias("n_ids"), text.alias(out_col))
 
 
 def text_id_chunks(

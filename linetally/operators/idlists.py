@@ -62,8 +62,11 @@ def id_chunks(
     ident = F.col(id_col).cast(T.LongType())
     base = df.select(*keys, ident.alias("_id")).where(F.col("_id").isNotNull())
     occ = base.groupBy(*keys, "_id").agg(F.count(F.lit(1)).alias("_m"))
-    if distinct:
-        occ = occ.withColumn("_m", F.lit(1).cast(T.LongType()))
+    return cells_of(occ.withColumn("_m", F.lit(1).cast(T.LongType())) if distinct else occ, keys, span, out_col)
+
+
+def cells_of(occ: DataFrame, keys: Sequence[str], span: int, out_col: str) -> DataFrame:
+    """The cells of :func:`id_chunks` from one row for each group and id (``_id``) with the number of its occurrences (``_m``)."""
     occ = occ.withColumn("chunk", chunk_of(F.col("_id"), span))
     in_range = Window.partitionBy(*keys, "chunk").orderBy("_id").rowsBetween(Window.unboundedPreceding, -1)
     s = F.lit(int(span)).cast(T.LongType())
@@ -86,8 +89,6 @@ def id_chunks(
         F.col("n_ids").cast(T.LongType()).alias("n_ids"),
         F.array_join(listed, ID_SEPARATOR).alias(out_col),
     )
-    if distinct:
-        return cells  # no id fills a part alone, unless span is 1, and then it is at its end
     return cells.unionByName(_filled_parts(placed, keys, span, out_col))
 
 

@@ -160,18 +160,6 @@ def first_bucket() -> Column:
     return F.coalesce(*[F.when(F.col(c) == F.col("first_id"), F.lit(b)) for b, c in zip(BUCKETS, _FIRST_IN)])
 
 
-def merged_measures(exact: bool) -> list[Column]:
-    """The same measures re-aggregated from rows of :func:`line_measures`
-    (for a coarser key)."""
-    return [
-        F.sum("cnt").alias("cnt"),
-        *amount_sums(exact),
-        F.min("first_id").alias("first_id"),
-        *[F.min(c).alias(c) for c in _FIRST_IN],
-        *[F.sum(c).alias(c) for c in DAY_PART_COUNTS],
-    ]
-
-
 def merge_categories(per_category: DataFrame, sentinel: str = UNDEFINED_CATEGORY) -> DataFrame:
     """From one row per (text, category) of :func:`line_measures` to one row
     per text, choosing the representative row (least id; among rows sharing

@@ -1,35 +1,30 @@
 """Text profile and row-id lists from one scan (A7 + A18 together).
 
 The original built the id list inside the same aggregation as the profile.
-:func:`text_report` does the same in one pass over the source: it
-aggregates by (text, category, id range), keeping the profile's measures and
-the distinct ids of that range. That frame (at most ``span`` ids per cell,
-no larger than the id column itself) is written once to the shared folder;
-the profile, the totals and the id chunks are then all derived from it, so
-the source is scanned once (when row ids are unique within each text; see
-:meth:`TextReport.id_chunks`). Use :func:`linetally.operators.profile.text_profile` when the
-ids are not needed: without the id lists its first aggregate is a plain hash
-aggregate and much cheaper.
+:func:`text_report` does the same in one pass over the source. Every line counts twice: for the
+measures of its (text, category), and as an occurrence of its (text, id). Both
+are rows of one hash aggregate with numeric buffers, whose result is written once to the shared folder: the
+measures by (text, category), and how often each id occurs under each text. The profile, the totals and the id
+chunks are then all derived from it, and the source is scanned once, also when ids
+repeat. Use :func:`linetally.operators.profile.text_profile` when the
+ids are not needed: it shuffles no ids.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..schema import DEFAULT_ID_SPAN, ID_SEPARATOR, UNDEFINED_CATEGORY, LineColumns
+from ..schema import DEFAULT_ID_SPAN, UNDEFINED_CATEGORY, LineColumns
 from ..session import materialize as _materialize
-from .idlists import chunk_of, text_id_chunks
+from .idlists import cells_of
 from .profile import (
     DEFAULT_COLUMNS,
     is_exact,
     line_measures,
     merge_categories,
-    merged_measures,
     prepared_lines,
     profile_from_groups,
     summable,
@@ -37,18 +32,23 @@ from .profile import (
 )
 
 
+_MEASURES, _IDS = 0, 1
+
+
 @dataclass
 class TextReport:
-    fine: DataFrame  # one row per (text, category, chunk): measures + distinct ids
+    fine: DataFrame  # one row per (text, category) with measures, and one per (text, id) with its occurrences
     span: int
-    exact_ids: Callable[[bool], DataFrame]  # the id chunks by a second scan (fallback), given keep_empty
     sentinel: str = UNDEFINED_CATEGORY
+    materialize: bool = True
+    _groups: DataFrame | None = None
 
     def groups(self) -> DataFrame:
-        """One row per text, as :func:`.profile.text_groups`."""
-        exact = "amount" not in self.fine.columns
-        per_category = self.fine.groupBy("text", "category").agg(*merged_measures(exact))
-        return merge_categories(per_category, self.sentinel)
+        """One row per text, as :func:`.profile.text_groups`; written when first asked for, so that profile and totals share it."""
+        if self._groups is None:
+            groups = merge_categories(self.fine.where(F.col("_kind") == _MEASURES).drop("_kind", "_id"), self.sentinel)
+            self._groups = _materialize(groups, "report-groups") if self.materialize else groups
+        return self._groups
 
     def profile(self, compat: bool = True, round_to: int | None = None) -> DataFrame:
         return profile_from_groups(self.groups(), compat, round_to)
@@ -58,31 +58,11 @@ class TextReport:
 
     def id_chunks(self, keep_empty: bool = False) -> DataFrame:
         """As :func:`.idlists.text_id_chunks`: ``text``, ``chunk``, ``part``,
-        ``first_id``, ``last_id``, ``n_ids``, ``row_ids``.
-
-        From the report's frame when row ids are unique within each text
-        (then every id range of a text holds at most ``span`` ids and
-        ``part`` is 0). That is checked with one small aggregate over the
-        report's frame (an action); if some id repeats within a text, the
-        chunks come from :func:`.idlists.text_id_chunks` instead (a second
-        scan), which keeps every repeat and every cell bounded.
-        """
-        f = self.fine if keep_empty else self.fine.where(F.col("text") != F.lit(""))
-        per_range = f.groupBy("text", "chunk").agg(F.sum("cnt").alias("_n"), F.sum(F.size("ids")).alias("_k"))
-        repeats = per_range.where((F.col("_n") != F.col("_k")) | (F.col("_k") > F.lit(self.span)))
-        if not repeats.isEmpty():
-            return self.exact_ids(keep_empty)
-        ids = F.array_sort(F.flatten(F.collect_list("ids")))
-        chunks = f.groupBy("text", "chunk").agg(ids.alias("_ids"))
-        return chunks.select(
-            "text",
-            "chunk",
-            F.lit(0).cast(T.LongType()).alias("part"),
-            F.element_at("_ids", 1).alias("first_id"),
-            F.element_at("_ids", -1).alias("last_id"),
-            F.size("_ids").cast(T.LongType()).alias("n_ids"),
-            F.array_join(F.transform("_ids", lambda x: x.cast(T.StringType())), ID_SEPARATOR).alias("row_ids"),
-        )
+        ``first_id``, ``last_id``, ``n_ids``, ``row_ids``."""
+        occurrences = self.fine.where(F.col("_kind") == _IDS).select("text", "_id", F.col("cnt").alias("_m"))
+        if not keep_empty:
+            occurrences = occurrences.where(F.col("text") != F.lit(""))
+        return cells_of(occurrences, ["text"], self.span, "row_ids")
 
 
 def text_report(
@@ -93,16 +73,16 @@ def text_report(
     sentinel: str = UNDEFINED_CATEGORY,
     materialize: bool = True,
 ) -> TextReport:
-    """Aggregate ``lines`` once by (text, category, id range) and, when
+    """Aggregate ``lines`` once, by (text, category) and by (text, id), and, when
     ``materialize`` (an action), write that frame to the shared folder."""
-    p = summable(prepared_lines(lines, cols, strict), cols)
-    # collect_set: at most `span` ids per cell, whatever the data.
-    fine = p.groupBy("text", "category", chunk_of(F.col("row_id"), span).alias("chunk")).agg(
-        *line_measures(is_exact(cols)), F.collect_set("row_id").alias("ids")
-    )
+    if span < 1:
+        raise ValueError("span must be >= 1")
+    p = summable(prepared_lines(lines, cols, strict), cols).withColumn("_kind", F.explode(F.array(F.lit(_MEASURES), F.lit(_IDS))))
+    as_id = F.col("_kind") == _IDS
+    # an occurrence has no measures, and a measured line no id
+    p = p.withColumn("_id", F.when(as_id, F.col("row_id")))
+    p = p.withColumns({c: F.when(~as_id, F.col(c)) for c in p.columns if c not in ("_kind", "_id", "text")})
+    fine = p.groupBy("_kind", "text", "category", "_id").agg(*line_measures(is_exact(cols)))
     if materialize:
         fine = _materialize(fine, "text-report")
-    def exact_ids(keep_empty: bool) -> DataFrame:
-        return text_id_chunks(lines, cols, span, keep_empty=keep_empty, strict=strict)
-
-    return TextReport(fine, span, exact_ids, sentinel)
+    return TextReport(fine, span, sentinel, materialize)

@@ -19,6 +19,7 @@ from ..operators import pareto as _pareto
 from ..operators import profile as _profile
 from ..operators.extract import filter_rows
 from ..schema import PARETO_SHARE, UNDEFINED_CATEGORY, LineColumns
+from ..session import materialize
 from ..sources import sinks
 from ..sources.tables import row_count, scan
 
@@ -85,8 +86,13 @@ def extract_job(spark: SparkSession, source: Source, column: str, kind: str = "i
                 values: Sequence[str | float] | None = None, output_table: str | None = None,
                 delimited_path: str | None = None) -> DataFrame:
     """Filtered extract (P10): the filtered rows, appended to
-    ``output_table`` and/or written as ``|``-delimited text when given."""
+    ``output_table`` and/or written as ``|``-delimited text when given. With an output, the rows are
+    first written to the shared folder, and every output and the returned frame come from that copy: the source is
+    scanned once, and all hold the same rows, also under a limit without an order. A
+    :class:`linetally.session.Scratch` around the call owns the copy and deletes it."""
     rows = filter_rows(source.load(spark), column, kind, values)
+    if output_table or delimited_path:
+        rows = materialize(rows, "extract")
     sinks.append(rows, output_table, namespace=source.namespace)
     if delimited_path:
         sinks.export_delimited(rows, delimited_path)

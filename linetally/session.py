@@ -8,6 +8,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -67,8 +68,46 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh, unused path below the shared folder."""
-    return f"{shared_folder(spark)}/{_APP_FOLDER}/{label}-{uuid.uuid4().hex}"
+    """A fresh, unused path below the shared folder, which belongs to the innermost open :class:`Scratch`, if there is one."""
+    path = f"{shared_folder(spark)}/{_APP_FOLDER}/{label}-{uuid.uuid4().hex}"
+    owner = _owner.get()
+    if owner is not None:
+        owner.paths.append(path)
+    return path
+
+
+_owner: ContextVar[Scratch | None] = ContextVar("linetally_scratch", default=None)
+
+
+class Scratch:
+    """Owner of the intermediate tables that library calls write while it is open::
+
+        with Scratch(spark):
+            report = profile_job(...)
+            report.profile.write.saveAsTable("profile")
+
+    :meth:`close`, or the end of the block, deletes them; frames that read them are of no use after that. Without an owner they stay
+    until somebody clears the shared folder."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+        self._token = None
+
+    def __enter__(self) -> Scratch:
+        self._token = _owner.set(self)
+        return self
+
+    def __exit__(self, *exc) -> None:
+        if self._token is not None:
+            _owner.reset(self._token)
+            self._token = None
+        self.close()
+
+    def close(self) -> None:
+        """Deletes the tables written so far."""
+        while self.paths:
+            remove_folder(self.spark, self.paths.pop())
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

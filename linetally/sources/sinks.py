@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -134,23 +134,45 @@ def export_cleaned_texts(df: DataFrame, id_col: str, text_col: str, path: str, f
     cleaned_texts(df, id_col, text_col, one_per_id).write.mode(mode).format(fmt).save(path)
 
 
+#: Fixed codes of what would break a line: a backslash and a letter for each.
+_CODES = (("\\", "\\s"), ("\n", "\\n"), ("\r", "\\r"), ("\x00", "\\0"))
+
+
+def _texts(df: DataFrame, convert) -> DataFrame:
+    """``df`` with ``convert`` applied to its string columns."""
+    kinds = {f.name: f.dataType for f in df.schema}
+    return df.select(*[convert(F.col(f"`{c}`")).alias(c) if isinstance(kinds[c], T.StringType) else F.col(f"`{c}`") for c in df.columns])
+
+
+def line_safe(text: Column) -> Column:
+    """The text on one line: backslash, line feed, carriage return and null character become two-character codes."""
+    for plain, code in _CODES:
+        text = F.replace(text, F.lit(plain), F.lit(code))
+    return text
+
+
+def from_line_safe(text: Column) -> Column:
+    """The text that :func:`line_safe` coded. A backslash in it is always the first of two, so codes can be replaced one kind after the other, backslashes last."""
+    for plain, code in reversed(_CODES):
+        text = F.replace(text, F.lit(code), F.lit(plain))
+    return text
+
+
 def export_delimited(df: DataFrame, path: str, sep: str = "|", header: bool = True, mode: str = "errorifexists") -> None:
     """Delimited text with a header (S6), one file per task (the original
-    forced a single partition, which does not scale). Texts are written whole:
-    blanks at their ends stay, quotes are doubled, line breaks are quoted."""
-    writer = df.write.mode(mode).option("sep", sep).option("header", header).option("escape", '"')
+    forced a single partition, which does not scale). A record is a line, so that files split for reading:
+    line breaks (and backslashes) in texts are coded by :func:`line_safe`. Texts are written whole:
+    blanks at their ends stay, quotes are doubled."""
+    writer = _texts(df, line_safe).write.mode(mode).option("sep", sep).option("header", header).option("escape", '"')
     writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def read_delimited(spark: SparkSession, path: str, schema: T.StructType | str, sep: str = "|",
                    header: bool = True) -> DataFrame:
-    """Read back a delimited export with an explicit schema (no inference).
-    As a quoted text may hold line breaks, a file isn't split: one task reads one
-    of the files that the export's tasks wrote. An empty text (quoted in the file)
+    """Read back a delimited export with an explicit schema (no inference). Files are split
+    at lines, so a large one is read by many tasks. An empty text (quoted in the file)
     and a null (nothing) stay apart."""
-    empty = "\x00"  # what the reader gives for a quoted empty text, which it would else make null
+    empty = "\x00"  # what the reader gives for a quoted empty text, which it would else make null; in files this character is coded
     reader = spark.read.schema(schema).option("sep", sep).option("header", header).option("escape", '"')
-    rows = reader.option("multiLine", True).option("emptyValue", empty).csv(path)
-    texts = {f.name for f in rows.schema if isinstance(f.dataType, T.StringType)}
-    own = ((c, F.col(f"`{c}`")) for c in rows.columns)
-    return rows.select(*[F.when(v == empty, F.lit("")).otherwise(v).alias(c) if c in texts else v for c, v in own])
+    rows = reader.option("emptyValue", empty).csv(path)
+    return _texts(rows, lambda v: F.when(v == empty, F.lit("")).otherwise(from_line_safe(v)))

@@ -1,6 +1,10 @@
+import os
+
 from pyspark.sql import functions as F
 
 from golden import lines
+from linetally.session import Scratch
+from linetally.sources import sinks
 from linetally.plans.jobs import Source, count_job, export_job, extract_job, pareto_job, profile_job
 
 
@@ -54,3 +58,19 @@ def test_pareto_job(spark, scratch):
     assert report.n == 3  # the empty text counts in U but is never selected
     flags = spark.read.parquet(f"{scratch}/flags")
     assert flags.where(F.col("pareto_amount") == 1).count() == 2
+
+
+def test_outputs_of_an_extract_hold_the_same_rows_and_leave_nothing(spark, scratch):
+    """An unordered limit over many partitions, read three times; the owner deletes the copy."""
+    rows = spark.range(20_000).selectExpr("id AS row_id", "cast(id AS double) AS amount", "concat('line\n', id, ' \\\\ ', id) AS text")
+    rows.repartition(13).write.parquet(f"{scratch}/lines")
+    with Scratch(spark) as owner:
+        source = Source(f"{scratch}/lines", where="rand() < 0.5", limit=700)
+        got = extract_job(spark, source, "amount", "greater", ["100"], output_table=f"{scratch}/t", delimited_path=f"{scratch}/d")
+        want = sorted(map(tuple, got.collect()))
+        assert len(want) > 500
+        assert sorted(map(tuple, spark.read.parquet(f"{scratch}/t").collect())) == want
+        assert sorted(map(tuple, sinks.read_delimited(spark, f"{scratch}/d", got.schema).collect())) == want
+        folders = [p.removeprefix("file:") for p in owner.paths]
+        assert folders and all(os.path.isdir(p) for p in folders)
+    assert not any(os.path.exists(p) for p in folders) and owner.paths == []

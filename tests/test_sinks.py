@@ -124,3 +124,18 @@ def test_upsert_composite_and_null_keys(spark):
     got = {tuple(r) for r in sinks.upserted(old, new, ["k1", "k2"]).collect()}
     # a null key part matches a null key part: ("a", None) is updated, not duplicated
     assert got == {("a", 1, 10), ("a", None, 21), ("b", 2, 30), ("c", 3, 40)}
+
+
+def test_a_large_delimited_file_is_read_by_several_tasks(spark, scratch):
+    hard = ["a\nb", "\r\n", "\\n", "\\", "\\s\\n", "x|y", 'q"q', '"', " pad ", "", None, "\x00", "é🙂", "\u2028", "#c", "\\N"]
+    rows = [(i, hard[i % len(hard)] if i % 2 == 0 else f"{i} " + "long text\n" * 40) for i in range(4000)]
+    df = spark.createDataFrame(rows, "id long, text string")
+    sinks.export_delimited(df.coalesce(1), f"{scratch}/one")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(128 * 1024))
+    try:
+        back = sinks.read_delimited(spark, f"{scratch}/one", df.schema)
+        assert sorted(map(tuple, back.collect())) == sorted(rows)
+        assert back.select(F.spark_partition_id().alias("p")).distinct().count() >= 4
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)

@@ -45,13 +45,19 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     again = judged.where(F.col("kept") & (F.col("n_shingles") > 0)).groupBy("doc_id").count().where("count > 1").select("doc_id")
     if again.isEmpty():
         return kept
-    repeated = kept.join(again, "doc_id", "left_semi").select(_columns(docs)).dropDuplicates(["doc_id", "text"])
+    # of rows that differ in other columns only, the least one stays
+    others = [c for c in _columns(docs) if c not in ("doc_id", "text")]
+    least = F.min(F.struct(*[F.col(f"`{c}`") for c in others])).alias("_row") if others else F.lit(None).alias("_row")
+    repeated = kept.join(again, "doc_id", "left_semi").groupBy("doc_id", "text").agg(least)
+    repeated = repeated.select(*[F.col(f"_row.`{c}`").alias(c) if c in others else F.col(c) for c in _columns(docs)])
     return kept.join(again, "doc_id", "left_anti").select(_columns(docs)).unionByName(repeated)
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     clean = pii.sanitise_texts(docs)
-    return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(_columns(docs))
+    if "n_chars" in docs.columns:
+        clean = clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return clean.select(_columns(docs))
 
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

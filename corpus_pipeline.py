@@ -13,11 +13,15 @@ again before the next one. A stage works on everything its predecessor kept.
 5. encode: ids and decoded text, as counts and digests.
 
 Nulls, empty texts and repeated rows pass through each stage as its operator
-defines; extra columns stay up to the last stage; an empty table stays empty.
+defines; extra columns stay as they are up to the last stage, also those named like a result of an operator
+(columns that start with an underscore are left out); an empty table stays empty.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,11 +35,28 @@ def _columns(docs: DataFrame) -> list[str]:
     return carried(docs, ())
 
 
+#: Columns that stages work on; all others pass through untouched, whatever their names.
+OWN = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def _passing_others(stage: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """The stage with columns other than OWN under names of their own, so that results of an operator cannot replace them."""
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        names = {c: c if c in OWN else f"extra column {i}" for i, c in enumerate(_columns(docs))}
+        inner = stage(spark, docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()]), sf_dir)
+        return inner.select(*[F.col(f"`{n}`").alias(c) for c, n in names.items()])
+
+    return run
+
+
+@_passing_others
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     scored = toxicity.classify(docs, table(spark, sf_dir, "labels"))
     return scored.where(~F.col("rejected")).select(_columns(docs))
 
 
+@_passing_others
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     judged = neardup.near_duplicates(docs, neardup.Method(shingle=5, percent=80))
     # rows with different texts may share an id: it goes only with all of them, so that no text is lost
@@ -53,6 +74,7 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return kept.join(again, "doc_id", "left_anti").select(_columns(docs)).unionByName(repeated)
 
 
+@_passing_others
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     clean = pii.sanitise_texts(docs)
     if "n_chars" in docs.columns:
@@ -60,6 +82,7 @@ def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return clean.select(_columns(docs))
 
 
+@_passing_others
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(docs)
     times = F.when(F.col("taken") > 0, (F.col("taken") / F.col("size")).cast("int")).otherwise(0)

@@ -69,8 +69,10 @@ FOLDS = 5
 GRID = 50
 GRID_END = 30
 #: Words whose responses a worker keeps, and texts scored at a time.
-TABLE_SIZE = 400_000
+TABLE_SIZE = 150_000
 STEP = 100
+#: Rows handed back at a time, as they may carry their texts.
+ROWS_BACK = 1000
 
 _MARKS = string.punctuation + "«»“”‘’„…¿¡–—"
 
@@ -352,11 +354,13 @@ def logits(docs: DataFrame, model: Model, text: str = "text", lang: str = "lang"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
-        for batch in batches:
-            texts = batch.column(at_text).cast(pa.binary())
-            z = [scorer.logits(texts[at: at + STEP].to_pylist()) for at in range(0, batch.num_rows, STEP)]
-            found = pa.array(np.concatenate([np.zeros(0), *z]), pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(fields)], found], names=[*[f.name for f in fields], "_logit"])
+        for whole in batches:
+            for first in range(0, whole.num_rows, ROWS_BACK):
+                batch = whole.slice(first, ROWS_BACK)
+                texts = batch.column(at_text).cast(pa.binary())
+                z = [scorer.logits(texts[at: at + STEP].to_pylist()) for at in range(0, batch.num_rows, STEP)]
+                found = pa.array(np.concatenate(z), pa.float64())
+                yield pa.RecordBatch.from_arrays([*batch.columns[: len(fields)], found], names=[*[f.name for f in fields], "_logit"])
 
     return source.mapInArrow(run, schema)
 

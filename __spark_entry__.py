@@ -25,6 +25,7 @@ from linetally.operators.extract import filter_rows  # noqa: E402
 from linetally.operators.idlists import text_id_chunks  # noqa: E402
 from linetally.operators.pareto import pareto  # noqa: E402
 from linetally.operators.report import text_report  # noqa: E402
+from linetally.plans.jobs import Source, extract_job  # noqa: E402
 from linetally.schema import DEFAULT_ID_SPAN, PARETO_SHARE, PROFILE_COLUMNS, UNDEFINED_CATEGORY, LineColumns  # noqa: E402
 from linetally.session import scratch_path  # noqa: E402
 from linetally.sources import fixtures, sinks  # noqa: E402
@@ -198,6 +199,22 @@ def q_cleaned_export(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+def q_cleaned_export_repeated(spark, sf_dir):
+    """Ids that repeat, some in neighbouring rows and some far apart: the greatest text of each id is kept."""
+    docs = fixtures.documents(spark, sf_dir).withColumn("doc_id", F.floor(F.col("doc_id") / 2) % 300)
+    path = scratch_path(spark, "cleaned-export")
+    sinks.export_cleaned_texts(docs, "doc_id", "text", path)
+    return spark.read.parquet(path)
+
+
+def q_extract_job(spark, sf_dir):
+    """The whole extract job: table, delimited copy and returned rows, which have to agree."""
+    table, delimited = scratch_path(spark, "extract-table"), scratch_path(spark, "extract-delimited")
+    rows = extract_job(spark, Source(_lines(spark, sf_dir)), "category_pct", "between", ["25", "50"], table, delimited)
+    copies = [spark.read.parquet(table), sinks.read_delimited(spark, delimited, rows.schema)]
+    return rows.intersectAll(copies[0]).intersectAll(copies[1])
+
+
 def q_append_roundtrip(spark, sf_dir):
     rows = _extract("between")(spark, sf_dir)
     path = scratch_path(spark, "append")
@@ -339,6 +356,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "client_profile": q_client_profile,
         "client_lists": q_client_lists,
         "cleaned_export": q_cleaned_export,
+        "cleaned_export_repeated": q_cleaned_export_repeated,
+        "extract_job": q_extract_job,
         "append_roundtrip": q_append_roundtrip,
         "upsert_roundtrip": q_upsert_roundtrip,
         "keyed_upsert": q_keyed_upsert,
@@ -607,6 +626,10 @@ FROM placed GROUP BY text, institution, chunk""",
         "cleaned_export": f"""SELECT doc_id AS id, max(clean) AS text
 FROM (SELECT doc_id, {_clean_sql('text')} AS clean FROM documents WHERE text IS NOT NULL)
 WHERE clean <> '' GROUP BY doc_id""",
+        "cleaned_export_repeated": f"""SELECT (doc_id // 2) % 300 AS id, max(clean) AS text
+FROM (SELECT doc_id, {_clean_sql('text')} AS clean FROM documents WHERE text IS NOT NULL)
+WHERE clean <> '' GROUP BY 1""",
+        "extract_job": f"WITH {_LINES} SELECT {_LINE_COLS} FROM lines WHERE {_EXTRACT_SQL['between']}",
         "append_roundtrip": f"""WITH {_LINES}
 SELECT {_LINE_COLS} FROM lines WHERE {_EXTRACT_SQL['between']}
 UNION ALL

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import clean_text
+from ..operators.unique import ids_unique
 from .tables import _is_path
 
 
@@ -95,14 +96,6 @@ def upsert(spark: SparkSession, existing_path: str, updates: DataFrame, keys: Se
     return spark.read.format(fmt).load(out_path)
 
 
-def ids_unique(df: DataFrame, id_col: str) -> bool:
-    """Whether no id occurs twice. An action that reads only the id column
-    and shuffles only ids (partially aggregated first), so it is much
-    cheaper than a shuffle of the rows themselves."""
-    dup = df.groupBy(id_col).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
-    return dup.isEmpty()
-
-
 def cleaned_texts(df: DataFrame, id_col: str, text_col: str, one_per_id: bool | None = None) -> DataFrame:
     """What the cleaned-text export writes (S5): ``id`` and cleaned ``text``
     for rows whose cleaned text is not empty; null texts are skipped.
@@ -112,7 +105,8 @@ def cleaned_texts(df: DataFrame, id_col: str, text_col: str, one_per_id: bool |
     an id overwrote each other in whatever order they ran; here the greatest
     cleaned text per id is kept, which is repeatable. That needs a shuffle of
     all cleaned texts by id, so ``one_per_id=None`` (the default) first
-    checks with :func:`ids_unique` and skips the shuffle when ids are
+    checks with :func:`linetally.operators.unique.ids_unique`, which shuffles no ids where the splits of the table hold
+    different stretches of them, and skips the shuffle when ids are
     already unique; ``True`` / ``False`` force the choice without the check.
     """
     ident, cleaned = F.col(id_col), clean_text(F.col(text_col).cast(T.StringType()))
@@ -138,6 +132,10 @@ def export_cleaned_texts(df: DataFrame, id_col: str, text_col: str, path: str, f
 _CODES = (("\\", "\\s"), ("\n", "\\n"), ("\r", "\\r"), ("\x00", "\\0"))
 
 
+#: Times keep their microseconds.
+_TIMES = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+
+
 def _texts(df: DataFrame, convert) -> DataFrame:
     """``df`` with ``convert`` applied to its string columns."""
     kinds = {f.name: f.dataType for f in df.schema}
@@ -163,7 +161,7 @@ def export_delimited(df: DataFrame, path: str, sep: str = "|", header: bool = Tr
     forced a single partition, which does not scale). A record is a line, so that files split for reading:
     line breaks (and backslashes) in texts are coded by :func:`line_safe`. Texts are written whole:
     blanks at their ends stay, quotes are doubled."""
-    writer = _texts(df, line_safe).write.mode(mode).option("sep", sep).option("header", header).option("escape", '"')
+    writer = _texts(df, line_safe).write.mode(mode).option("sep", sep).option("header", header).option("escape", '"').options(**_TIMES)
     writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
@@ -174,5 +172,5 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType | str, s
     and a null (nothing) stay apart."""
     empty = "\x00"  # what the reader gives for a quoted empty text, which it would else make null; in files this character is coded
     reader = spark.read.schema(schema).option("sep", sep).option("header", header).option("escape", '"')
-    rows = reader.option("emptyValue", empty).csv(path)
+    rows = reader.option("emptyValue", empty).options(**_TIMES).csv(path)
     return _texts(rows, lambda v: F.when(v == empty, F.lit("")).otherwise(from_line_safe(v)))

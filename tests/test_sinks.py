@@ -139,3 +139,9 @@ def test_a_large_delimited_file_is_read_by_several_tasks(spark, scratch):
         assert back.select(F.spark_partition_id().alias("p")).distinct().count() >= 4
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_times_come_back_whole(spark, scratch):
+    df = spark.sql("SELECT timestamp_ntz'2024-02-03 04:05:06.123456' AS a, timestamp'2024-02-03 04:05:06.000001' AS b, 0.1D AS c, 1e-300D AS d")
+    sinks.export_delimited(df, f"{scratch}/times")
+    assert sinks.read_delimited(spark, f"{scratch}/times", df.schema).collect() == df.collect()

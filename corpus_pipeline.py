@@ -52,7 +52,8 @@ def _passing_others(stage: Callable[[SparkSession, DataFrame, str], DataFrame])
 
 @_passing_others
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    scored = toxicity.classify(docs, table(spark, sf_dir, "labels"))
+    # whole rows are scored once more after the fit: to write them with their logits first takes more memory than an executor may have
+    scored = toxicity.score_texts(docs, toxicity.fit_on_labels(docs, table(spark, sf_dir, "labels")))
     return scored.where(~F.col("rejected")).select(_columns(docs))
 
 

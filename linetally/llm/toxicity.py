@@ -42,6 +42,7 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -71,6 +72,8 @@ GRID_END = 30
 #: Words whose responses a worker keeps, and texts scored at a time.
 TABLE_SIZE = 150_000
 STEP = 100
+#: Bytes of text cut into words at a time, or one text, if it is longer.
+STEP_BYTES = 1 << 20
 #: Rows handed back at a time, as they may carry their texts.
 ROWS_BACK = 1000
 
@@ -338,6 +341,18 @@ def train_on_sample(docs: DataFrame, known: DataFrame, text: str = "text", lang:
     return Trained(train(texts, y), [r["doc_id"] for r in rows], [r["lang"] for r in rows], texts, y, few)
 
 
+def steps(sizes: list[int | None]) -> Iterator[tuple[int, int]]:
+    """Ranges of texts to be scored together: at most STEP of them, of STEP_BYTES bytes in all, but one at least."""
+    at, total = 0, 0
+    for i, size in enumerate(sizes):
+        if i > at and (i - at == STEP or total + (size or 0) > STEP_BYTES):
+            yield at, i
+            at, total = i, 0
+        total += size or 0
+    if sizes:
+        yield at, len(sizes)
+
+
 def logits(docs: DataFrame, model: Model, text: str = "text", lang: str = "lang", columns: list[str] | None = None) -> DataFrame:
     """``columns`` of ``docs`` (default all) with ``_id``, ``_lang``, ``_longer`` (than SAMPLE_BYTES) and ``_logit``."""
     keep = carried(docs, MADE, columns)
@@ -358,7 +373,7 @@ def logits(docs: DataFrame, model: Model, text: str = "text", lang: str = "lang"
             for first in range(0, whole.num_rows, ROWS_BACK):
                 batch = whole.slice(first, ROWS_BACK)
                 texts = batch.column(at_text).cast(pa.binary())
-                z = [scorer.logits(texts[at: at + STEP].to_pylist()) for at in range(0, batch.num_rows, STEP)]
+                z = [scorer.logits(texts[at:end].to_pylist()) for at, end in steps(pc.binary_length(texts).to_pylist())]
                 found = pa.array(np.concatenate(z), pa.float64())
                 yield pa.RecordBatch.from_arrays([*batch.columns[: len(fields)], found], names=[*[f.name for f in fields], "_logit"])
 

@@ -83,6 +83,14 @@ def test_no_text_is_shuffled_to_count_labels(spark):
     assert "text" not in joined and scored.columns == ["_id", "_lang", "_longer", "_logit"]
 
 
+def test_long_texts_are_scored_few_at_a_time():
+    sizes = [10, None, 2 << 20, 5, 1 << 20, 1, 1] + [1000] * 2000
+    ranges = list(toxicity.steps(sizes))
+    assert [i for a, b in ranges for i in range(a, b)] == list(range(len(sizes)))
+    assert all(b - a <= toxicity.STEP and (b - a == 1 or sum(x or 0 for x in sizes[a:b]) <= toxicity.STEP_BYTES) for a, b in ranges)
+    assert list(toxicity.steps([])) == []
+
+
 def test_small_languages_are_drawn_to_the_common_threshold():
     def cut(n):
         model = toxicity.Model(None, [], None, None)

@@ -31,18 +31,17 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import carried, whole_text
+from .common import carried, whole_text, worker_table
 from .pretokens import Splitter, load_vocabulary, split_patterns
 
 #: Pre-tokens kept in each of a worker's two tables, and the longest of them in characters.
-CACHE_SIZE = 300_000
+CACHE_SIZE = 100_000
 CACHE_LENGTH = 40
 #: Pairs of tokens whose compatibility a worker remembers.
 MAX_PAIRS = 500_000
@@ -164,9 +163,8 @@ class Encoder:
         return b"".join([self.token_bytes[i] for i in ids]).decode("utf-8", "replace")
 
 
-@lru_cache(maxsize=2)
 def encoder(path: str, split: tuple[str, str]) -> Encoder:
-    return Encoder(path, split)
+    return worker_table(("bpe", path, split), lambda: Encoder(path, split))
 
 
 def encode_texts(docs: DataFrame, path: str, text: str = "text", ids: bool = True, digests: bool = False) -> DataFrame:

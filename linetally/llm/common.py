@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import gc
+from collections.abc import Callable, Iterable
+from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,3 +51,24 @@ def byte_words(text: bytes | None) -> list[bytes]:
     """Words of a UTF-8 text with A-Z lower-cased. ``bytes.split()`` cuts at
     exactly the bytes of :data:`SPACES`, ``bytes.lower()`` changes A-Z only."""
     return text.lower().split() if text else []
+
+
+#: Large tables of the operator that this worker runs, by key.
+_tables: dict[tuple, Any] = {}
+
+
+def worker_table(key: tuple, make: Callable[[], Any]) -> Any:
+    """A large table that a worker keeps from task to task, made anew only if another one was held since."""
+    if key not in _tables:
+        release_tables()
+        _tables[key] = make()
+    return _tables[key]
+
+
+def release_tables() -> None:
+    """Drops what :func:`worker_table` holds and returns memory that Arrow keeps for later. Spark hands workers on from job to
+    job, so an operator calls this at the start of a task that has no use for another's tables."""
+    if _tables:
+        _tables.clear()
+        gc.collect()
+    pa.default_memory_pool().release_unused()

@@ -50,7 +50,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import byte_words
+from .common import byte_words, release_tables
 
 #: Probability that a pair at the threshold shares no bucket.
 MISS = 1e-6
@@ -144,6 +144,7 @@ def sketch(docs: DataFrame, method: Method, id_col: str, text: str) -> DataFrame
     and ``sig`` (low 16 bits of each bin), null for an empty set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_tables()
         donors = donor_orders(method.bins)
         for batch in batches:
             n, s1, s2, bands, sigs = [], [], [], [], []
@@ -184,6 +185,7 @@ def confirm(pairs: DataFrame, docs: DataFrame, method: Method, id_col: str, text
         texts.select(F.col("id").alias("b"), F.col("t").alias("tb")), "b").select("a", "b", "ta", "tb")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_tables()
         for batch in batches:
             a_list, b_list = batch.column(0), batch.column(1)
             out_a, out_b, hub, hub_text = [], [], None, None
@@ -230,6 +232,7 @@ def _plausible(pairs: DataFrame, sigs: DataFrame, method: Method) -> DataFrame:
         sigs.select(F.col("rep").alias("b"), F.col("sig").alias("sb")), "b").select("a", "b", "sa", "sb")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_tables()
         for batch in batches:
             sa, sb = (np.frombuffer(b"".join(batch.column(i).to_pylist()), "<u2").reshape(-1, method.bins) for i in (2, 3))
             near = pa.array((sa == sb).sum(axis=1) >= method.least_agreement)
@@ -320,6 +323,7 @@ def _open_links(buckets: DataFrame, labels: DataFrame, reps: DataFrame, stars: D
     many = members.where(F.col("size") > SMALL_GROUP)
 
     def to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_tables()
         for batch in batches:
             sets = [shingles(t.as_py(), method.shingle).astype("<u8").tobytes() for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["rep", "set"])

@@ -46,7 +46,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import carried, whole_text
+from .common import carried, release_tables, whole_text
 
 KINDS = ("email", "ip", "card", "phone", "term")
 COUNTS = ("n_email", "n_ip", "n_card", "n_phone")
@@ -215,6 +215,7 @@ def scan(docs: DataFrame, text: str = "text", columns: list[str] | None = None)
     near_type = pa.list_(pa.struct([("e", pa.string()), ("t", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_tables()
         for batch in batches:
             counts, base, names, near, key = [[] for _ in COUNTS], [], [], [], []
             for t in batch.column(batch.num_columns - 1):
@@ -269,6 +270,7 @@ def term_texts(docs: DataFrame, slots: bytes, text: str = "text") -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(slots)  # SLOTS bytes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_tables()
         table, room, met, held = shared.value, {}, {}, 0
 
         def rows() -> pa.RecordBatch:
@@ -406,6 +408,7 @@ def sanitise_texts(docs: DataFrame, text: str = "text") -> DataFrame:
     at = columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_tables()
         for batch in batches:
             bodies, base, terms = (batch.column(i) for i in (at, len(columns), len(columns) + 1))
             out = [None if t is None else sanitise(t, b, s) if b else t

@@ -71,7 +71,6 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(0x100 + i): b for i, b in enumerate(rest)}
 
 
-@lru_cache(maxsize=2)
 def load_vocabulary(path: str) -> tuple[dict[bytes, int], list[tuple[bytes, bytes]], dict[str, int]]:
     """Token bytes to id, merges in rank order, added tokens to id, from a
     ``tokenizer.json`` file."""

@@ -26,13 +26,12 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import carried, whole_text
+from .common import carried, whole_text, worker_table
 from .pretokens import Splitter, load_vocabulary, split_patterns
 
 CACHE_SIZE = 400_000
@@ -104,9 +103,8 @@ class TrieCounter:
         return totals
 
 
-@lru_cache(maxsize=2)
 def counter(path: str) -> TrieCounter:
-    return TrieCounter(rank_scores(load_vocabulary(path)[0]))
+    return worker_table(("unigram", path), lambda: TrieCounter(rank_scores(load_vocabulary(path)[0])))
 
 
 def count_tokens(docs: DataFrame, path: str, text: str = "text") -> DataFrame:

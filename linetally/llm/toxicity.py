@@ -48,7 +48,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import materialize
-from .common import carried
+from .common import carried, release_tables
 
 BUCKETS = 1 << 15
 DIM = 12
@@ -368,6 +368,7 @@ def logits(docs: DataFrame, model: Model, text: str = "text", lang: str = "lang"
     schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in fields], "_logit double"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_tables()
         scorer = Scorer(shared.value)
         for whole in batches:
             for first in range(0, whole.num_rows, ROWS_BACK):

@@ -5,7 +5,7 @@ import random
 import public_tokenizers
 from tokenizers import Tokenizer
 
-from linetally.llm import bpe, tokens
+from linetally.llm import bpe, common, tokens
 from linetally.llm.pretokens import Splitter, load_vocabulary, split_patterns
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -63,3 +63,13 @@ def test_token_counts_equal_a_search_per_word(spark):
         pieces = split(t or "")
         assert got[i] == (len(pieces), sum(_viterbi(p.encode(), scores) for p in pieces))
     assert tokens.count_tokens(df.limit(0), PATH).count() == 0
+
+
+def test_worker_holds_tables_of_one_operator():
+    made = []
+    make = lambda x: lambda: made.append(x) or [x]
+    assert common.worker_table(("a", 1), make(1)) is common.worker_table(("a", 1), make(2))
+    assert common.worker_table(("b", 1), make(3)) == [3] and list(common._tables) == [("b", 1)]
+    common.release_tables()
+    assert not common._tables and common.worker_table(("a", 1), make(4)) == [4] and made == [1, 3, 4]
+    common.release_tables()

@@ -99,3 +99,35 @@ def test_nearest_is_exact_with_ties_and_odd_vectors(spark):
     loose = ann.nearest(df, asked, k=10, factor=0.5).count()
     assert 0 < loose <= 180
     assert ann.nearest(df.limit(0), df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(("shingle", "percent"), [(3, 85), (5, 80)])
+def test_links_share_a_band_and_agree(shingle, percent):
+    """Pairs at the threshold, or the least similarity above it that their size allows."""
+    method, rng = neardup.Method(shingle, percent), np.random.default_rng(11)
+    donors = neardup.donor_orders(method.bins)
+    for union in np.r_[np.arange(5, 105), rng.integers(105, 1000, 300)]:
+        x = rng.integers(0, 1 << 63, union, np.uint64)
+        alone = union - -(-union * percent // 100)
+        cut = rng.integers(0, alone + 1)
+        a, b = np.unique(x[cut:]), np.unique(np.r_[x[:cut], x[alone:]])
+        assert 100 * len(np.intersect1d(a, b)) >= percent * len(np.union1d(a, b))
+        sa, sb = (neardup.signature(s, method.bins, donors) for s in (a, b))
+        assert (neardup.band_keys(sa, method.rows) == neardup.band_keys(sb, method.rows)).any()
+        assert (sa.astype("<u2") == sb.astype("<u2")).sum() >= method.least_agreement
+
+
+def test_nearest_with_smaller_factors_recalls_most():
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(8000, 16))
+    asked = np.arange(0, 8000, 100)
+    tree = ann.Tree(np.arange(8000), x)
+    exact, _ = tree.search(asked, x[asked], 10, 1.0)
+    d = np.sqrt(((x[None, :, :] - x[asked[:5], None, :]) ** 2).sum(axis=2))
+    d[np.arange(5), asked[:5]] = np.inf
+    assert (exact[:5] == np.argsort(d, axis=1, kind="stable")[:, :10]).all()
+    for factor in (0.7, 0.5):
+        found, _ = tree.search(asked, x[asked], 10, factor)
+        recall = np.mean([len(set(a) & set(b)) / 10 for a, b in zip(found.tolist(), exact.tolist())])
+        print("recall", factor, recall)
+        assert recall >= 0.9

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import carried, whole_text, worker_table
+from .common import carried, returning_memory, slices, whole_text, worker_table
 from .pretokens import Splitter, load_vocabulary, split_patterns
 
 #: Pre-tokens kept in each of a worker's two tables, and the longest of them in characters.
@@ -167,14 +167,15 @@ def encoder(path: str, split: tuple[str, str]) -> Encoder:
     return worker_table(("bpe", path, split), lambda: Encoder(path, split))
 
 
-def encode_texts(docs: DataFrame, path: str, text: str = "text", ids: bool = True, digests: bool = False) -> DataFrame:
-    """``docs`` with ``n_tokens`` and, as asked, ``ids`` (array of int) and
+def encode_texts(docs: DataFrame, path: str, text: str = "text", ids: bool = True, digests: bool = False,
+                 columns: list[str] | None = None) -> DataFrame:
+    """``columns`` of ``docs`` (default all) with ``n_tokens`` and, as asked, ``ids`` (array of int) and
     ``decoded`` (the text decoded from the ids), or their digests:
     ``ids_sha256`` (of the decimal ids joined by commas) and
     ``decoded_sha256`` (of the decoded text in UTF-8). Input columns of these
     names are replaced."""
     made = ["n_tokens", *(["ids", "decoded"] if ids else []), *(["ids_sha256", "decoded_sha256"] if digests else [])]
-    keep = carried(docs, made)
+    keep = carried(docs, made, columns)
     types = {"n_tokens": "bigint", "ids": "array<int>", "decoded": "string", "ids_sha256": "string", "decoded_sha256": "string"}
     source = docs.select(*[F.col(f"`{c}`") for c in keep], whole_text(text).alias("_text"))
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1]]
@@ -182,10 +183,11 @@ def encode_texts(docs: DataFrame, path: str, text: str = "text", ids: bool = Tru
 
     split = split_patterns()
 
+    @returning_memory
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path, split)
         sha = lambda b: hashlib.sha256(b).hexdigest()
-        for batch in batches:
+        for batch in slices(batches):
             out = {m: [] for m in made}
             for t in batch.column(batch.num_columns - 1):
                 parts = enc.encode_parts(t.as_py())

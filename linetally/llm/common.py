@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import gc
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
+from functools import wraps
 from typing import Any
 
 import pyarrow as pa
@@ -66,9 +67,25 @@ def worker_table(key: tuple, make: Callable[[], Any]) -> Any:
 
 
 def release_tables() -> None:
-    """Drops what :func:`worker_table` holds and returns memory that Arrow keeps for later. Spark hands workers on from job to
-    job, so an operator calls this at the start of a task that has no use for another's tables."""
+    """Drops what :func:`worker_table` holds. Spark hands workers on from job to job, so an operator calls this at the start
+    of a task that has no use for another's tables."""
     if _tables:
         _tables.clear()
         gc.collect()
-    pa.default_memory_pool().release_unused()
+
+
+def returning_memory(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """The map over Arrow batches, which returns at its end the memory that Arrow keeps for later: its worker may idle while others work."""
+    @wraps(run)
+    def lean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+
+    return lean
+
+
+def slices(batches: Iterable[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The batches, some rows at a time, for results that carry texts."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, rows):
+            yield batch.slice(first, rows)

@@ -50,7 +50,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import byte_words, release_tables
+from .common import byte_words, release_tables, returning_memory
 
 #: Probability that a pair at the threshold shares no bucket.
 MISS = 1e-6
@@ -143,6 +143,7 @@ def sketch(docs: DataFrame, method: Method, id_col: str, text: str) -> DataFrame
     """``id``, ``n_shingles``, ``s1``, ``s2`` (identity of the set), ``bands``
     and ``sig`` (low 16 bits of each bin), null for an empty set."""
 
+    @returning_memory
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release_tables()
         donors = donor_orders(method.bins)
@@ -184,6 +185,7 @@ def confirm(pairs: DataFrame, docs: DataFrame, method: Method, id_col: str, text
     both = pairs.join(texts.select(F.col("id").alias("a"), F.col("t").alias("ta")), "a").join(
         texts.select(F.col("id").alias("b"), F.col("t").alias("tb")), "b").select("a", "b", "ta", "tb")
 
+    @returning_memory
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release_tables()
         for batch in batches:
@@ -231,6 +233,7 @@ def _plausible(pairs: DataFrame, sigs: DataFrame, method: Method) -> DataFrame:
     both = pairs.join(sigs.select(F.col("rep").alias("a"), F.col("sig").alias("sa")), "a").join(
         sigs.select(F.col("rep").alias("b"), F.col("sig").alias("sb")), "b").select("a", "b", "sa", "sb")
 
+    @returning_memory
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release_tables()
         for batch in batches:
@@ -322,6 +325,7 @@ def _open_links(buckets: DataFrame, labels: DataFrame, reps: DataFrame, stars: D
     pairs = materialize(_plausible(pairs, reps.select("rep", "sig"), method), "open-pairs")
     many = members.where(F.col("size") > SMALL_GROUP)
 
+    @returning_memory
     def to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release_tables()
         for batch in batches:

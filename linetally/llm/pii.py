@@ -46,7 +46,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import carried, release_tables, whole_text
+from .common import carried, release_tables, returning_memory, slices, whole_text
 
 KINDS = ("email", "ip", "card", "phone", "term")
 COUNTS = ("n_email", "n_ip", "n_card", "n_phone")
@@ -214,9 +214,10 @@ def scan(docs: DataFrame, text: str = "text", columns: list[str] | None = None)
     span_type = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
     near_type = pa.list_(pa.struct([("e", pa.string()), ("t", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 
+    @returning_memory
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release_tables()
-        for batch in batches:
+        for batch in slices(batches):
             counts, base, names, near, key = [[] for _ in COUNTS], [], [], [], []
             for t in batch.column(batch.num_columns - 1):
                 body = t.as_py() or ""
@@ -269,6 +270,7 @@ def term_texts(docs: DataFrame, slots: bytes, text: str = "text") -> DataFrame:
     in no more texts than it asks for (others may be missing). No text is shuffled."""
     shared = docs.sparkSession.sparkContext.broadcast(slots)  # SLOTS bytes
 
+    @returning_memory
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release_tables()
         table, room, met, held = shared.value, {}, {}, 0
@@ -407,9 +409,10 @@ def sanitise_texts(docs: DataFrame, text: str = "text") -> DataFrame:
     fields = made.schema.fields
     at = columns.index(text)
 
+    @returning_memory
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release_tables()
-        for batch in batches:
+        for batch in slices(batches):
             bodies, base, terms = (batch.column(i) for i in (at, len(columns), len(columns) + 1))
             out = [None if t is None else sanitise(t, b, s) if b else t
                    for t, b, s in zip(bodies.to_pylist(), base.to_pylist(), terms.to_pylist())]

@@ -44,7 +44,7 @@ def op3_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return bpe.encode_texts(docs, bpe_path(), ids=False, digests=True).drop("text")
+    return bpe.encode_texts(docs, bpe_path(), ids=False, digests=True, columns=["doc_id"])
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

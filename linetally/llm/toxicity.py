@@ -48,7 +48,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import materialize
-from .common import carried, release_tables
+from .common import carried, release_tables, returning_memory
 
 BUCKETS = 1 << 15
 DIM = 12
@@ -367,6 +367,7 @@ def logits(docs: DataFrame, model: Model, text: str = "text", lang: str = "lang"
     at_text = keep.index(text) if passed else len(fields)
     schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in fields], "_logit double"])
 
+    @returning_memory
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release_tables()
         scorer = Scorer(shared.value)

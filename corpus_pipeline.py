@@ -91,7 +91,7 @@ def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    encoded = bpe.encode_texts(docs, queries.bpe_path(), ids=False, digests=True)
+    encoded = bpe.encode_texts(docs, queries.bpe_path(), ids=False, digests=True, columns=["doc_id", "lang", "source"])
     return encoded.select("doc_id", "lang", "source", "n_tokens", "ids_sha256", "decoded_sha256")
 
 

@@ -15,11 +15,14 @@ source with a third of all rows is spread over all buckets. The times of all
 sources are then range-sorted and written once with their partition
 number; partition sums tell in which partition the budget ends, and only
 that partition is summed row by row to find the last time taken. A document
-is taken as often as its finish times are not after that one.
+is taken as often as its finish times are not after that one; in the order of
+its source these are the first documents, so one place for each source and repeat
+says which. Texts and other columns are written once and compared with
+these places where they lie; only ids, hashes and sizes are shuffled.
 
 Results for odd input: a null source is a source of its own (the last); null
 or empty texts have size 0, take no room and are never taken; identical rows
-are told apart only by their order, which changes no sum; equal finish times
+are told apart only by the order they are written in, which changes no sum; equal finish times
 are ordered by source, then by position in the source; an empty table gives an
 empty result. Reruns agree: order, sums and cut follow from the rows alone.
 """
@@ -81,42 +84,51 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
     """``columns`` of ``docs`` (default all) with ``size`` (words),
     ``source_size``, ``target`` (both of the source) and ``taken`` (words the mix
     takes from the document, repeats counted); input columns of these names are
-    replaced. Actions: writes the sized rows, the times and their order."""
+    replaced. Actions: writes the sized rows, the times, their order and the places reached."""
     keep = carried(docs, MADE, columns)
     kept = [F.col(f"`{c}`") for c in keep]
     ident = F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit(""))
-    sized = materialize(docs.select(
+    # the row number, once written, tells rows of equal id and size apart
+    rows = materialize(docs.select(
         *kept, source_key(F.col(f"`{source_col}`")).alias("_source"), ident.alias("_id"),
         F.size(words(whole_text(text))).cast("long").alias("size"),
-        F.md5(F.concat(F.lit(f"{seed}:"), ident)).alias("_hash")), "mix-sized")
-    sized = sized.withColumn("_bucket", F.substring("_hash", 1, BUCKET_DIGITS))
+        F.md5(F.concat(F.lit(f"{seed}:"), ident)).alias("_hash"), F.monotonically_increasing_id().alias("_row")), "mix-sized")
+    sized = rows.select("_source", *PLACE, F.substring("_hash", 1, BUCKET_DIGITS).alias("_bucket"))
     # one row per (source, bucket): at most 4096 for each source
     buckets = materialize(sized.groupBy("_source", "_bucket").agg(F.sum("size").alias("_n")), "mix-buckets")
     sizes = buckets.groupBy("_source").agg(F.sum("_n").alias("source_size"))
     targets = materialize(source_targets(sizes, weights, budget, max_repeats), "mix-targets")
     before = F.sum("_n").over(W.partitionBy("_source").orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1))
     offsets = buckets.withColumn("_before", F.coalesce(before, F.lit(0))).drop("_n").join(targets, "_source")
-    in_bucket = W.partitionBy("_source", "_bucket").orderBy("_hash", "_id", "size")
+    in_bucket = W.partitionBy("_source", "_bucket").orderBy(*PLACE)
     run = sized.withColumn("_run", F.sum("size").over(in_bucket.rowsBetween(W.unboundedPreceding, 0)))
     timed = run.join(offsets, ["_source", "_bucket"])
-    timed = materialize(timed.select(*kept, "size", "source_size", "target", "_rank", "weight",
+    timed = materialize(timed.select("_source", *PLACE, "source_size", "_rank", "weight",
                                      (F.col("_before") + F.col("_run")).alias("_at")), "mix-timed")
     ends = [F.col("_at") + F.col("source_size") * k for k in range(max_repeats)]
     items = timed.where(F.col("size") > 0).select("_rank", "size", "weight", F.explode(F.array(*ends)).alias("_at"))
     items = items.withColumn("_time", F.col("_at") / F.col("weight"))
     ranged = items.select(*ORDER, "size").repartitionByRange(*ORDER).withColumn("_part", F.spark_partition_id())
     last = _last_taken(materialize(ranged, "mix-order"), budget, max_repeats)
+    reached = targets.select("_source", "source_size", "target")
     count = F.lit(0)
     if last is not None:
         limit = F.struct(F.lit(last["_time"]).alias("_time"), F.lit(last["_rank"]).alias("_rank"),
                          F.lit(last["_at"]).cast("bigint").alias("_at"))
-        for end in ends:
+        place, bounds = F.struct(*PLACE), []
+        for k, end in enumerate(ends):
             item = F.struct((end / F.col("weight")).alias("_time"), F.col("_rank"), end.alias("_at"))
-            count = count + F.when(item <= limit, 1).otherwise(0)
-    return timed.withColumn("taken", (F.col("size") * count).cast("long")).select(
+            bounds.append(F.max(F.when(item <= limit, place)).alias(f"_last_{k}"))
+            count = count + F.when(place <= F.col(f"_last_{k}"), 1).otherwise(0)
+        reached = reached.join(timed.groupBy("_source").agg(*bounds), "_source", "left")
+    # one row per source, written, so that its size is known and it goes to the rows
+    reached = materialize(reached, "mix-reached")
+    return rows.join(reached, "_source").withColumn("taken", (F.col("size") * count).cast("long")).select(
         *kept, "size", "source_size", "target", "taken")
 
 
+#: Order of the rows of a source, no two alike.
+PLACE = ("_hash", "_id", "size", "_row")
 #: Order of the mix: virtual finish time, then source, then position.
 ORDER = ("_time", "_rank", "_at")
 

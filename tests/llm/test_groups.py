@@ -1,6 +1,9 @@
 """Near duplicates, mixing and nearest neighbours against brute force."""
 
+import contextlib
+import io
 import random
+import re
 
 import numpy as np
 import pytest
@@ -79,6 +82,43 @@ def test_mix_meets_targets(spark):
     assert mixing.mix(df.limit(0)).count() == 0
 
 
+def test_mix_writes_texts_once_and_shuffles_none(spark, monkeypatch):
+    def exchanged(df):
+        with contextlib.redirect_stdout(io.StringIO()) as plan:
+            df.explain("formatted")
+        return re.findall(r"\(\d+\) Exchange\n(?:Input|Output) .*", plan.getvalue())
+
+    written, shuffles = [], []
+
+    def recorded(df, label):
+        written.extend([label] * ("text" in df.columns))
+        shuffles.extend(exchanged(df))
+        return materialize(df, label)
+
+    materialize = mixing.materialize
+    monkeypatch.setattr(mixing, "materialize", recorded)
+    rows = [(i % 300, f"w{i} " * (i % 7), "abc"[i % 3]) for i in range(400)]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    shuffles += exchanged(got)
+    assert sorted(x.text for x in got.collect()) == sorted(t for _, t, _ in rows)
+    assert written == ["mix-sized"] and len(shuffles) > 3
+    assert not [x for x in shuffles if "text#" in x]
+
+
+def test_mix_cuts_among_rows_of_one_id(spark):
+    rows = [(1, f"w{i} w", "a") for i in range(31)] + [(None, f"v{i}", None) for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.mix(df).collect()
+    assert sorted(x.text for x in got) == sorted(t for _, t, _ in rows)
+    # 123 of 82 words: a (weight 5) is full at 124 before the other has 40, so its target is the level's
+    level = 123 / 7
+    assert {x.source: x.target for x in got} == {"a": pytest.approx(5 * level), None: pytest.approx(2 * level)}
+    for source, size, weight in (("a", 2, 5), (None, 1, 2)):
+        times = sorted(x.taken // size for x in got if x.source == source)
+        assert times[-1] - times[0] == 1  # every row once before one is taken again
+        assert abs(sum(times) * size - weight * level) <= 2
+
+
 def test_nearest_is_exact_with_ties_and_odd_vectors(spark):
     rng = np.random.default_rng(2)
     x = rng.normal(size=(900, 8))
